@@ -1,0 +1,21 @@
+"""Join helpers with an explicit size check before any broadcast."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A side is broadcast only if it has at most this many rows (checked, not assumed).
+BROADCAST_MAX_ROWS = 1_000_000
+
+
+def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``df`` with a broadcast hint when it is proven small, else ``df`` unchanged.
+
+    The proof is a bounded count (``limit(max_rows + 1)``), so the check never reads more than
+    ``max_rows + 1`` rows of a large input. Beyond the bound the join stays a shuffle join,
+    which AQE may still turn into a broadcast join from runtime statistics.
+    """
+    if df.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(df)
+    return df

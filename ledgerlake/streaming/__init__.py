@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The pipeline is monthly batch: one extract per month, replaced as a whole partition. There is no
+stream, watermark, trigger or state in what it does, so no streaming operator is provided; a month
+arriving late is simply loaded again (every write is an idempotent month replacement).
+"""
