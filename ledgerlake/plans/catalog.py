@@ -13,6 +13,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from ledgerlake.contract import FIXTURE, PARTITION_COLUMN
 from ledgerlake.functions.codes import normalize_code
@@ -50,8 +51,26 @@ BUSINESS = [spec.name for spec in C.columns]
 # shared inputs
 
 
+_FIXTURE_TABLES: dict[tuple[str, str], str] = {}
+
+
+def fixture_table(spark: SparkSession, sf_dir: str) -> str:
+    """Location of the fixture extract (bronze rows + selector ``k``) written once per session
+    and scale under the shared folder: later queries read plain Parquet columns instead of
+    re-deriving the text from the joins (a written table cuts the lineage)."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _FIXTURE_TABLES:
+        configure(spark)
+        path = work_path(spark, "fixture")
+        fixture.claims_bronze(spark, sf_dir, with_key=True).write.mode("overwrite").parquet(path)
+        _FIXTURE_TABLES[key] = path
+    return _FIXTURE_TABLES[key]
+
+
 def _bronze(spark: SparkSession, sf_dir: str, with_key: bool = False) -> DataFrame:
-    return fixture.claims_bronze(configure(spark), sf_dir, with_key=with_key)
+    schema = C.bronze_schema().add("k", LongType())
+    df = spark.read.schema(schema).parquet(fixture_table(spark, sf_dir))
+    return df if with_key else df.drop("k")
 
 
 def _checked(spark: SparkSession, sf_dir: str, with_key: bool = False) -> DataFrame:
@@ -202,9 +221,8 @@ def missing_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Months of the calendar years covered by the data that have no raw file."""
     house = lakehouse(spark, sf_dir)
     years = house.bronze.read(spark).select(F.substring(PARTITION_COLUMN, 1, 4).alias("y")).distinct()
-    requested = years.select(
-        F.concat("y", F.lpad(F.explode(F.sequence(F.lit(1), F.lit(12))).cast("string"), 2, "0"))
-        .alias(PARTITION_COLUMN)
+    requested = years.select("y", F.explode(F.sequence(F.lit(1), F.lit(12))).alias("m")).select(
+        F.concat("y", F.lpad(F.col("m").cast("string"), 2, "0")).alias(PARTITION_COLUMN)
     )
     present = raw_csv.present_months(spark, house.raw_dir)
     return requested.join(present, PARTITION_COLUMN, "left_anti")
