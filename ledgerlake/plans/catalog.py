@@ -51,25 +51,45 @@ BUSINESS = [spec.name for spec in C.columns]
 # shared inputs
 
 
-_FIXTURE_TABLES: dict[tuple[str, str], str] = {}
+_FIXTURE_HOUSES: dict[tuple[str, str], Lakehouse] = {}
+_RAW_HOUSES: dict[tuple[str, str], Lakehouse] = {}
 
 
-def fixture_table(spark: SparkSession, sf_dir: str) -> str:
-    """Location of the fixture extract (bronze rows + selector ``k``) written once per session
-    and scale under the shared folder: later queries read plain Parquet columns instead of
-    re-deriving the text from the joins (a written table cuts the lineage)."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _FIXTURE_TABLES:
+def _key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    return (spark.sparkContext.applicationId, sf_dir)
+
+
+def _fixture_bronze_ref(house: Lakehouse) -> TableRef:
+    return TableRef(path=house.bronze.path, schema=C.bronze_schema().add("k", LongType()))
+
+
+def fixture_lakehouse(spark: SparkSession, sf_dir: str) -> Lakehouse:
+    """Bronze written straight from the fixture extract (partitioned by month, selector ``k``
+    kept), then silver and quarantine built from it by the silver job (with reconciliation).
+
+    Done once per session and scale under the shared folder; queries then read these tables,
+    as the gold layer and the checks do in production. A written table also cuts the lineage.
+    """
+    key = _key(spark, sf_dir)
+    if key not in _FIXTURE_HOUSES:
         configure(spark)
-        path = work_path(spark, "fixture")
-        fixture.claims_bronze(spark, sf_dir, with_key=True).write.mode("overwrite").parquet(path)
-        _FIXTURE_TABLES[key] = path
-    return _FIXTURE_TABLES[key]
+        house = Lakehouse(work_path(spark, "fixture"), C)
+        bronze = _fixture_bronze_ref(house)
+        fixture.claims_bronze(spark, sf_dir, with_key=True).write.mode("overwrite").partitionBy(
+            PARTITION_COLUMN
+        ).parquet(bronze.path)
+        months = _months(bronze.read(spark))
+        silver_plan.build_silver(spark, bronze, house.silver, house.quarantine, months, C)
+        _FIXTURE_HOUSES[key] = house
+    return _FIXTURE_HOUSES[key]
+
+
+def fixture_table(spark: SparkSession, sf_dir: str) -> str:
+    return fixture_lakehouse(spark, sf_dir).bronze.path
 
 
 def _bronze(spark: SparkSession, sf_dir: str, with_key: bool = False) -> DataFrame:
-    schema = C.bronze_schema().add("k", LongType())
-    df = spark.read.schema(schema).parquet(fixture_table(spark, sf_dir))
+    df = _fixture_bronze_ref(fixture_lakehouse(spark, sf_dir)).read(spark)
     return df if with_key else df.drop("k")
 
 
@@ -78,7 +98,11 @@ def _checked(spark: SparkSession, sf_dir: str, with_key: bool = False) -> DataFr
 
 
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return valid_rows(_checked(spark, sf_dir), C)
+    return fixture_lakehouse(spark, sf_dir).silver.read(spark)
+
+
+def _quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fixture_lakehouse(spark, sf_dir).quarantine.read(spark)
 
 
 def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,32 +117,27 @@ def _months(df: DataFrame) -> list[str]:
     return sorted(r[0] for r in df.select(PARTITION_COLUMN).distinct().collect())
 
 
-_BUILT: dict[tuple[str, str], Lakehouse] = {}
+def lakehouse(spark: SparkSession, sf_dir: str) -> Lakehouse:
+    """The load path from files, once per session and scale: the fixture extract written as
+    monthly ``;`` CSV.gz files, then loaded into bronze by the bronze job (all months, one scan)."""
+    key = _key(spark, sf_dir)
+    if key not in _RAW_HOUSES:
+        configure(spark)
+        house = Lakehouse(work_path(spark, "lakehouse"), C)
+        text = fixture.claims_text(spark, sf_dir)
+        raw_csv.write_raw_months(text, house.raw_dir, list(C.raw_columns))
+        months = raw_months(spark, house.raw_dir)
+        bronze_plan.ingest_months(
+            spark, house.raw_dir, house.bronze, months, fixture.INGESTED_AT,
+            layout=raw_csv.FIXTURE_LAYOUT,
+        )
+        _RAW_HOUSES[key] = house
+    return _RAW_HOUSES[key]
 
 
-def lakehouse(spark: SparkSession, sf_dir: str) -> Lakehouse:
-    """The whole pipeline run once per session and scale: raw files -> bronze -> silver ->
-    labels -> gold, under a fresh folder of the shared folder."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key in _BUILT:
-        return _BUILT[key]
-    configure(spark)
-    house = Lakehouse(work_path(spark, "lakehouse"), C)
-    text = fixture.claims_text(spark, sf_dir)
-    raw_csv.write_raw_months(text, house.raw_dir, list(C.raw_columns))
-    months = _months(text)
-    bronze_plan.ingest_months(
-        spark, house.raw_dir, house.bronze, months, fixture.INGESTED_AT, layout=raw_csv.FIXTURE_LAYOUT
-    )
-    silver_plan.build_silver(spark, house.bronze, house.silver, house.quarantine, months, C)
-    write_labels(
-        label_sources.fixture_sources(spark, sf_dir),
-        label_sources.fixture_complements(spark, sf_dir),
-        label_sources.FIXTURE_CODE_COLUMNS,
-        house.labels,
-    )
-    _BUILT[key] = house
-    return house
+def raw_months(spark: SparkSession, raw_dir: str) -> list[str]:
+    """Months that have a raw file (a listing of file names, no content read)."""
+    return sorted(r[0] for r in raw_csv.present_months(spark, raw_dir).collect())
 
 
 # ---------------------------------------------------------------------------------------------
@@ -132,8 +151,9 @@ def bronze_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = fixture.claims_text(spark, sf_dir)
     raw_csv.write_raw_months(text, raw_dir, list(C.raw_columns))
     back = raw_csv.read_months(
-        spark, raw_dir, _months(text), fixture.INGESTED_AT, layout=raw_csv.FIXTURE_LAYOUT
-    )
+        spark, raw_dir, raw_months(spark, raw_dir), fixture.INGESTED_AT,
+        layout=raw_csv.FIXTURE_LAYOUT,
+    )
     return back.select(*C.raw_columns, "_source_file", PARTITION_COLUMN)
 
 
@@ -255,23 +275,24 @@ def rejection_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The silver table as written by the silver job (typed valid rows)."""
     return _silver(spark, sf_dir).select(*BUSINESS, PARTITION_COLUMN)
 
 
 def quarantine_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rejected_rows(_checked(spark, sf_dir)).select(
+    return _quarantine(spark, sf_dir).select(
         *C.raw_columns, PARTITION_COLUMN, F.array_join(REASONS_COLUMN, ",").alias("motifs")
     )
 
 
 def rejection_reason_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reconcile.reason_counts(rejected_rows(_checked(spark, sf_dir)))
+    return reconcile.reason_counts(_quarantine(spark, sf_dir))
 
 
 def _layer_totals(spark: SparkSession, house: Lakehouse) -> DataFrame:
     amount = raw_amount(C)
     return reconcile.layer_totals(
-        reconcile.totals_frame(house.bronze.read(spark), amount),
+        reconcile.totals_frame(_fixture_bronze_ref(house).read(spark), amount),
         reconcile.totals_frame(house.silver.read(spark), F.col(C.amount)),
         reconcile.totals_frame(house.quarantine.read(spark), amount),
     )
@@ -279,12 +300,12 @@ def _layer_totals(spark: SparkSession, house: Lakehouse) -> DataFrame:
 
 def reconcile_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows and converted amount per layer, read back from the written tables."""
-    return _layer_totals(spark, lakehouse(spark, sf_dir))
+    return _layer_totals(spark, fixture_lakehouse(spark, sf_dir))
 
 
 def reconcile_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Failing checks: the built tables (none) and a broken input without its quarantine."""
-    house = lakehouse(spark, sf_dir)
+    house = fixture_lakehouse(spark, sf_dir)
     layers = _layer_totals(spark, house)
     built = reconcile.reconciliation_gaps(layers).withColumn("variant", F.lit("as_built"))
     broken = reconcile.reconciliation_gaps(

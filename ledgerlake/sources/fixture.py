@@ -4,10 +4,11 @@ No real monthly file is available, so the raw extract is derived from lineitem,
 customer and its part, with anomalies injected by a deterministic selector. Every value is text,
 exactly as it would come out of a delimited file.
 
-Scale notes: lineitem is the only large input. Orders and customer are first reduced to
-(order key -> nation key) and that narrow relation is joined to lineitem; part is reduced to
-(part key -> type). Both joins are plain equi-joins: Catalyst/AQE choose broadcast when the
-runtime size allows it and a sort-merge join otherwise, and AQE splits a skewed key.
+Scale notes: lineitem is the only large input and always the streamed side. Orders and customer
+are first reduced to (order key -> nation key) and that narrow relation is joined to lineitem;
+part is reduced to (part key -> type). Each reduced side is broadcast only after a bounded row
+count proves it small; beyond the bound the joins stay sort-merge joins on the key (AQE splits a
+skewed key), so nothing grows on the driver or in one task.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.contract import FIXTURE_RAW_COLUMNS
+from ledgerlake.operators.joins import small_side
 
 # --- Fixed values: the anomaly selector of the fixture (k = order key * 10 + line number) --
 FLOW_MISMATCH_EVERY = 101  # processing month replaced by 209901
@@ -63,8 +65,9 @@ def claims_text(spark: SparkSession, sf_dir: str, with_key: bool = False) -> Dat
         .select("o_orderkey", "c_nationkey")
     )
     part_type = table(spark, sf_dir, "part").select("p_partkey", "p_type")
-    rows = line.join(order_nation, F.col("l_orderkey") == F.col("o_orderkey")).join(
-        part_type, F.col("l_partkey") == F.col("p_partkey")
+    # lineitem always streams; a reduced side is broadcast only when its size is proven small
+    rows = line.join(small_side(order_nation), F.col("l_orderkey") == F.col("o_orderkey")).join(
+        small_side(part_type), F.col("l_partkey") == F.col("p_partkey")
     )
 
     k = F.col("l_orderkey") * 10 + F.col("l_linenumber")
