@@ -41,7 +41,7 @@ def staging_spend(silver: DataFrame, contract: Contract) -> DataFrame:
 
 def labels_for(labels: DataFrame, code_column: str) -> DataFrame:
     """(code, libelle) of one code column of the label dimension."""
-    return labels.where(F.col("code_damir") == F.lit(code_column)).select("code", "libelle")
+    return labels.where(F.col("code_column") == F.lit(code_column)).select("code", "libelle")
 
 
 def monthly_spend(staging: DataFrame, contract: Contract, key: str) -> DataFrame:

@@ -16,7 +16,7 @@ from ledgerlake.functions.codes import clean_label, is_blank, normalize_code
 
 # --- Fixed values ---------------------------------------------------------------------------
 COMPLEMENT_SOURCE = "Complément du projet"
-DIMENSION_COLUMNS = ("code_damir", "code", "libelle", "source")
+DIMENSION_COLUMNS = ("code_column", "code", "libelle", "source")
 # --- end of fixed values -------------------------------------------------------------------
 
 
@@ -53,7 +53,7 @@ def last_label_per_code(rows: DataFrame, code: str, label: str, position: str) -
 def as_source(labels: DataFrame, code_column: str, source: str, priority: int) -> DataFrame:
     """Tag a (code, libelle) frame as one source of one code column."""
     return labels.select(
-        F.lit(code_column).alias("code_damir"),
+        F.lit(code_column).alias("code_column"),
         "code",
         "libelle",
         F.lit(source).alias("source"),
@@ -65,43 +65,43 @@ def merge_by_priority(sources: DataFrame) -> DataFrame:
     """For each (code column, code) the label of the highest-priority source (lowest number)."""
     best = F.min_by(F.struct("libelle", "source"), F.struct("priority", "source"))
     return (
-        sources.groupBy("code_damir", "code")
+        sources.groupBy("code_column", "code")
         .agg(best.alias("best"))
-        .select("code_damir", "code", "best.libelle", "best.source")
+        .select("code_column", "code", "best.libelle", "best.source")
     )
 
 
 def normalized_complements(complements: DataFrame) -> DataFrame:
-    """Complement rows (code_damir, code, libelle, justification) with canonical codes."""
+    """Complement rows (code_column, code, libelle, justification) with canonical codes."""
     return complements.select(
-        "code_damir", normalize_code(F.col("code")).alias("code"), "libelle", "justification"
+        "code_column", normalize_code(F.col("code")).alias("code"), "libelle", "justification"
     )
 
 
 def complement_conflicts(complements: DataFrame, merged: DataFrame) -> DataFrame:
     """Complements for a code some source already labels (must be empty)."""
     return normalized_complements(complements).join(
-        merged.select("code_damir", "code"), ["code_damir", "code"], "left_semi"
+        merged.select("code_column", "code"), ["code_column", "code"], "left_semi"
     )
 
 
 def complement_unknown_columns(complements: DataFrame, code_columns: DataFrame) -> DataFrame:
     """Complements aimed at a code column that is not in the contract (must be empty)."""
     return normalized_complements(complements).join(
-        code_columns.select("code_damir"), "code_damir", "left_anti"
+        code_columns.select("code_column"), "code_column", "left_anti"
     )
 
 
 def column_positions(spark, code_columns: list[str]) -> DataFrame:
     return spark.createDataFrame(
-        list(zip(code_columns, range(len(code_columns)))), "code_damir string, position int"
+        list(zip(code_columns, range(len(code_columns)))), "code_column string, position int"
     )
 
 
 def dimension(sources: DataFrame, complements: DataFrame) -> DataFrame:
     """Merged sources plus the complements (no ordering, no checks)."""
     comp = normalized_complements(complements).select(
-        "code_damir", "code", "libelle", F.lit(COMPLEMENT_SOURCE).alias("source")
+        "code_column", "code", "libelle", F.lit(COMPLEMENT_SOURCE).alias("source")
     )
     return merge_by_priority(sources).unionByName(comp)
 
@@ -112,22 +112,30 @@ def build_dimension(
     """The whole dimension, checked, in (declared column order, code) order.
 
     Raises LabelError when a complement targets an unknown column or duplicates a source.
-    The two checks read only the (bounded) complement rows to the driver.
+    Both checks run as one job and bring only offending complement rows to the driver.
     """
     spark = sources.sparkSession
     positions = column_positions(spark, code_columns)
-    unknown = complement_unknown_columns(complements, positions).collect()
-    if unknown:
-        names = sorted({r["code_damir"] for r in unknown})
-        raise LabelError(f"complements for unknown code columns: {names}")
     merged = merge_by_priority(sources)
-    conflicts = complement_conflicts(complements, merged).collect()
+    offending = (
+        complement_unknown_columns(complements, positions)
+        .select(F.lit("unknown").alias("kind"), "code_column", "code")
+        .unionByName(
+            complement_conflicts(complements, merged).select(
+                F.lit("conflict").alias("kind"), "code_column", "code"
+            )
+        )
+        .collect()
+    )
+    unknown = sorted({r["code_column"] for r in offending if r["kind"] == "unknown"})
+    if unknown:
+        raise LabelError(f"complements for unknown code columns: {unknown}")
+    conflicts = sorted((r["code_column"], r["code"]) for r in offending if r["kind"] == "conflict")
     if conflicts:
-        pairs = sorted((r["code_damir"], r["code"]) for r in conflicts)
-        raise LabelError(f"complements already covered by a source: {pairs}")
+        raise LabelError(f"complements already covered by a source: {conflicts}")
     return (
         dimension(sources, complements)
-        .join(F.broadcast(positions), "code_damir")
+        .join(F.broadcast(positions), "code_column")
         .orderBy("position", "code")
         .select(*DIMENSION_COLUMNS)
     )

@@ -72,7 +72,7 @@ def totals_match(gold: DataFrame, staging: DataFrame, month: str, column: str) -
 
 
 def code_counts(silver: DataFrame, contract: Contract) -> DataFrame:
-    """(code_damir, code, lignes) for every non-NULL value of every code column.
+    """(code_column, code, lignes) for every non-NULL value of every code column.
 
     One scan: the code columns are unpivoted (Expand) and counted with partial aggregation,
     instead of one scan per column glued by UNION ALL.
@@ -80,24 +80,24 @@ def code_counts(silver: DataFrame, contract: Contract) -> DataFrame:
     codes = [(spec.name, spec.source) for spec in contract.code_specs]
     narrow = silver.select(*[F.col(name).alias(source) for name, source in codes])
     return (
-        narrow.unpivot([], [source for _, source in codes], "code_damir", "code")
+        narrow.unpivot([], [source for _, source in codes], "code_column", "code")
         .where(F.col("code").isNotNull())
-        .groupBy("code_damir", "code")
+        .groupBy("code_column", "code")
         .agg(F.count(F.lit(1)).cast("bigint").alias("lignes"))
     )
 
 
 def missing_labels(silver: DataFrame, labels: DataFrame, contract: Contract) -> DataFrame:
-    """Codes present in silver (all months) without a label: (code_damir, code, lignes)."""
-    keys = labels.select("code_damir", "code")
-    return code_counts(silver, contract).join(keys, ["code_damir", "code"], "left_anti")
+    """Codes present in silver (all months) without a label: (code_column, code, lignes)."""
+    keys = labels.select("code_column", "code")
+    return code_counts(silver, contract).join(keys, ["code_column", "code"], "left_anti")
 
 
 def label_coverage(silver: DataFrame, labels: DataFrame, contract: Contract) -> DataFrame:
     """Per code column: rows with a code, rows whose code has a label, and the labelled share."""
-    keys = labels.select("code_damir", "code", F.lit(True).alias("labelled"))
-    counted = code_counts(silver, contract).join(keys, ["code_damir", "code"], "left")
-    return counted.groupBy("code_damir").agg(
+    keys = labels.select("code_column", "code", F.lit(True).alias("labelled"))
+    counted = code_counts(silver, contract).join(keys, ["code_column", "code"], "left")
+    return counted.groupBy("code_column").agg(
         F.sum("lignes").cast("bigint").alias("lignes"),
         F.coalesce(F.sum(F.when(F.col("labelled"), F.col("lignes"))), F.lit(0))
         .cast("bigint")

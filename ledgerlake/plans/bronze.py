@@ -17,9 +17,7 @@ def check_raw_files(
     spark: SparkSession, raw_dir: str, months: list[str], template: str = raw_csv.DEFAULT_TEMPLATE
 ) -> None:
     """Every requested month must have its file before anything is written; report them all."""
-    missing = sorted(
-        r[PARTITION_COLUMN] for r in raw_csv.missing_months(spark, raw_dir, months, template).collect()
-    )
+    missing = raw_csv.missing_month_list(spark, raw_dir, months, template)
     if missing:
         names = ", ".join(raw_csv.file_name(template, m) for m in missing)
         raise FileNotFoundError(f"raw file(s) not found under {raw_dir}: {names}")

@@ -372,11 +372,11 @@ def _candidate_complements(spark: SparkSession, sf_dir: str) -> DataFrame:
     region = fixture.table(spark, sf_dir, "region")
     key = F.col("r_regionkey").cast("string")
     conflicting = region.select(
-        F.lit("region_code").alias("code_damir"), key.alias("code"),
+        F.lit("region_code").alias("code_column"), key.alias("code"),
         F.col("r_name").alias("libelle"), F.lit("region key").alias("justification"),
     )
     unknown = region.select(
-        F.lit("continent_code").alias("code_damir"), key.alias("code"),
+        F.lit("continent_code").alias("code_column"), key.alias("code"),
         F.col("r_name").alias("libelle"), F.lit("continent").alias("justification"),
     )
     return (

@@ -136,22 +136,22 @@ lexicon_src AS (
   WHERE rn = 1
 ),
 sources AS (
-  SELECT 'region_code' AS code_damir, code, libelle, 'nation code list' AS source, 1 AS priority FROM nation_src
+  SELECT 'region_code' AS code_column, code, libelle, 'nation code list' AS source, 1 AS priority FROM nation_src
   UNION ALL SELECT 'service_code', code, libelle, 'part catalog', 1 FROM catalog_src
   UNION ALL SELECT 'service_code', code, libelle, 'part lexicon', 2 FROM lexicon_src
 ),
 merged AS (
-  SELECT code_damir, code, libelle, source FROM (
-    SELECT *, row_number() OVER (PARTITION BY code_damir, code ORDER BY priority, source) AS rn FROM sources)
+  SELECT code_column, code, libelle, source FROM (
+    SELECT *, row_number() OVER (PARTITION BY code_column, code ORDER BY priority, source) AS rn FROM sources)
   WHERE rn = 1
 ),
 complements AS (
-  SELECT 'region_code' AS code_damir, 'R' || CAST(r_regionkey AS VARCHAR) AS code, r_name AS libelle,
+  SELECT 'region_code' AS code_column, 'R' || CAST(r_regionkey AS VARCHAR) AS code, r_name AS libelle,
          'regional grouping of nations' AS justification FROM region
 ),
 dim AS (
-  SELECT code_damir, code, libelle, source FROM merged
-  UNION ALL SELECT code_damir, {_norm('trim(code)')}, libelle, 'Complément du projet' FROM complements
+  SELECT code_column, code, libelle, source FROM merged
+  UNION ALL SELECT code_column, {_norm('trim(code)')}, libelle, 'Complément du projet' FROM complements
 )"""
 
 
@@ -191,7 +191,7 @@ svc AS (
     CAST(a.montant_depense - a.montant_rembourse AS DECIMAL(28,2)) AS montant_non_rembourse,
     {_ratio('a.montant_rembourse', 'a.montant_depense')} AS taux_remboursement_effectif,
     {_ratio('a.montant_depassement', 'a.montant_depense')} AS part_depassement
-  FROM svc_agg a LEFT JOIN (SELECT code, libelle FROM dim WHERE code_damir = 'service_code') l
+  FROM svc_agg a LEFT JOIN (SELECT code, libelle FROM dim WHERE code_column = 'service_code') l
     ON l.code = a.nature_prestation
 )"""
 
@@ -208,7 +208,7 @@ reg AS (
     {_ratio('a.montant_rembourse', 'a.montant_depense')} AS taux_remboursement_effectif,
     {_ratio('a.montant_depense', 'sum(a.montant_depense) OVER (PARTITION BY a.mois_traitement)')}
       AS part_depense_nationale
-  FROM reg_agg a LEFT JOIN (SELECT code, libelle FROM dim WHERE code_damir = 'region_code') l
+  FROM reg_agg a LEFT JOIN (SELECT code, libelle FROM dim WHERE code_column = 'region_code') l
     ON l.code = a.region_residence_beneficiaire
 )"""
 
@@ -216,11 +216,11 @@ _GOLD = _with(_BASE, _TYPED, _LABELS, _SERVICE, _REGION)
 
 _CODE_COUNTS = """
 codes AS (
-  SELECT code_damir, code, count(*) AS lignes FROM (
-    SELECT 'service_code' AS code_damir, nature_prestation AS code FROM silver
+  SELECT code_column, code, count(*) AS lignes FROM (
+    SELECT 'service_code' AS code_column, nature_prestation AS code FROM silver
     UNION ALL SELECT 'status_code', code_statut FROM silver
     UNION ALL SELECT 'region_code', region_residence_beneficiaire FROM silver
-  ) WHERE code IS NOT NULL GROUP BY code_damir, code
+  ) WHERE code IS NOT NULL GROUP BY code_column, code
 )"""
 
 _LAST_MONTH = "(SELECT max(_year_month) FROM fx)"
@@ -312,32 +312,32 @@ ORACLE_SQL: dict[str, str] = {
     UNION ALL SELECT '0' || l_returnflag || l_linestatus FROM lineitem))""",
     "label_first_wins": _with(_LABELS) + "SELECT code, libelle FROM catalog_src",
     "label_last_wins": _with(_LABELS) + "SELECT code, libelle FROM lexicon_src",
-    "label_merge_priority": _with(_LABELS) + "SELECT code_damir, code, libelle, source FROM merged",
+    "label_merge_priority": _with(_LABELS) + "SELECT code_column, code, libelle, source FROM merged",
     "complement_conflicts": _with(_LABELS)
-    + "SELECT 'region_code' AS code_damir, CAST(r_regionkey AS VARCHAR) AS code, r_name AS libelle, "
+    + "SELECT 'region_code' AS code_column, CAST(r_regionkey AS VARCHAR) AS code, r_name AS libelle, "
     "'region key' AS justification FROM region WHERE CAST(r_regionkey AS VARCHAR) IN "
-    "(SELECT code FROM merged WHERE code_damir = 'region_code')",
-    "complement_unknown_columns": "SELECT 'continent_code' AS code_damir, CAST(r_regionkey AS VARCHAR) AS code, "
+    "(SELECT code FROM merged WHERE code_column = 'region_code')",
+    "complement_unknown_columns": "SELECT 'continent_code' AS code_column, CAST(r_regionkey AS VARCHAR) AS code, "
     "r_name AS libelle, 'continent' AS justification FROM region",
-    "label_dimension": _with(_LABELS) + "SELECT code_damir, code, libelle, source FROM dim",
+    "label_dimension": _with(_LABELS) + "SELECT code_column, code, libelle, source FROM dim",
     "label_lookup": _with(_BASE, _TYPED, _LABELS)
     + "SELECT c.code, l.libelle FROM (SELECT DISTINCT nature_prestation AS code FROM silver) c "
-    "LEFT JOIN (SELECT code, libelle FROM dim WHERE code_damir = 'service_code') l ON l.code = c.code",
+    "LEFT JOIN (SELECT code, libelle FROM dim WHERE code_column = 'service_code') l ON l.code = c.code",
     "label_coverage": _with(_BASE, _TYPED, _LABELS, _CODE_COUNTS)
-    + """SELECT code_damir, CAST(lignes AS BIGINT) AS lignes, CAST(lignes_libellees AS BIGINT) AS lignes_libellees,
+    + """SELECT code_column, CAST(lignes AS BIGINT) AS lignes, CAST(lignes_libellees AS BIGINT) AS lignes_libellees,
   CAST(codes AS BIGINT) AS codes, CAST(codes_sans_libelle AS BIGINT) AS codes_sans_libelle,
   """
     + _ratio("lignes_libellees", "lignes")
     + """ AS couverture
 FROM (
-  SELECT c.code_damir, sum(c.lignes) AS lignes,
+  SELECT c.code_column, sum(c.lignes) AS lignes,
     coalesce(sum(CASE WHEN d.code IS NOT NULL THEN c.lignes END), 0) AS lignes_libellees,
     count(*) AS codes, count(*) FILTER (WHERE d.code IS NULL) AS codes_sans_libelle
-  FROM codes c LEFT JOIN dim d ON d.code_damir = c.code_damir AND d.code = c.code
-  GROUP BY c.code_damir)""",
+  FROM codes c LEFT JOIN dim d ON d.code_column = c.code_column AND d.code = c.code
+  GROUP BY c.code_column)""",
     "missing_labels": _with(_BASE, _TYPED, _LABELS, _CODE_COUNTS)
-    + "SELECT c.code_damir, c.code, c.lignes FROM codes c LEFT JOIN dim d "
-    "ON d.code_damir = c.code_damir AND d.code = c.code WHERE d.code IS NULL",
+    + "SELECT c.code_column, c.code, c.lignes FROM codes c LEFT JOIN dim d "
+    "ON d.code_column = c.code_column AND d.code = c.code WHERE d.code IS NULL",
     "stg_spend": _ALL
     + "SELECT mois_traitement, nature_prestation, region_residence_beneficiaire, montant_depense, "
     "base_remboursement, montant_rembourse, montant_depassement FROM silver",

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerlake.contract import Contract
 from ledgerlake.operators import gold, quality
@@ -62,7 +65,7 @@ def checks(
              NotNull(contract.reimbursed)])),
         "not_null_region_label": (WARN, quality.not_null_counts(
             region, REGION_MART, [NotNull(label_region, WARN)])),
-        "unique_labels": (ERROR, quality.unique_grain(labels, ["code_damir", "code"])),
+        "unique_labels": (ERROR, quality.unique_grain(labels, ["code_column", "code"])),
         "unique_service": (ERROR, quality.unique_grain(service, [month, contract.service])),
         "unique_region": (ERROR, quality.unique_grain(region, [month, contract.region])),
         "missing_labels": (WARN, quality.missing_labels(silver, labels, contract)),
@@ -95,11 +98,20 @@ def build_gold(
     overwrite_table(built[SERVICE_MART], service_table)
     overwrite_table(built[REGION_MART], region_table)
     staging = gold.staging_spend(silver_df, contract)
-    results = []
-    for name, (severity, df) in checks(
-        staging, service_table.read(spark), region_table.read(spark), labels_df, silver_df, contract
-    ).items():
-        results.append(CheckResult(name, severity, df.count()))
+    counted = [
+        df.agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(name).alias("name"), F.lit(severity).alias("severity"), "rows"
+        )
+        for name, (severity, df) in checks(
+            staging, service_table.read(spark), region_table.read(spark), labels_df, silver_df,
+            contract,
+        ).items()
+    ]
+    # one job for every check: the scans run as concurrent stages, one round trip
+    results = [
+        CheckResult(r["name"], r["severity"], int(r["rows"]))
+        for r in reduce(DataFrame.unionByName, counted).collect()
+    ]
     errors = [r for r in results if r.severity == ERROR and r.rows]
     if errors and fail_on_error:
         raise DataTestError(", ".join(f"{r.name}: {r.rows} rows" for r in errors))

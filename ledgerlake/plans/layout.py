@@ -11,7 +11,7 @@ from ledgerlake.operators.silver import REASONS_COLUMN
 from ledgerlake.sources.tables import TableRef
 
 LABELS_SCHEMA = StructType(
-    [StructField(n, StringType(), False) for n in ("code_damir", "code", "libelle", "source")]
+    [StructField(n, StringType(), False) for n in ("code_column", "code", "libelle", "source")]
 )
 
 

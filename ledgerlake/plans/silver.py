@@ -75,18 +75,23 @@ def build_silver(
         rejected = rejected.limit(0)  # nothing rejected: empty the months, no second scan
     overwrite_months(rejected, quarantine, months)
 
-    silver_totals = _by_month(
+    # what was written, re-read from disk: both layers' monthly totals in one job
+    quarantine_month = read_months(spark, quarantine, months)
+    written_totals = (
         reconcile.monthly_totals(
             read_months(spark, silver, months).select(PARTITION_COLUMN, contract.amount),
             F.col(contract.amount),
-        ).collect()
-    )
-    quarantine_month = read_months(spark, quarantine, months)
-    quarantine_totals = _by_month(
-        reconcile.monthly_totals(
-            quarantine_month.select(PARTITION_COLUMN, contract.amount_source), amount
-        ).collect()
+        )
+        .withColumn("layer", F.lit("silver"))
+        .unionByName(
+            reconcile.monthly_totals(
+                quarantine_month.select(PARTITION_COLUMN, contract.amount_source), amount
+            ).withColumn("layer", F.lit("quarantine"))
+        )
+        .collect()
     )
+    silver_totals = _by_month(r for r in written_totals if r["layer"] == "silver")
+    quarantine_totals = _by_month(r for r in written_totals if r["layer"] == "quarantine")
     zero = Totals(0, Decimal("0.00"))
     failures = []
     for m in months:

@@ -26,13 +26,17 @@ def _csv(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame
 
 
 def read_dimension(spark: SparkSession, path: str) -> DataFrame:
-    """The label dimension file ``code_damir;code;libelle;source`` with an explicit schema."""
-    return _csv(spark, path).select(*[F.col(f.name) for f in LABELS_SCHEMA.fields])
+    """The label dimension file (code column; code; label; source) with an explicit schema.
+
+    Columns are taken by position, so a file whose header names differ still loads."""
+    schema = ", ".join(f"{f.name} string" for f in LABELS_SCHEMA.fields)
+    return _csv(spark, path, schema)
 
 
 def read_complements(spark: SparkSession, path: str) -> DataFrame:
-    """Complements ``code_damir;code;libelle;justification`` (codes normalised on use)."""
-    return _csv(spark, path, "code_damir string, code string, libelle string, justification string")
+    """Complements (code column; code; label; justification), by position; codes are
+    normalised on use."""
+    return _csv(spark, path, "code_column string, code string, libelle string, justification string")
 
 
 def _position():
@@ -96,7 +100,7 @@ def fixture_lexicon_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fixture_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All label sources of the fixture: (code_damir, code, libelle, source, priority)."""
+    """All label sources of the fixture: (code_column, code, libelle, source, priority)."""
     return (
         as_source(fixture_nation_labels(spark, sf_dir), "region_code", NATION_SOURCE, 1)
         .unionByName(
@@ -111,7 +115,7 @@ def fixture_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fixture_complements(spark: SparkSession, sf_dir: str) -> DataFrame:
     region = table(spark, sf_dir, "region")
     return region.select(
-        F.lit("region_code").alias("code_damir"),
+        F.lit("region_code").alias("code_column"),
         F.concat(F.lit("R"), F.col("r_regionkey").cast("string")).alias("code"),
         F.col("r_name").alias("libelle"),
         F.lit("regional grouping of nations").alias("justification"),

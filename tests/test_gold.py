@@ -87,7 +87,7 @@ def test_checks_detect_problems(spark):
     diff = quality.totals_match(broken, silver, "mois_traitement", "montant_depense").first()
     assert (diff["total_gold"], diff["total_silver"]) == (D("150.00"), D("160.00"))
     dup = _labels(spark).unionByName(_labels(spark).limit(1))
-    assert quality.unique_grain(dup, ["code_damir", "code"]).count() == 1
+    assert quality.unique_grain(dup, ["code_column", "code"]).count() == 1
 
 
 def test_build_gold_end_to_end(spark, make_bronze, tmp_path):
