@@ -31,16 +31,24 @@ def ingest_months(
     ingested_at: datetime | None = None,
     template: str = raw_csv.DEFAULT_TEMPLATE,
     layout: str = "{name}",
+    spread: int | None = None,
 ) -> dict[str, int]:
     """Load several months in ONE scan and ONE write; return the rows written per month.
 
     All files are checked first. The files are read in parallel (one task per gzip file, split
     tasks for splittable files); the write is map-only (no shuffle), each month replacing its
     own partition. Rows per month come from the partition directories just written.
+
+    ``spread``: a gzip file cannot be split, so one very large month is decoded by one task.
+    With ``spread=n`` the decoded rows are dealt round-robin over ``n`` tasks before the Parquet
+    encoding and write, so such a month does not hold the write back (one extra exchange of the
+    text rows). Splittable input (plain or bzip2 CSV) removes the single decoding task as well.
     """
     check_raw_files(spark, raw_dir, months, template)
     ingested_at = ingested_at or datetime.now(timezone.utc)
     df = raw_csv.read_months(spark, raw_dir, months, ingested_at, template, layout)
+    if spread:
+        df = df.repartition(spread)
     overwrite_months(df, bronze, months)
     counts = {
         r[PARTITION_COLUMN]: int(r["rows"])

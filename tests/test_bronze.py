@@ -86,3 +86,9 @@ def test_bad_month():
 
 def test_name_pattern():
     assert name_pattern("A{year}{month:02d}.csv.gz") == r"A([0-9]{4})([0-9]{2})\.csv\.gz"
+
+
+def test_spread_gives_same_rows(spark, tmp_path):
+    raw = _raw(tmp_path, "202501", [f"202501;{i};1;" for i in range(50)])
+    table = _table(tmp_path)
+    assert ingest_months(spark, raw, table, ["202501"], LOADED_AT, spread=4) == {"202501": 50}
