@@ -14,7 +14,6 @@ from pyspark.sql.types import DecimalType
 
 from ledgerlake.contract import Contract
 from ledgerlake.functions.ratio import ratio
-from ledgerlake.operators.joins import small_side
 
 SUM_TYPE = DecimalType(28, 2)
 
@@ -53,10 +52,11 @@ def monthly_spend(staging: DataFrame, contract: Contract, key: str) -> DataFrame
 
 def _with_label(agg: DataFrame, labels: DataFrame, key: str, code_column: str) -> DataFrame:
     """LEFT join on the raw code text: a missing label is NULL, no row lost or duplicated
-    (the dimension has one row per code, checked by unique_grain)."""
-    lib = small_side(labels_for(labels, code_column)).withColumnRenamed(
-        "libelle", LABEL_PREFIX + key
-    )
+    (the dimension has one row per code, checked by unique_grain).
+
+    The label frame is used as given: callers pass it through ``small_side`` once, so it is
+    broadcast only when its size was checked (the hint survives the per-column filter)."""
+    lib = labels_for(labels, code_column).withColumnRenamed("libelle", LABEL_PREFIX + key)
     return agg.join(lib, agg[key] == lib["code"], "left").drop("code")
 
 

@@ -20,6 +20,7 @@ from ledgerlake.functions.codes import normalize_code
 from ledgerlake.functions.dates import parse_year_month
 from ledgerlake.functions.ratio import ratio
 from ledgerlake.operators import gold, labels, quality, reconcile
+from ledgerlake.operators.joins import small_side
 from ledgerlake.operators.quality import ERROR, WARN, NotNull
 from ledgerlake.operators.silver import (
     REASONS_COLUMN,
@@ -106,9 +107,12 @@ def _quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return labels.dimension(
-        label_sources.fixture_sources(spark, sf_dir),
-        label_sources.fixture_complements(spark, sf_dir),
+    """The fixture label dimension, broadcast in joins only after its size was checked."""
+    return small_side(
+        labels.dimension(
+            label_sources.fixture_sources(spark, sf_dir),
+            label_sources.fixture_complements(spark, sf_dir),
+        )
     )
 
 

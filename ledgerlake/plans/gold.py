@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.contract import Contract
 from ledgerlake.operators import gold, quality
+from ledgerlake.operators.joins import small_side
 from ledgerlake.operators.quality import ERROR, WARN, NotNull
 from ledgerlake.sinks.partitions import overwrite_table
 from ledgerlake.sources.tables import TableRef
@@ -93,7 +94,7 @@ def build_gold(
     Errors raise DataTestError after all checks ran (unless ``fail_on_error`` is False);
     warnings are returned with the other results.
     """
-    silver_df, labels_df = silver.read(spark), labels.read(spark)
+    silver_df, labels_df = silver.read(spark), small_side(labels.read(spark))
     built = marts(silver_df, labels_df, contract)
     overwrite_table(built[SERVICE_MART], service_table)
     overwrite_table(built[REGION_MART], region_table)
