@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from ledgerlake.contract import Contract
+from ledgerlake.contract import PARTITION_COLUMN, Contract
 from ledgerlake.functions.ratio import ratio
 
 SUM_TYPE = DecimalType(28, 2)
@@ -31,20 +31,28 @@ def measures(contract: Contract) -> list[str]:
     return [contract.amount, contract.base, contract.reimbursed, contract.overrun]
 
 
-def staging_spend(silver: DataFrame, contract: Contract) -> DataFrame:
-    """The seven silver columns the marts use (column pruning reaches the scan)."""
+def staging_spend(silver: DataFrame, contract: Contract, by_partition: bool = False) -> DataFrame:
+    """The seven silver columns the marts use (column pruning reaches the scan).
+
+    ``by_partition`` keeps the month partition column so marts can be stored and rebuilt per
+    month (see ``plans.gold.build_gold``)."""
+    extra = [PARTITION_COLUMN] if by_partition else []
     return silver.select(
-        contract.processing_month, contract.service, contract.region, *measures(contract)
+        contract.processing_month, contract.service, contract.region, *measures(contract), *extra
     )
 
 
+def _partition_keys(staging: DataFrame) -> list[str]:
+    return [PARTITION_COLUMN] if PARTITION_COLUMN in staging.columns else []
+
+
 def labels_for(labels: DataFrame, code_column: str) -> DataFrame:
     """(code, libelle) of one code column of the label dimension."""
     return labels.where(F.col("code_column") == F.lit(code_column)).select("code", "libelle")
 
 
 def monthly_spend(staging: DataFrame, contract: Contract, key: str) -> DataFrame:
-    return staging.groupBy(contract.processing_month, key).agg(
+    return staging.groupBy(contract.processing_month, key, *_partition_keys(staging)).agg(
         F.count(F.lit(1)).cast("bigint").alias(ROWS),
         *[F.sum(m).cast(SUM_TYPE).alias(m) for m in measures(contract)],
     )
@@ -74,6 +82,7 @@ def spend_by_service(
         (spend - reimbursed).cast(SUM_TYPE).alias(NOT_REIMBURSED),
         ratio(reimbursed, spend).alias(EFFECTIVE_RATE),
         ratio(overrun, spend).alias(OVERRUN_SHARE),
+        *_partition_keys(staging),
     )
 
 
@@ -84,12 +93,15 @@ def spend_by_region(
     code_column = code_column or contract.spec(key).source
     agg = _with_label(monthly_spend(staging, contract, key), labels, key, code_column)
     spend, reimbursed = F.col(contract.amount), F.col(contract.reimbursed)
-    national = F.sum(spend).over(Window.partitionBy(contract.processing_month))
+    national = F.sum(spend).over(
+        Window.partitionBy(contract.processing_month, *_partition_keys(staging))
+    )
     return agg.select(
         contract.processing_month, key, LABEL_PREFIX + key, ROWS, *measures(contract),
         (spend - reimbursed).cast(SUM_TYPE).alias(NOT_REIMBURSED),
         ratio(reimbursed, spend).alias(EFFECTIVE_RATE),
         ratio(spend, national).alias(NATIONAL_SHARE),
+        *_partition_keys(staging),
     )
 
 

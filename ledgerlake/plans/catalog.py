@@ -9,7 +9,6 @@ what they read back.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +20,7 @@ from ledgerlake.functions.dates import parse_year_month
 from ledgerlake.functions.ratio import ratio
 from ledgerlake.operators import gold, labels, quality, reconcile
 from ledgerlake.operators.joins import small_side
-from ledgerlake.operators.quality import ERROR, WARN, NotNull
+from ledgerlake.operators.quality import WARN, NotNull
 from ledgerlake.operators.silver import (
     REASONS_COLUMN,
     raw_amount,
@@ -35,7 +34,6 @@ from ledgerlake.operators.silver import (
 from ledgerlake.plans import bronze as bronze_plan
 from ledgerlake.plans import gold as gold_plan
 from ledgerlake.plans import silver as silver_plan
-from ledgerlake.plans.labels import write_labels
 from ledgerlake.plans.layout import LABELS_SCHEMA, Lakehouse
 from ledgerlake.session import configure, work_path
 from ledgerlake.sinks.partitions import overwrite_month, overwrite_months, overwrite_table

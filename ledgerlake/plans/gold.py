@@ -13,8 +13,8 @@ from ledgerlake.contract import Contract
 from ledgerlake.operators import gold, quality
 from ledgerlake.operators.joins import small_side
 from ledgerlake.operators.quality import ERROR, WARN, NotNull
-from ledgerlake.sinks.partitions import overwrite_table
-from ledgerlake.sources.tables import TableRef
+from ledgerlake.sinks.partitions import overwrite_months, overwrite_partitioned_table
+from ledgerlake.sources.tables import TableRef, read_months
 
 SERVICE_MART = "depenses_par_prestation"
 REGION_MART = "depenses_par_region"
@@ -31,8 +31,10 @@ class CheckResult:
     rows: int
 
 
-def marts(silver: DataFrame, labels: DataFrame, contract: Contract) -> dict[str, DataFrame]:
-    staging = gold.staging_spend(silver, contract)
+def marts(
+    silver: DataFrame, labels: DataFrame, contract: Contract, by_partition: bool = False
+) -> dict[str, DataFrame]:
+    staging = gold.staging_spend(silver, contract, by_partition)
     return {
         SERVICE_MART: gold.spend_by_service(staging, labels, contract),
         REGION_MART: gold.spend_by_region(staging, labels, contract),
@@ -88,23 +90,38 @@ def build_gold(
     region_table: TableRef,
     contract: Contract,
     fail_on_error: bool = True,
+    months: list[str] | None = None,
 ) -> list[CheckResult]:
     """Write both marts, then run every check on what was written.
 
+    The marts are stored partitioned by the silver month partition. Without ``months`` every
+    month is rebuilt; with ``months`` only those silver partitions are read (partition pruning)
+    and only those mart partitions replaced, so a monthly run costs one month, not the whole
+    history. Checks then cover the rebuilt months; the label audit always covers every month.
+
     Errors raise DataTestError after all checks ran (unless ``fail_on_error`` is False);
     warnings are returned with the other results.
     """
-    silver_df, labels_df = silver.read(spark), small_side(labels.read(spark))
-    built = marts(silver_df, labels_df, contract)
-    overwrite_table(built[SERVICE_MART], service_table)
-    overwrite_table(built[REGION_MART], region_table)
+    every_month = silver.read(spark)
+    silver_df = read_months(spark, silver, months) if months else every_month
+    labels_df = small_side(labels.read(spark))
+    built = marts(silver_df, labels_df, contract, by_partition=True)
+    for name, table in ((SERVICE_MART, service_table), (REGION_MART, region_table)):
+        if months:
+            overwrite_months(built[name], table, months)
+        else:
+            overwrite_partitioned_table(built[name], table)
+
+    def written(table: TableRef) -> DataFrame:
+        return read_months(spark, table, months) if months else table.read(spark)
+
     staging = gold.staging_spend(silver_df, contract)
     counted = [
         df.agg(F.count(F.lit(1)).alias("rows")).select(
             F.lit(name).alias("name"), F.lit(severity).alias("severity"), "rows"
         )
         for name, (severity, df) in checks(
-            staging, service_table.read(spark), region_table.read(spark), labels_df, silver_df,
+            staging, written(service_table), written(region_table), labels_df, every_month,
             contract,
         ).items()
     ]

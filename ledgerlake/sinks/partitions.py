@@ -99,3 +99,10 @@ def overwrite_table(df: DataFrame, table: TableRef) -> int:
     counted, obs = _observed(df, "table")
     table.save(counted.write.mode("overwrite"))
     return int(obs.get["rows"])
+
+
+def overwrite_partitioned_table(df: DataFrame, table: TableRef) -> int:
+    """Replace a whole table, partitioned by month; returns the rows written."""
+    counted, obs = _observed(df, "partitioned_table")
+    table.save(counted.write.mode("overwrite").partitionBy(PARTITION_COLUMN))
+    return int(obs.get["rows"])

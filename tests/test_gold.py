@@ -115,3 +115,27 @@ def test_build_gold_fails_on_error(spark, make_bronze, tmp_path):
     overwrite_table(_labels(spark), house.labels)
     with pytest.raises(DataTestError, match="not_null_staging"):
         build_gold(spark, house.silver, house.labels, house.gold("s"), house.gold("r"), CLAIMS)
+
+
+def test_incremental_gold_rebuilds_only_given_months(spark, make_bronze, tmp_path):
+    from ledgerlake.operators.silver import valid_rows, with_reasons
+
+    house = Lakehouse(str(tmp_path / "lake"), CLAIMS)
+    feb = ("A202502.csv.gz", None, "202502")
+    jan_rows = make_bronze({}, {})
+    feb_rows = make_bronze({"FLX_ANN_MOI": "202502"}, technical=feb)
+    overwrite_month(valid_rows(with_reasons(jan_rows, CLAIMS), CLAIMS), house.silver, "202501")
+    overwrite_month(valid_rows(with_reasons(feb_rows, CLAIMS), CLAIMS), house.silver, "202502")
+    overwrite_table(_labels(spark), house.labels)
+    args = (spark, house.silver, house.labels, house.gold("s"), house.gold("r"), CLAIMS)
+    build_gold(*args)
+
+    def lines(table):
+        return {r["_year_month"]: r["nombre_lignes"] for r in table.read(spark).collect()}
+
+    assert lines(house.gold("s")) == {"202501": 2, "202502": 1}
+    feb_more = make_bronze({"FLX_ANN_MOI": "202502"}, {"FLX_ANN_MOI": "202502"}, technical=feb)
+    overwrite_month(valid_rows(with_reasons(feb_more, CLAIMS), CLAIMS), house.silver, "202502")
+    results = build_gold(*args, months=["202502"])
+    assert lines(house.gold("s")) == {"202501": 2, "202502": 2}
+    assert {r.name: r.rows for r in results}["unique_service"] == 0
