@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.contract import Contract
+from ledgerlake.contract import PARTITION_COLUMN, Contract
 from ledgerlake.operators import gold, quality
 from ledgerlake.operators.joins import small_side
 from ledgerlake.operators.quality import ERROR, WARN, NotNull
@@ -107,10 +107,13 @@ def build_gold(
     labels_df = small_side(labels.read(spark))
     built = marts(silver_df, labels_df, contract, by_partition=True)
     for name, table in ((SERVICE_MART, service_table), (REGION_MART, region_table)):
+        # a mart holds (months x codes) aggregated rows: cluster them by month so each month
+        # is one file, instead of one small file per aggregation task and month
+        mart = built[name].repartition(PARTITION_COLUMN)
         if months:
-            overwrite_months(built[name], table, months)
+            overwrite_months(mart, table, months)
         else:
-            overwrite_partitioned_table(built[name], table)
+            overwrite_partitioned_table(mart, table)
 
     def written(table: TableRef) -> DataFrame:
         return read_months(spark, table, months) if months else table.read(spark)
