@@ -53,7 +53,14 @@ def build_silver(
     quarantine: TableRef,
     months: list[str],
     contract: Contract,
+    sort_within: tuple[str, ...] | None = None,
 ) -> SilverResult:
+    """Build silver and quarantine for ``months`` (see module docstring).
+
+    ``sort_within``: silver columns to sort each write task by (no shuffle) so that Parquet
+    row-group min/max statistics become selective for them, e.g. (service, region) for readers
+    filtering on a service or a region. Costs a per-task sort; off by default.
+    """
     months = sorted(set(months))
     source = read_months(spark, bronze, months)
     amount = raw_amount(contract)
@@ -68,7 +75,10 @@ def build_silver(
         raise ValueError(f"months absent from bronze (load them first): {', '.join(absent)}")
 
     checked = with_reasons(source, contract)
-    written = overwrite_months(valid_rows(checked, contract), silver, months)
+    valid = valid_rows(checked, contract)
+    if sort_within:
+        valid = valid.sortWithinPartitions(PARTITION_COLUMN, *sort_within)
+    written = overwrite_months(valid, silver, months)
     bronze_all = _sum(bronze_totals)
     rejected = rejected_rows(checked)
     if written.rows == bronze_all.rows:
@@ -121,5 +131,6 @@ def build_silver_month(
     quarantine: TableRef,
     year_month: str,
     contract: Contract,
+    sort_within: tuple[str, ...] | None = None,
 ) -> SilverResult:
-    return build_silver(spark, bronze, silver, quarantine, [year_month], contract)
+    return build_silver(spark, bronze, silver, quarantine, [year_month], contract, sort_within)
