@@ -345,8 +345,9 @@ FROM (
     "spend_by_region": _GOLD + "SELECT * FROM reg",
     "top_services": _GOLD
     + """SELECT mois_traitement, rang, nature_prestation, libelle_nature_prestation, montant_depense FROM (
-  SELECT *, row_number() OVER (PARTITION BY mois_traitement
-    ORDER BY montant_depense DESC NULLS LAST, nature_prestation) AS rang FROM svc) WHERE rang <= 5""",
+  SELECT *, CAST(row_number() OVER (PARTITION BY mois_traitement
+    ORDER BY montant_depense DESC NULLS LAST, nature_prestation) AS INTEGER) AS rang FROM svc)
+WHERE rang <= 5""",
     "ratio": _ALL
     + f"""SELECT famille, numerateur, denominateur, {_ratio('numerateur', 'denominateur')} AS ratio, count(*) AS lignes
 FROM (

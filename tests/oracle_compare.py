@@ -33,6 +33,17 @@ def norm(v):
     return v
 
 
+def same_type(spark_type: str, duck_type: str) -> bool:
+    duck = duck_type.upper().replace(" ", "")
+    names = {
+        "string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "date": "DATE",
+        "double": "DOUBLE", "boolean": "BOOLEAN",
+    }
+    if spark_type.startswith("decimal"):
+        return duck == spark_type.upper()
+    return names.get(spark_type) == duck
+
+
 def digest(columns, rows):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     lines = sorted(repr(tuple(norm(r[i]) for i in order)) for r in rows)
@@ -81,6 +92,14 @@ def main() -> int:
             print(f"{name:32s} DUCKDB ERROR {str(e)[:300]}")
             bad += 1
             continue
+        duck_types = {d[0]: str(d[1]) for d in cur.description}
+        type_diffs = [
+            (f.name, f.dataType.simpleString(), duck_types.get(f.name))
+            for f in df.schema
+            if not same_type(f.dataType.simpleString(), duck_types.get(f.name, ""))
+        ]
+        if type_diffs:
+            print(f"{name:32s} TYPES {type_diffs}")
         h1, l1 = digest(cols, rows)
         h2, l2 = digest(dcols, drows)
         ok = sorted(cols) == sorted(dcols) and h1 == h2
