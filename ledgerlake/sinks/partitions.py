@@ -3,10 +3,11 @@
 Rows have no key, so a month is always *replaced*, never merged: re-running a month replaces its
 rows, and an empty input empties the month. Parquet has no transaction log, therefore:
 
-* a single month is written to its own partition directory (static overwrite). This clears the
-  month even when the input is empty, which a dynamic partition overwrite would not do;
-* several months are written in one job with a dynamic partition overwrite, and the months that
-  received no row are then emptied one by one (usually none, bounded by the months requested);
+* rows are written with a dynamic partition overwrite: each month that receives rows is replaced
+  when the job commits (a failed job leaves the previous data readable);
+* a requested month that received no row is then emptied by an empty write to its own partition
+  directory (a dynamic overwrite alone would leave the old month in place), one small job per
+  such month, bounded by the months requested;
 * rows written are counted with an Observation during the write, never by re-reading.
 """
 
@@ -33,12 +34,28 @@ def _observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 
 
 def overwrite_month(df: DataFrame, table: TableRef, year_month: str) -> int:
-    """Replace one month of ``table`` with ``df`` and return the rows written."""
+    """Replace one month of ``table`` with ``df`` and return the rows written.
+
+    Rows are written with a dynamic partition overwrite: the month's old files are replaced
+    only when the job commits, so a job lost half-way (executors gone, driver restarted)
+    leaves the previous month readable and a rerun repeats the replacement. A month that
+    receives no row is then emptied explicitly.
+    """
     if table.is_catalog:
         return _insert_overwrite_month(df, table, year_month)
-    counted, obs = _observed(df.drop(PARTITION_COLUMN), f"month_{year_month}")
-    counted.write.mode("overwrite").parquet(table.partition_path(year_month))
-    return int(obs.get["rows"])
+    return overwrite_months(
+        df.withColumn(PARTITION_COLUMN, F.lit(year_month)), table, [year_month]
+    ).rows
+
+
+def _clear_month(df: DataFrame, table: TableRef, year_month: str) -> None:
+    """Empty one month: an empty write to the month's own directory (static overwrite)."""
+    if table.is_catalog:
+        _insert_overwrite_month(df.limit(0), table, year_month)
+        return
+    df.limit(0).drop(PARTITION_COLUMN).write.mode("overwrite").parquet(
+        table.partition_path(year_month)
+    )
 
 
 def _insert_overwrite_month(df: DataFrame, table: TableRef, year_month: str) -> int:
@@ -88,9 +105,8 @@ def overwrite_months(df: DataFrame, table: TableRef, months: list[str]) -> Write
         table.save(writer)
     result = obs.get
     written = tuple(sorted(result["months"] or []))
-    empty = df.limit(0)
     for year_month in sorted(set(months) - set(written)):
-        overwrite_month(empty, table, year_month)
+        _clear_month(df, table, year_month)
     return WriteResult(rows=int(result["rows"]), months=written)
 
 
