@@ -55,20 +55,43 @@ def unique_grain(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def totals_match(gold: DataFrame, staging: DataFrame, month: str, column: str) -> DataFrame:
-    """Months where the gold total of ``column`` differs from the silver total (NULL-safe).
-
-    Both sides are reduced to one row per month before the full outer join, so the join is
-    tiny; a NULL month never matches and surfaces as a difference.
+def totals_match(
+    gold: DataFrame, staging: DataFrame, month: str, columns: str | list[str]
+) -> DataFrame:
+    """Months where a gold total differs from the silver total (NULL-safe), per column:
+    (column, month, total_gold, total_silver).
+
+    Both sides are reduced to one row per month (all columns summed in the same aggregate, so
+    several checks over the same silver share one aggregation) before the full outer join, so
+    the join is tiny; a NULL month never matches and surfaces as a difference.
     """
-    g = gold.groupBy(month).agg(F.sum(column).cast("decimal(38,2)").alias("total_gold"))
-    s = staging.groupBy(month).agg(F.sum(column).cast("decimal(38,2)").alias("total_silver"))
-    joined = g.alias("g").join(s.alias("s"), F.col(f"g.{month}") == F.col(f"s.{month}"), "full")
-    return joined.select(
-        F.coalesce(F.col(f"g.{month}"), F.col(f"s.{month}")).alias(month),
-        "total_gold",
-        "total_silver",
-    ).where(~F.col("total_gold").eqNullSafe(F.col("total_silver")))
+    columns = [columns] if isinstance(columns, str) else list(columns)
+
+    def sums(df: DataFrame, side: str) -> DataFrame:
+        return df.groupBy(month).agg(
+            *[F.sum(c).cast("decimal(38,2)").alias(f"{side}_{c}") for c in columns]
+        )
+
+    g, s = sums(gold, "g").alias("g"), sums(staging, "s").alias("s")
+    joined = g.join(s, F.col(f"g.{month}") == F.col(f"s.{month}"), "full")
+    per_column = F.array(
+        *[
+            F.struct(
+                F.lit(c).alias("column"),
+                F.col(f"g_{c}").alias("total_gold"),
+                F.col(f"s_{c}").alias("total_silver"),
+            )
+            for c in columns
+        ]
+    )
+    return (
+        joined.select(
+            F.coalesce(F.col(f"g.{month}"), F.col(f"s.{month}")).alias(month),
+            F.inline(per_column),
+        )
+        .where(~F.col("total_gold").eqNullSafe(F.col("total_silver")))
+        .select("column", month, "total_gold", "total_silver")
+    )
 
 
 def code_counts(silver: DataFrame, contract: Contract) -> DataFrame:

@@ -482,16 +482,16 @@ def totals_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     month = C.processing_month
     out = None
     for name, mart in (("service", service), ("region", region)):
-        for column in (C.amount, C.reimbursed):
-            part = quality.totals_match(mart, staging, month, column).withColumn(
-                "check", F.lit(f"{name}:{column}")
-            )
-            out = part if out is None else out.unionByName(part)
+        part = quality.totals_match(mart, staging, month, [C.amount, C.reimbursed])
+        part = part.select(F.concat_ws(":", F.lit(name), "column").alias("check"), *part.columns[1:])
+        out = part if out is None else out.unionByName(part)
     latest = staging.agg(F.max(month).alias("m"))
     broken = service.join(latest, F.col(month) == F.col("m"), "left_anti")
+    dropped = quality.totals_match(broken, staging, month, C.amount)
     out = out.unionByName(
-        quality.totals_match(broken, staging, month, C.amount).withColumn(
-            "check", F.lit(f"service_latest_month_dropped:{C.amount}")
+        dropped.select(
+            F.concat_ws(":", F.lit("service_latest_month_dropped"), "column").alias("check"),
+            *dropped.columns[1:],
         )
     )
     return out.select("check", month, "total_gold", "total_silver")
