@@ -118,6 +118,25 @@ def main() -> None:
         spark, house.silver, house.labels, house.gold("service"), house.gold("region"),
         FIXTURE, fail_on_error=False, months=[month]))
 
+    # the whole chain again: reloading is idempotent (same counts), and warm
+    t0 = time.perf_counter()
+    rows_again = bronze.ingest_months(
+        spark, house.raw_dir, house.bronze, months, fixture.INGESTED_AT,
+        layout=raw_csv.FIXTURE_LAYOUT,
+    )
+    result_again = silver.build_silver(
+        spark, house.bronze, house.silver, house.quarantine, months, FIXTURE
+    )
+    overwrite_table(labels.read_dimension(spark, label_file), house.labels)
+    gold.build_gold(
+        spark, house.silver, house.labels, house.gold("service"), house.gold("region"),
+        FIXTURE, fail_on_error=False,
+    )
+    rerun = round(time.perf_counter() - t0, 3)
+    idempotent = rows_again == rows and result_again.silver == result.silver and (
+        result_again.quarantine == result.quarantine
+    )
+
     qs = catalog.QUERIES
     timed("query_tables", lambda: catalog.fixture_lakehouse(spark, sf_dir))
     for name in HEADLINE:
@@ -131,6 +150,8 @@ def main() -> None:
                 "unit": "sec",
                 "queries": times,
                 "sf": os.path.basename(sf_dir).replace("sf", ""),
+                "rerun_pipeline_seconds": rerun,
+                "rerun_idempotent": idempotent,
                 "monthly_run_seconds": round(
                     times["month_bronze"] + times["month_silver"] + times["month_gold"], 3
                 ),

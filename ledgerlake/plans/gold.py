@@ -17,6 +17,7 @@ from ledgerlake.sinks.partitions import overwrite_months, overwrite_partitioned_
 from ledgerlake.sources.tables import TableRef, read_months
 
 SERVICE_MART = "depenses_par_prestation"
+MAX_MART_WRITERS = 128  # parallel writers of a mart (one month is always in one task)
 REGION_MART = "depenses_par_region"
 
 
@@ -105,10 +106,16 @@ def build_gold(
     silver_df = read_months(spark, silver, months) if months else silver.read(spark)
     labels_df = small_side(labels.read(spark))
     built = marts(silver_df, labels_df, contract, by_partition=True)
+    # a mart holds (months x codes) aggregated rows: cluster them by month so each month is one
+    # file (not one small file per aggregation task and month), over an explicit number of
+    # tasks so the months are written in parallel (AQE does not merge an explicit count)
+    writers = min(
+        len(months) if months else MAX_MART_WRITERS,
+        spark.sparkContext.defaultParallelism,
+        MAX_MART_WRITERS,
+    )
     for name, table in ((SERVICE_MART, service_table), (REGION_MART, region_table)):
-        # a mart holds (months x codes) aggregated rows: cluster them by month so each month
-        # is one file, instead of one small file per aggregation task and month
-        mart = built[name].repartition(PARTITION_COLUMN)
+        mart = built[name].repartition(max(writers, 1), PARTITION_COLUMN)
         if months:
             overwrite_months(mart, table, months)
         else:
