@@ -121,7 +121,9 @@ def build_gold(
         else:
             overwrite_partitioned_table(mart, table)
 
-    def written(table: TableRef) -> DataFrame:
+    def written(table: TableRef, name: str) -> DataFrame:
+        if not table.is_catalog:  # the schema is known: no inference over the month folders
+            table = TableRef(path=table.path, schema=built[name].schema)
         return read_months(spark, table, months) if months else table.read(spark)
 
     staging = gold.staging_spend(silver_df, contract)
@@ -130,7 +132,8 @@ def build_gold(
             F.lit(name).alias("name"), F.lit(severity).alias("severity"), "rows"
         )
         for name, (severity, df) in checks(
-            staging, written(service_table), written(region_table), labels_df, silver_df,
+            staging, written(service_table, SERVICE_MART), written(region_table, REGION_MART),
+            labels_df, silver_df,
             contract,
         ).items()
     ]
