@@ -4,8 +4,8 @@ Jobs, for any number of months at once:
 1. bronze totals per month: rows and converted amount, reading ONE column of the months;
    a requested month without bronze rows is refused before anything is written;
 2. valid rows typed and written (dynamic partition overwrite, rows observed during the write);
-3. rejected rows (original text + reasons) written; when silver received every bronze row there
-   is no reject and the quarantine months are emptied without a second scan of bronze;
+3. rejected rows (original text + reasons) written: only the months the silver pass saw rejects
+   in are scanned again; the other requested months are emptied without reading bronze;
 4. silver and quarantine re-read from disk and reconciled with bronze per month, to the cent;
 5. reasons histogram of the quarantine (only if something was rejected).
 """
@@ -15,7 +15,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from decimal import Decimal
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.contract import PARTITION_COLUMN, Contract
@@ -74,15 +74,24 @@ def build_silver(
     if absent:
         raise ValueError(f"months absent from bronze (load them first): {', '.join(absent)}")
 
-    checked = with_reasons(source, contract)
+    checked_obs = Observation("checked")
+    checked = with_reasons(source, contract, checked_obs)
     valid = valid_rows(checked, contract)
     if sort_within:
         valid = valid.sortWithinPartitions(PARTITION_COLUMN, *sort_within)
     written = overwrite_months(valid, silver, months)
     bronze_all = _sum(bronze_totals)
-    rejected = rejected_rows(checked)
+    # the silver pass observed which months hold rejects: only those are scanned again for the
+    # quarantine; the others are emptied without reading bronze (no reject at all: no scan)
+    with_rejects = sorted(checked_obs.get["months_rejected"] or [])
     if written.rows == bronze_all.rows:
-        rejected = rejected.limit(0)  # nothing rejected: empty the months, no second scan
+        with_rejects = []
+    if with_rejects:
+        rejected = rejected_rows(
+            with_reasons(read_months(spark, bronze, with_rejects), contract)
+        )
+    else:
+        rejected = rejected_rows(checked).limit(0)
     overwrite_months(rejected, quarantine, months)
 
     # what was written, re-read from disk: both layers' monthly totals in one job
