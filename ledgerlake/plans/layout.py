@@ -10,9 +10,11 @@ from ledgerlake.contract import TECHNICAL_FIELDS, Contract
 from ledgerlake.operators.silver import REASONS_COLUMN
 from ledgerlake.sources.tables import TableRef
 
+# --- Fixed values: label table columns (code column, code, label, source) -------------------
 LABELS_SCHEMA = StructType(
     [StructField(n, StringType(), False) for n in ("code_column", "code", "libelle", "source")]
 )
+# --- end of fixed values -------------------------------------------------------------------
 
 
 def quarantine_schema(contract: Contract) -> StructType:
