@@ -74,7 +74,7 @@ def build_silver(
     if absent:
         raise ValueError(f"months absent from bronze (load them first): {', '.join(absent)}")
 
-    checked_obs = Observation("checked")
+    checked_obs = Observation()
     checked = with_reasons(source, contract, checked_obs)
     valid = valid_rows(checked, contract)
     if sort_within:

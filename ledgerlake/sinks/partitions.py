@@ -29,7 +29,9 @@ class WriteResult:
 
 
 def _observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    obs = Observation(name)
+    """``df`` counting its rows while written; ``name`` is descriptive only (each observation
+    gets a unique id, so concurrent writes in one session never mix their counts)."""
+    obs = Observation()
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
@@ -84,7 +86,7 @@ def overwrite_months(df: DataFrame, table: TableRef, months: list[str]) -> Write
     ``df`` must only hold rows of those months. The set of months observed during the write is
     bounded by ``months``; months that received no row are emptied afterwards.
     """
-    obs = Observation("months")
+    obs = Observation()
     counted = df.observe(
         obs,
         F.count(F.lit(1)).alias("rows"),
