@@ -1,0 +1,23 @@
+from pyspark.sql import functions as F
+
+from ledgerlake.operators.joins import small_side
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_broadcast_only_when_count_is_under_the_bound(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        big = spark.range(100).withColumn("k", F.col("id") % 10)
+        side = spark.range(10).withColumnRenamed("id", "k")
+        hinted = big.join(small_side(side, max_rows=10), "k")
+        assert "BroadcastHashJoin" in _plan(hinted)
+        plain = big.join(small_side(side, max_rows=5), "k")
+        assert "BroadcastHashJoin" not in _plan(plain)
+        assert hinted.count() == plain.count() == 100
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
