@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerlake.llm import token_output
+from ledgerlake.llm import bpe, simhash, token_output, url_filter
 from ledgerlake.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,8 +25,29 @@ def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.token_digest(files)
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.filter_urls(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "labels"))
+
+
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.simhash_components(_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
+    )
+
+
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return bpe.bpe_roundtrip(_table(spark, sf_dir, "documents"), path)
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_output": op1_token_output,
+    "op2_url_filter": op2_url_filter,
+    "op4_simhash": op4_simhash,
+    "op5_bpe": op5_bpe,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_url_filter": url_filter.SQL,
+}
