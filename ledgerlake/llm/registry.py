@@ -8,7 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import bpe, simhash, token_output, url_filter
+from ledgerlake.llm import (
+    bpe,
+    decontam,
+    langid,
+    line_dedup,
+    secret_scan,
+    simhash,
+    token_output,
+    url_filter,
+)
 from ledgerlake.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +38,10 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "labels"))
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan_secrets(_table(spark, sf_dir, "documents"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.simhash_components(_table(spark, sf_dir, "documents"))
     return found.select(
@@ -41,13 +54,49 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_roundtrip(_table(spark, sf_dir, "documents"), path)
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "text", "n_removed"
+    )
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    langs, model = langid.fit_text_model(docs)
+    found = langid.identify_language(
+        docs, langs, model, F.col("text"), F.col("lang"), F.col("source"), carry=["doc_id"]
+    )
+    return found.select("doc_id", "lang_id", F.round("lang_posterior", 6).alias("posterior"), F.col("lang_ok").alias("kept"))
+
+
+def language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 9 over raw pages: text of the markup, its declared language, the url's host."""
+    langs, model = langid.fit_text_model(_table(spark, sf_dir, "documents"))
+    html = F.col("html")
+    found = langid.identify_language(
+        _table(spark, sf_dir, "pages"), langs, model, langid.page_text(html),
+        langid.markup_language(html), url_filter.host_of(F.col("url")), carry=["page_id"],
+    )
+    return found.select("page_id", "lang_id", F.round("lang_posterior", 6).alias("posterior"), F.col("lang_ok").alias("kept"))
+
+
+def op10_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_output": op1_token_output,
     "op2_url_filter": op2_url_filter,
+    "op3_secret_scan": op3_secret_scan,
     "op4_simhash": op4_simhash,
     "op5_bpe": op5_bpe,
+    "op8_line_dedup": op8_line_dedup,
+    "op9_language_id": op9_language_id,
+    "op10_decontam": op10_decontam,
+    "language_id_pages": language_id_pages,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_url_filter": url_filter.SQL,
+    "op8_line_dedup": line_dedup.SQL,
 }

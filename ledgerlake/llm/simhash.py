@@ -246,3 +246,27 @@ def simhash_components(
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     named = materialize(rooted.join(least, "root").select("fp", "component_id"), "fingerprint-names")
     return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+
+
+def drop_near_duplicates(
+    docs: DataFrame,
+    shingle: int = SHINGLE,
+    radius: int = RADIUS,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """``docs`` with one document of each component: the one with the smallest id (in a component
+    without ids, the rows without). Rows that share this id are one document; the one whose text
+    hashes lowest stays. All columns are kept."""
+    found = simhash_components(docs, shingle, radius, id_col, text_col)
+    stay = materialize(
+        found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .groupBy(F.col("doc_id").alias("_id"))
+        .agg(F.count(F.lit(1)).alias("_rows")),
+        "kept-documents",
+    )
+    kept = docs.join(stay, docs[id_col].cast("bigint").eqNullSafe(F.col("_id")), "left_semi")
+    if stay.where("_rows > 1").isEmpty():
+        return kept
+    row = F.min_by(F.struct(*(F.col(c) for c in docs.columns)), F.xxhash64(F.col(text_col)))
+    return kept.groupBy(F.col(id_col).alias("_id")).agg(row.alias("_row")).select("_row.*")

@@ -146,8 +146,8 @@ def _rates_sql(level: str, above: str | None) -> str:
     return f"""
 {level}_rows AS ({rows}),
 {level}_rho AS (
-  SELECT least(greatest(CASE WHEN coalesce(room, 0) = 0 THEN {MOST_RHO} ELSE over / room END, {LEAST_RHO}), {MOST_RHO})::DOUBLE rho
-  FROM (SELECT sum(pow(bad - n * p, 2) - n * p * (1 - p)) over, sum(n * (n - 1) * p * (1 - p)) room FROM {level}_rows)),
+  SELECT least(greatest(CASE WHEN coalesce(room, 0) = 0 THEN {MOST_RHO} ELSE above / room END, {LEAST_RHO}), {MOST_RHO})::DOUBLE rho
+  FROM (SELECT sum(pow(bad - n * p, 2) - n * p * (1 - p)) above, sum(n * (n - 1) * p * (1 - p)) room FROM {level}_rows)),
 {level}_rate AS (
   SELECT {level}, a, b, a / (a + b) rate FROM (
     SELECT {level}, bad + (1 - rho) / rho * p a, n - bad + (1 - rho) / rho * (1 - p) b FROM {level}_rows, {level}_rho))"""
