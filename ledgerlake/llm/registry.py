@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ledgerlake.llm import (
     bpe,
     decontam,
+    embed_dedup,
     langid,
     line_dedup,
     secret_scan,
@@ -54,6 +55,10 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_roundtrip(_table(spark, sf_dir, "documents"), path)
 
 
+def op7_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.link_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(_table(spark, sf_dir, "documents")).select(
         "doc_id", "text", "n_removed"
@@ -90,6 +95,7 @@ QUERIES: dict[str, Query] = {
     "op3_secret_scan": op3_secret_scan,
     "op4_simhash": op4_simhash,
     "op5_bpe": op5_bpe,
+    "op7_embed_dedup": op7_embed_dedup,
     "op8_line_dedup": op8_line_dedup,
     "op9_language_id": op9_language_id,
     "op10_decontam": op10_decontam,
