@@ -14,6 +14,7 @@ from ledgerlake.llm import (
     embed_dedup,
     langid,
     line_dedup,
+    lm_score,
     secret_scan,
     simhash,
     token_output,
@@ -55,6 +56,10 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_roundtrip(_table(spark, sf_dir, "documents"), path)
 
 
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score_texts(_table(spark, sf_dir, "documents"))
+
+
 def op7_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.link_vectors(_table(spark, sf_dir, "embeddings"))
 
@@ -95,6 +100,7 @@ QUERIES: dict[str, Query] = {
     "op3_secret_scan": op3_secret_scan,
     "op4_simhash": op4_simhash,
     "op5_bpe": op5_bpe,
+    "op6_lm_score": op6_lm_score,
     "op7_embed_dedup": op7_embed_dedup,
     "op8_line_dedup": op8_line_dedup,
     "op9_language_id": op9_language_id,
