@@ -7,7 +7,8 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from ledgerlake.session import work_path
 
@@ -23,6 +24,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def column(name: str) -> Column:
+    """The column of exactly this name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def free_prefix(columns: Iterable[str], start: str = "_") -> str:
+    """A prefix that no column name begins with."""
+    while any(c.lower().startswith(start) for c in columns):
+        start += "_"
+    return start
+
+
 def worker_cache(name: str) -> dict:
     """A dict that lives as long as the Python worker process (tasks share it)."""
     import sys

@@ -304,14 +304,17 @@ def drop_contaminated(
     similarity: float = SIMILARITY,
 ) -> DataFrame:
     """``docs`` without the rows into which an item leaked; all columns kept."""
+    names = docs.columns
+    text = f"c{names.index(text_col)}"
+    kept = docs.toDF(*(f"c{k}" for k in range(len(names))))  # whatever their names are
     for block in _blocks(items, item_id, item_text):
         index = Index(block, similarity)
 
         def run(batches: Iterable[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
-            for piece in pieces(batches, text_col, PIECE_BYTES):
+            for piece in pieces(batches, text, PIECE_BYTES):
                 clean = np.ones(piece.num_rows, bool)
-                clean[[hit[0] for hit in index.search(piece.column(text_col))]] = False
+                clean[[hit[0] for hit in index.search(piece.column(text))]] = False
                 yield piece.filter(pa.array(clean))
 
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs
+        kept = kept.mapInArrow(run, kept.schema)
+    return kept.toDF(*names)

@@ -34,8 +34,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructType
 
-from ledgerlake.llm.common import materialize, pieces
+from ledgerlake.llm.common import column, materialize, pieces
 
 UND = "und"
 SAMPLE = 4000
@@ -118,14 +119,14 @@ def fit_text_model(
     return langs, model.astype(np.float32)
 
 
-def _scorer(model: np.ndarray):
-    """Appends ``_ll``: tempered log-likelihood of each class, the last one ``und``; null without
-    letters."""
+def _scorer(model: np.ndarray, text: str, result: str):
+    """Puts ``result`` for ``text``: tempered log-likelihood of each class, the last one ``und``; null
+    without letters."""
     kind = pa.list_(pa.float64())
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches, "_text", PIECE_BYTES):
-            gram, counts = trigrams(piece.column("_text"))
+        for piece in pieces(batches, text, PIECE_BYTES):
+            gram, counts = trigrams(piece.column(text))
             full = np.flatnonzero(counts)
             scores = np.zeros((len(counts), len(model) + 1))
             if len(full):
@@ -135,9 +136,9 @@ def _scorer(model: np.ndarray):
             scores[:, -1] = -counts * np.log(GRAMS)
             scores *= TEMPER
             ll = pa.array([s if n else None for s, n in zip(scores.tolist(), counts)], kind)
-            at = piece.schema.get_field_index("_text")
+            at = piece.schema.get_field_index(text)
             piece = piece.remove_column(at)
-            yield pa.RecordBatch.from_arrays([*piece.columns, ll], names=[*piece.schema.names, "_ll"])
+            yield pa.RecordBatch.from_arrays([*piece.columns, ll], names=[*piece.schema.names, result])
 
     return run
 
@@ -194,21 +195,20 @@ def identify_language(
     ``lang_ok``."""
     carry = [c for c in (rows.columns if carry is None else carry) if c not in RESULTS]
     classes = len(langs) + 1
+    said_as, at_host, ll = "declared", "host", "ll"
     seen = rows.select(
-        *carry,
-        primary_tag(declared).alias("_declared"),
-        F.coalesce(F.lower(host.cast("string")), F.lit("")).alias("_host"),
-        text.cast("string").alias("_text"),
+        *(column(c).alias(f"c{k}") for k, c in enumerate(carry)),  # whatever their names are
+        primary_tag(declared).alias(said_as),
+        F.coalesce(F.lower(host.cast("string")), F.lit("")).alias(at_host),
+        text.cast("string").alias("text"),
     )
-    kinds = ", ".join(
-        f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in seen.schema if f.name != "_text"
+    schema = StructType([f for f in seen.schema if f.name != "text"]).add(ll, ArrayType(DoubleType()))
+    scored = materialize(seen.mapInArrow(_scorer(model, "text", ll), schema), "text-evidence")
+    known = F.when(F.col(said_as) == "", F.lit(None)).otherwise(
+        F.when(F.col(said_as).isin(langs), F.col(said_as)).otherwise("other")
     )
-    scored = materialize(seen.mapInArrow(_scorer(model), f"{kinds}, _ll array<double>"), "text-evidence")
-    known = F.when(F.col("_declared") == "", F.lit(None)).otherwise(
-        F.when(F.col("_declared").isin(langs), F.col("_declared")).otherwise("other")
-    )
-    soft = scored.where("_ll is not null").select(
-        "_host", known.alias("_declared"), _softmax(F.col("_ll")).alias("_soft")
+    soft = scored.where(F.col(ll).isNotNull()).select(
+        F.col(at_host).alias("_host"), known.alias("_declared"), _softmax(F.col(ll)).alias("_soft")
     )
     # probability of each declared value given the class: at most MOST_LANGS + 1 rows
     declared_sums = {
@@ -231,19 +231,22 @@ def identify_language(
     for v, row in zip(values, declares):
         said = F.when(known == v, literal(row)).otherwise(said)
     fused = F.zip_with(
-        F.zip_with("_ll", F.coalesce(said, literal([0.0] * classes)), lambda x, y: x + y),
-        F.coalesce("_prior", literal(even)),
+        F.zip_with(ll, F.coalesce(said, literal([0.0] * classes)), lambda x, y: x + y),
+        F.coalesce("prior", literal(even)),
         lambda x, y: x + y,
     )
-    judged = scored.join(priors, "_host", "left").select(
-        *carry, F.when(F.col("_ll").isNotNull(), _softmax(fused)).alias("_posterior")
+    priors = priors.select(F.col("_host").alias(at_host), F.col("_prior").alias("prior"))
+    judged = scored.join(priors, at_host, "left").select(
+        *(F.col(f"c{k}") for k in range(len(carry))),
+        F.when(F.col(ll).isNotNull(), _softmax(fused)).alias("posterior"),
     )
-    best = F.array_max("_posterior")
+    posterior = F.col("posterior")
+    best = F.array_max(posterior)
     names = F.array(*(F.lit(x) for x in [*langs, UND]))
-    lang = F.element_at(names, F.array_position("_posterior", best).cast("int"))
+    lang = F.element_at(names, F.array_position(posterior, best).cast("int"))
     return judged.select(
-        *carry,
-        F.when(F.col("_posterior").isNotNull(), lang).alias("lang_id"),
+        *(F.col(f"c{k}").alias(c) for k, c in enumerate(carry)),
+        F.when(posterior.isNotNull(), lang).alias("lang_id"),
         best.alias("lang_posterior"),
         F.coalesce((lang != UND) & (best >= least), F.lit(False)).alias("lang_ok"),
     )

@@ -12,7 +12,8 @@ Documents are ordered by ``doc_id`` (null last), then by a hash of the text.
 
 Cases: a null text stays null; a text of fewer than three lines that are not blank is kept whole;
 rows that repeat id and text are one document and share its fate; windows may repeat inside a
-document too; an empty table gives no row; all other columns are carried along.
+document too; an empty table gives no row; all other columns are carried along, but for one
+named like the count, which is replaced.
 """
 
 from __future__ import annotations
@@ -20,16 +21,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import materialize
+from ledgerlake.llm.common import column, free_prefix, materialize
 
 WINDOW = 3
 
 
 def _windows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(d, t, p, q, r, h1, h2): document and text hash, line numbers of the window, its hashes."""
-    text = F.col(text_col).cast("string")
+    text = column(text_col).cast("string")
     lines = docs.select(
-        F.col(id_col).alias("d"), F.xxhash64(text).alias("t"), F.split(text, "\n").alias("lines")
+        column(id_col).alias("d"), F.xxhash64(text).alias("t"), F.split(text, "\n").alias("lines")
     )
     full = F.filter(
         F.transform(
@@ -66,28 +67,35 @@ def dedup_lines(
         F.min(place).alias("first"), F.max(place).alias("last")
     )
     again = materialize(first.where("first <> last").select("h1", "h2", "first"), "repeated-windows")
-    later = windows.join(again, ["h1", "h2"]).where(place != F.col("first"))
+    # sort-merge joins at every size: adaptive execution splits their hot keys
+    later = windows.join(again.hint("merge"), ["h1", "h2"]).where(place != F.col("first"))
     covered = later.groupBy("d", "t").agg(
         F.flatten(F.collect_set(F.array("p", "q", "r"))).alias("_covered")
     )
+    own = free_prefix(docs.columns, "_line")
     covered = materialize(
         covered.select(
-            F.col("d").alias("_d"), F.col("t").alias("_t"), F.array_distinct("_covered").alias("_covered")
+            F.col("d").alias(f"{own}d"),
+            F.col("t").alias(f"{own}t"),
+            F.array_distinct("_covered").alias(f"{own}covered"),
         ),
         "covered-lines",
     )
-    text = F.col(text_col).cast("string")
+    text, gone = column(text_col).cast("string"), F.col(f"{own}covered")
     joined = docs.join(
-        covered, docs[id_col].eqNullSafe(F.col("_d")) & (F.xxhash64(text) == F.col("_t")), "left"
+        covered.hint("merge"),
+        column(id_col).eqNullSafe(F.col(f"{own}d")) & (F.xxhash64(text) == F.col(f"{own}t")),
+        "left",
     )
     lines = F.split(text, "\n")
-    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_covered"))
+    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
     kept = F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n")
     columns = [
-        F.when(F.col("_covered").isNull(), text).otherwise(kept).alias(text_col) if c == text_col else F.col(c)
+        F.when(gone.isNull(), text).otherwise(kept).alias(c) if c == text_col else column(c)
         for c in docs.columns
+        if c != removed_col
     ]
-    return joined.select(*columns, F.coalesce(F.size("_covered"), F.lit(0)).alias(removed_col))
+    return joined.select(*columns, F.when(gone.isNull(), 0).otherwise(F.size(gone)).alias(removed_col))
 
 
 SQL = """

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import ascii_words, materialize, pieces
+from ledgerlake.llm.common import ascii_words, column, free_prefix, materialize, pieces
 from ledgerlake.llm.components import connected_components
 
 # --- Fixed values of the contract ------------------------------------------------------------
@@ -259,14 +259,17 @@ def drop_near_duplicates(
     without ids, the rows without). Rows that share this id are one document; the one whose text
     hashes lowest stays. All columns are kept."""
     found = simhash_components(docs, shingle, radius, id_col, text_col)
+    own = free_prefix(docs.columns, "_near")
     stay = materialize(
         found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .groupBy(F.col("doc_id").alias("_id"))
-        .agg(F.count(F.lit(1)).alias("_rows")),
+        .groupBy(F.col("doc_id").alias(f"{own}id"))
+        .agg(F.count(F.lit(1)).alias("rows")),
         "kept-documents",
     )
-    kept = docs.join(stay, docs[id_col].cast("bigint").eqNullSafe(F.col("_id")), "left_semi")
-    if stay.where("_rows > 1").isEmpty():
+    once = stay.where("rows > 1").isEmpty()
+    same = column(id_col).cast("bigint").eqNullSafe(F.col(f"{own}id"))
+    kept = docs.join(stay.drop("rows").hint("merge"), same, "left_semi")
+    if once:
         return kept
-    row = F.min_by(F.struct(*(F.col(c) for c in docs.columns)), F.xxhash64(F.col(text_col)))
-    return kept.groupBy(F.col(id_col).alias("_id")).agg(row.alias("_row")).select("_row.*")
+    row = F.min_by(F.struct(*map(column, docs.columns)), F.xxhash64(column(text_col)))
+    return kept.groupBy(column(id_col).alias(f"{own}id")).agg(row.alias(f"{own}row")).select(f"{own}row.*")
