@@ -22,7 +22,7 @@ if _HERE not in sys.path:
     sys.path.insert(0, _HERE)
 
 from ledgerlake.llm import bpe, decontam, langid, line_dedup, simhash  # noqa: E402
-from ledgerlake.llm.common import materialize  # noqa: E402
+from ledgerlake.llm.common import column, free_prefix, materialize  # noqa: E402
 from ledgerlake.session import configure  # noqa: E402
 
 
@@ -31,22 +31,23 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = langid.identify_language(
         docs, langs, model, F.col("text"), F.col("lang"), F.col("source")
     )
-    return found.where("lang_ok").select(*docs.columns)
+    return found.where("lang_ok").select(*map(column, docs.columns))
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = line_dedup.dedup_lines(docs, removed_col="_n_removed")
-    count = F.when(F.col("_n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
-    return found.withColumn("n_chars", count.cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    removed = free_prefix(docs.columns, "_removed")
+    found = line_dedup.dedup_lines(docs, removed_col=removed)
+    count = F.when(F.col(removed) > 0, F.length("text")).otherwise(F.col("n_chars"))
+    return found.withColumn("n_chars", count.cast(docs.schema["n_chars"].dataType)).select(*map(column, docs.columns))
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.drop_near_duplicates(docs).select(*docs.columns)
+    return simhash.drop_near_duplicates(docs).select(*map(column, docs.columns))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return decontam.drop_contaminated(docs, benchmark).select(*docs.columns)
+    return decontam.drop_contaminated(docs, benchmark).select(*map(column, docs.columns))
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
