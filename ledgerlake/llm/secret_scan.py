@@ -241,8 +241,15 @@ def infer_formats(scanned: DataFrame, sample: int = SAMPLE) -> tuple[list, np.nd
     for kind in range(len(KINDS) + 1):
         rows = distinct.where(F.col("kind") == kind).orderBy(F.xxhash64("value"), "value").limit(sample)
         by_kind.append([r["value"].encode() for r in rows.collect()])
-    tables = [Automaton(strings).table for strings in by_kind[:-1] if strings]
-    return tables, pair_model(by_kind[-1])
+    tables, floor = [], math.inf
+    for strings in by_kind[:-1]:
+        if strings:
+            tables.append(Automaton(strings).table)
+            own = sorted(automaton_score(tables[-1], s) / (len(s) + 1) for s in strings)
+            floor = min(floor, own[len(own) // 100])
+    # a candidate as likely as nearly all labelled credentials may be one: no example of the others
+    others = [s for s in by_kind[-1] if max((automaton_score(t, s) / (len(s) + 1) for t in tables), default=0) < floor]
+    return tables, pair_model(others)
 
 
 def _judge(tables: list, pairs: np.ndarray):
