@@ -1,7 +1,8 @@
 """Command line: ``spark-submit -m ledgerlake <job> --base <folder> --months 202501 202502``.
 
-Jobs: ``bronze`` (raw monthly files -> bronze), ``silver`` (bronze -> silver + quarantine,
-reconciled), ``labels`` (label file -> label table), ``gold`` (marts + checks; with ``--months``
+Jobs: ``bronze`` (raw monthly files -> bronze; ``--spread`` tasks parse compressed files), ``silver``
+(bronze -> silver + quarantine, reconciled), ``labels`` (a finished label file, or code lists, lexicon
+sheets and complements -> label table), ``gold`` (marts + checks; with ``--months``
 only those months are rebuilt). The Spark session is the one the cluster provides.
 """
 
@@ -14,11 +15,13 @@ from pyspark.sql import SparkSession
 
 from ledgerlake.contract import CLAIMS
 from ledgerlake.plans import bronze, gold, silver
+from ledgerlake.plans.labels import write_labels
 from ledgerlake.plans.layout import Lakehouse
 from ledgerlake.session import configure
 from ledgerlake.sinks.partitions import overwrite_table
-from ledgerlake.sources.labels import read_dimension
-from ledgerlake.sources.raw_csv import DEFAULT_TEMPLATE
+from ledgerlake.sources.claims_labels import CLAIMS_CODE_COLUMNS, claims_sources
+from ledgerlake.sources.labels import read_complements, read_dimension
+from ledgerlake.sources.monthly_files import DEFAULT_TEMPLATE
 
 
 def parse(argv: list[str]) -> argparse.Namespace:
@@ -28,13 +31,18 @@ def parse(argv: list[str]) -> argparse.Namespace:
     parser.add_argument("--months", nargs="*", default=[], help="YYYYMM months")
     parser.add_argument("--raw-dir", help="raw files folder (default <base>/raw)")
     parser.add_argument("--template", default=DEFAULT_TEMPLATE)
-    parser.add_argument("--label-file", help="label file (labels job)")
+    parser.add_argument("--spread", type=int, help="tasks that parse compressed files (bronze job)")
+    parser.add_argument("--label-file", help="finished label file (labels job)")
+    parser.add_argument("--code-lists", help="folder of the code lists (labels job)")
+    parser.add_argument("--lexicon", help="folder of the lexicon sheets (labels job)")
+    parser.add_argument("--complements", help="complement file (labels job)")
     parser.add_argument("--warn-only", action="store_true", help="gold: do not fail on errors")
     args = parser.parse_args(argv)
     if args.job in ("bronze", "silver") and not args.months:
         parser.error(f"{args.job} needs --months")
-    if args.job == "labels" and not args.label_file:
-        parser.error("labels needs --label-file")
+    sources = (args.code_lists, args.lexicon, args.complements)
+    if args.job == "labels" and bool(args.label_file) == all(sources):
+        parser.error("labels needs either --label-file or --code-lists, --lexicon and --complements")
     return args
 
 
@@ -44,19 +52,28 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     house = Lakehouse(args.base.rstrip("/"), CLAIMS)
     if args.job == "bronze":
         rows = bronze.ingest_months(
-            spark, args.raw_dir or house.raw_dir, house.bronze, args.months, template=args.template
-        )
+            spark, args.raw_dir or house.raw_dir, house.bronze, args.months, template=args.template,
+            spread=args.spread,
+        )
         print(" ".join(f"{m}={n}" for m, n in rows.items()))
     elif args.job == "silver":
         result = silver.build_silver(
             spark, house.bronze, house.silver, house.quarantine, args.months, CLAIMS
         )
         print(
-            f"bronze={result.bronze.rows} silver={result.silver.rows} "
-            f"quarantine={result.quarantine.rows} amount={result.bronze.amount}"
+            f"bronze={result.rows['bronze']} silver={result.rows['silver']} "
+            f"quarantine={result.rows['quarantine']} amount={result.amounts['bronze']}"
         )
         for reason, n in result.reasons:
             print(f"  {reason}: {n}")
+    elif args.job == "labels" and args.code_lists:
+        rows, absent = write_labels(
+            claims_sources(spark, args.code_lists, args.lexicon),
+            read_complements(spark, args.complements), CLAIMS_CODE_COLUMNS, house.labels,
+        )
+        print(f"labels={rows}")
+        for column in absent:
+            print(f"  no label for any code of {column}")
     elif args.job == "labels":
         print(f"labels={overwrite_table(read_dimension(spark, args.label_file), house.labels)}")
     else:

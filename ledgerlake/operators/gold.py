@@ -8,7 +8,7 @@ the aggregated rows of one month (a few hundred rows), never over silver rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
@@ -25,25 +25,24 @@ OVERRUN_SHARE = "part_depassement"
 NATIONAL_SHARE = "part_depense_nationale"
 LABEL_PREFIX = "libelle_"
 # --- end of fixed values -------------------------------------------------------------------
+UNKNOWN_MONTH = "inconnu"  # partition of the mart rows without a processing month
 
 
 def measures(contract: Contract) -> list[str]:
     return [contract.amount, contract.base, contract.reimbursed, contract.overrun]
 
 
-def staging_spend(silver: DataFrame, contract: Contract, by_partition: bool = False) -> DataFrame:
-    """The seven silver columns the marts use (column pruning reaches the scan).
-
-    ``by_partition`` keeps the month partition column so marts can be stored and rebuilt per
-    month (see ``plans.gold.build_gold``)."""
-    extra = [PARTITION_COLUMN] if by_partition else []
+def staging_spend(silver: DataFrame, contract: Contract) -> DataFrame:
+    """The seven silver columns the marts use (column pruning reaches the scan)."""
     return silver.select(
-        contract.processing_month, contract.service, contract.region, *measures(contract), *extra
+        contract.processing_month, contract.service, contract.region, *measures(contract)
     )
 
 
-def _partition_keys(staging: DataFrame) -> list[str]:
-    return [PARTITION_COLUMN] if PARTITION_COLUMN in staging.columns else []
+def mart_month(contract: Contract) -> Column:
+    """Partition of a stored mart row: its processing month, or ``UNKNOWN_MONTH``."""
+    written = F.date_format(contract.processing_month, "yyyyMM")
+    return F.coalesce(written, F.lit(UNKNOWN_MONTH)).alias(PARTITION_COLUMN)
 
 
 def labels_for(labels: DataFrame, code_column: str) -> DataFrame:
@@ -51,29 +50,40 @@ def labels_for(labels: DataFrame, code_column: str) -> DataFrame:
     return labels.where(F.col("code_column") == F.lit(code_column)).select("code", "libelle")
 
 
-def monthly_spend(staging: DataFrame, contract: Contract, key: str) -> DataFrame:
-    return staging.groupBy(contract.processing_month, key, *_partition_keys(staging)).agg(
+def _sums(contract: Contract) -> list[Column]:
+    return [
         F.count(F.lit(1)).cast("bigint").alias(ROWS),
         *[F.sum(m).cast(SUM_TYPE).alias(m) for m in measures(contract)],
+    ]
+
+
+def monthly_spend(staging: DataFrame, contract: Contract, key: str) -> DataFrame:
+    return staging.groupBy(contract.processing_month, key).agg(*_sums(contract))
+
+
+def monthly_spend_by_each(staging: DataFrame, contract: Contract) -> DataFrame:
+    """Rows of both marts in one pass over silver; ``axis`` names the mart's key column."""
+    month, service, region = contract.processing_month, contract.service, contract.region
+    axis = F.when(F.grouping(service) == 0, F.lit(service)).otherwise(F.lit(region)).alias("axis")
+    return staging.groupingSets([[month, service], [month, region]], month, service, region).agg(
+        axis, *_sums(contract)
     )
 
 
 def _with_label(agg: DataFrame, labels: DataFrame, key: str, code_column: str) -> DataFrame:
     """LEFT join on the raw code text: a missing label is NULL, no row lost or duplicated
-    (the dimension has one row per code, checked by unique_grain).
-
-    The label frame is used as given: callers pass it through ``small_side`` once, so it is
-    broadcast only when its size was checked (the hint survives the per-column filter)."""
+    (the dimension has one row per code, checked before it is written). Both sides are small; the
+    optimizer broadcasts the labels when their measured size allows it."""
     lib = labels_for(labels, code_column).withColumnRenamed("libelle", LABEL_PREFIX + key)
     return agg.join(lib, agg[key] == lib["code"], "left").drop("code")
 
 
-def spend_by_service(
-    staging: DataFrame, labels: DataFrame, contract: Contract, code_column: str | None = None
+def service_mart(
+    spend_rows: DataFrame, labels: DataFrame, contract: Contract, code_column: str | None = None
 ) -> DataFrame:
+    """Mart of ``monthly_spend`` rows by service."""
     key = contract.service
-    code_column = code_column or contract.spec(key).source
-    agg = _with_label(monthly_spend(staging, contract, key), labels, key, code_column)
+    agg = _with_label(spend_rows, labels, key, code_column or contract.spec(key).source)
     spend, reimbursed, overrun = (
         F.col(contract.amount), F.col(contract.reimbursed), F.col(contract.overrun)
     )
@@ -82,29 +92,39 @@ def spend_by_service(
         (spend - reimbursed).cast(SUM_TYPE).alias(NOT_REIMBURSED),
         ratio(reimbursed, spend).alias(EFFECTIVE_RATE),
         ratio(overrun, spend).alias(OVERRUN_SHARE),
-        *_partition_keys(staging),
     )
 
 
-def spend_by_region(
-    staging: DataFrame, labels: DataFrame, contract: Contract, code_column: str | None = None
+def region_mart(
+    spend_rows: DataFrame, labels: DataFrame, contract: Contract, code_column: str | None = None
 ) -> DataFrame:
+    """Mart of ``monthly_spend`` rows by region."""
     key = contract.region
-    code_column = code_column or contract.spec(key).source
-    agg = _with_label(monthly_spend(staging, contract, key), labels, key, code_column)
+    agg = _with_label(spend_rows, labels, key, code_column or contract.spec(key).source)
     spend, reimbursed = F.col(contract.amount), F.col(contract.reimbursed)
-    national = F.sum(spend).over(
-        Window.partitionBy(contract.processing_month, *_partition_keys(staging))
-    )
+    national = F.sum(spend).over(Window.partitionBy(contract.processing_month))
     return agg.select(
         contract.processing_month, key, LABEL_PREFIX + key, ROWS, *measures(contract),
         (spend - reimbursed).cast(SUM_TYPE).alias(NOT_REIMBURSED),
         ratio(reimbursed, spend).alias(EFFECTIVE_RATE),
         ratio(spend, national).alias(NATIONAL_SHARE),
-        *_partition_keys(staging),
     )
 
 
+def spend_by_service(
+    staging: DataFrame, labels: DataFrame, contract: Contract, code_column: str | None = None
+) -> DataFrame:
+    rows = monthly_spend(staging, contract, contract.service)
+    return service_mart(rows, labels, contract, code_column)
+
+
+def spend_by_region(
+    staging: DataFrame, labels: DataFrame, contract: Contract, code_column: str | None = None
+) -> DataFrame:
+    rows = monthly_spend(staging, contract, contract.region)
+    return region_mart(rows, labels, contract, code_column)
+
+
 def top_services(mart: DataFrame, contract: Contract, n: int = 5) -> DataFrame:
     """The ``n`` services with the largest spend in each processing month.
 

@@ -72,9 +72,14 @@ def merge_by_priority(sources: DataFrame) -> DataFrame:
 
 
 def normalized_complements(complements: DataFrame) -> DataFrame:
-    """Complement rows (code_column, code, libelle, justification) with canonical codes."""
-    return complements.select(
-        "code_column", normalize_code(F.col("code")).alias("code"), "libelle", "justification"
+    """Complements (code_column, code, libelle, justification) with canonical codes, one row for
+    each code: of rows that repeat one, the LAST (highest ``pos``) wins."""
+    last = F.max_by(F.struct("libelle", "justification"), F.struct("pos", "libelle"))
+    return (
+        complements.withColumn("code", normalize_code(F.col("code")))
+        .groupBy("code_column", "code")
+        .agg(last.alias("last"))
+        .select("code_column", "code", "last.libelle", "last.justification")
     )
 
 
@@ -106,36 +111,66 @@ def dimension(sources: DataFrame, complements: DataFrame) -> DataFrame:
     return merge_by_priority(sources).unionByName(comp)
 
 
+def dimension_problems(dim: DataFrame, code_columns: list[str]) -> DataFrame:
+    """What is wrong with a dimension: (problem, code_column, code, rows).
+
+    ``repeated``: a code labelled more than once; ``blank``: a code without label or source text;
+    ``absent``: a code column of the contract without any label."""
+    counted = dim.groupBy("code_column", "code").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(is_blank(F.col("libelle")) | is_blank(F.col("source"))).alias("blank"),
+    )
+    positions = column_positions(dim.sparkSession, code_columns)
+    absent = positions.join(counted, "code_column", "left_anti").select(
+        F.lit("absent").alias("problem"), "code_column", F.lit(None).cast("string").alias("code"),
+        F.lit(0).cast("bigint").alias("rows"),
+    )
+    found = counted.select(
+        F.explode(
+            F.array_compact(
+                F.array(
+                    F.when(F.col("rows") > 1, F.struct(F.lit("repeated").alias("problem"), "rows")),
+                    F.when(
+                        F.col("blank") > 0,
+                        F.struct(F.lit("blank").alias("problem"), F.col("blank").alias("rows")),
+                    ),
+                )
+            )
+        ).alias("x"),
+        "code_column",
+        "code",
+    )
+    return found.select("x.problem", "code_column", "code", "x.rows").unionByName(absent)
+
+
 def build_dimension(
     sources: DataFrame, complements: DataFrame, code_columns: list[str]
 ) -> DataFrame:
     """The whole dimension, checked, in (declared column order, code) order.
 
-    Raises LabelError when a complement targets an unknown column or duplicates a source.
-    Both checks run as one job and bring only offending complement rows to the driver.
+    Raises LabelError when a complement targets an unknown column or a code that a source labels,
+    and when the result repeats a code or has a blank label. One job; only offending rows, bounded
+    by the complement file, reach the driver.
     """
-    spark = sources.sparkSession
-    positions = column_positions(spark, code_columns)
+    positions = column_positions(sources.sparkSession, code_columns)
     merged = merge_by_priority(sources)
-    offending = (
-        complement_unknown_columns(complements, positions)
-        .select(F.lit("unknown").alias("kind"), "code_column", "code")
-        .unionByName(
-            complement_conflicts(complements, merged).select(
-                F.lit("conflict").alias("kind"), "code_column", "code"
-            )
-        )
+    dim = dimension(sources, complements)
+
+    def offending(kind: str, rows: DataFrame) -> DataFrame:
+        return rows.select(F.lit(kind).alias("kind"), "code_column", "code")
+
+    problems = dimension_problems(dim, code_columns).where("problem <> 'absent'")
+    faults = (
+        offending("aimed at a column that is not in the contract", complement_unknown_columns(complements, positions))
+        .unionByName(offending("already labelled by a source", complement_conflicts(complements, merged)))
+        .unionByName(offending("repeated or blank", problems))
+        .orderBy("kind", "code_column", "code")
         .collect()
     )
-    unknown = sorted({r["code_column"] for r in offending if r["kind"] == "unknown"})
-    if unknown:
-        raise LabelError(f"complements for unknown code columns: {unknown}")
-    conflicts = sorted((r["code_column"], r["code"]) for r in offending if r["kind"] == "conflict")
-    if conflicts:
-        raise LabelError(f"complements already covered by a source: {conflicts}")
+    if faults:
+        raise LabelError("; ".join(f"{f['code_column']} {f['code']}: {f['kind']}" for f in faults))
     return (
-        dimension(sources, complements)
-        .join(F.broadcast(positions), "code_column")
+        dim.join(F.broadcast(positions), "code_column")
         .orderBy("position", "code")
         .select(*DIMENSION_COLUMNS)
     )

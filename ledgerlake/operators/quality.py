@@ -13,7 +13,12 @@ from pyspark.sql import functions as F
 
 from ledgerlake.contract import PARTITION_COLUMN, Contract
 from ledgerlake.functions.ratio import ratio
-from ledgerlake.operators.silver import CARE_MONTH_INVALID, raw_month_text, typed, UNKNOWN_CARE_MONTHS
+from ledgerlake.operators.silver import (
+    CARE_MONTH_INVALID,
+    UNKNOWN_CARE_MONTHS,
+    raw_month_text,
+    silver_value,
+)
 
 ERROR, WARN = "error", "warn"
 
@@ -150,7 +155,7 @@ def source_profile(bronze: DataFrame, contract: Contract) -> DataFrame:
         ("mois_soins_inconnu", raw_month_text(care).isin(*UNKNOWN_CARE_MONTHS)),
         (
             CARE_MONTH_INVALID,
-            ~raw_month_text(care).isin(*UNKNOWN_CARE_MONTHS) & typed(care).isNull(),
+            ~raw_month_text(care).isin(*UNKNOWN_CARE_MONTHS) & silver_value(care).isNull(),
         ),
     ]
     indicators += [
@@ -178,7 +183,13 @@ def rows_per_month(df: DataFrame) -> DataFrame:
 
 
 def table_parity(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Rows in one table only, as multisets (duplicates count): ``side`` says which one."""
-    return left.exceptAll(right).withColumn("side", F.lit("left_only")).unionByName(
-        right.exceptAll(left).withColumn("side", F.lit("right_only"))
-    )
+    """Rows in one table only, as multisets (duplicates count): ``side`` says which one.
+
+    Both tables are read once: rows count +1 on the left and -1 on the right, equal rows meet in
+    one aggregation (combined by each task first), and what is left over is repeated.
+    """
+    both = left.withColumn("_n", F.lit(1)).unionByName(right.withColumn("_n", F.lit(-1)))
+    rest = both.groupBy(*left.columns).agg(F.sum("_n").alias("_n")).where(F.col("_n") != 0)
+    side = F.when(F.col("_n") > 0, "left_only").otherwise("right_only")
+    copies = F.explode(F.array_repeat(F.lit(1), F.abs("_n").cast("int")))
+    return rest.select(*left.columns, side.alias("side"), copies.alias("_copy")).drop("_copy")

@@ -1,26 +1,15 @@
-"""Bronze load: raw monthly extracts -> all-text table partitioned by month, untouched."""
+"""Bronze load: monthly files -> all-text table partitioned by month, untouched."""
 
 from __future__ import annotations
 
 from datetime import datetime, timezone
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
-from ledgerlake.contract import PARTITION_COLUMN
+from ledgerlake.contract import TECHNICAL_COLUMNS
 from ledgerlake.sinks.partitions import overwrite_months
-from ledgerlake.sources import raw_csv
-from ledgerlake.sources.tables import TableRef, read_months
-
-
-def check_raw_files(
-    spark: SparkSession, raw_dir: str, months: list[str], template: str = raw_csv.DEFAULT_TEMPLATE
-) -> None:
-    """Every requested month must have its file before anything is written; report them all."""
-    missing = raw_csv.missing_month_list(spark, raw_dir, months, template)
-    if missing:
-        names = ", ".join(raw_csv.file_name(template, m) for m in missing)
-        raise FileNotFoundError(f"raw file(s) not found under {raw_dir}: {names}")
+from ledgerlake.sources import monthly_files
+from ledgerlake.sources.tables import TableRef
 
 
 def ingest_months(
@@ -29,47 +18,25 @@ def ingest_months(
     bronze: TableRef,
     months: list[str],
     ingested_at: datetime | None = None,
-    template: str = raw_csv.DEFAULT_TEMPLATE,
+    template: str = monthly_files.DEFAULT_TEMPLATE,
     layout: str = "{name}",
     spread: int | None = None,
 ) -> dict[str, int]:
-    """Load several months in ONE scan and ONE write; return the rows written per month.
-
-    All files are checked first. The files are read in parallel (one task per gzip file, split
-    tasks for splittable files); the write is map-only (no shuffle), each month replacing its
-    own partition. Rows per month come from the partition directories just written.
+    """Load several months in ONE write; return the rows written per month, counted while written.
 
-    ``spread``: a gzip file cannot be split, so one very large month is decoded by one task.
-    With ``spread=n`` the decoded rows are dealt round-robin over ``n`` tasks before the Parquet
-    encoding and write, so such a month does not hold the write back (one extra exchange of the
-    text rows). Splittable input (plain or bzip2 CSV) removes the single decoding task as well.
+    Months are checked and taken once each; every file must exist, and every header must have the
+    table's columns, before anything is written. Each month replaces its own partition. Lines of
+    compressed files are parsed by ``spread`` tasks (see ``monthly_files.read_months``).
     """
-    check_raw_files(spark, raw_dir, months, template)
-    ingested_at = ingested_at or datetime.now(timezone.utc)
-    df = raw_csv.read_months(spark, raw_dir, months, ingested_at, template, layout)
-    if spread:
-        df = df.repartition(spread)
-    overwrite_months(df, bronze, months)
-    counts = {
-        r[PARTITION_COLUMN]: int(r["rows"])
-        for r in read_months(spark, bronze, months)
-        .groupBy(PARTITION_COLUMN)
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .collect()
-    }
-    return {m: counts.get(m, 0) for m in months}
-
-
-def ingest_month(
-    spark: SparkSession,
-    raw_dir: str,
-    bronze: TableRef,
-    year: int,
-    month: int,
-    ingested_at: datetime | None = None,
-    template: str = raw_csv.DEFAULT_TEMPLATE,
-    layout: str = "{name}",
-) -> int:
-    """Load one month; returns the rows written."""
-    ym = raw_csv.year_month(year, month)
-    return ingest_months(spark, raw_dir, bronze, [ym], ingested_at, template, layout)[ym]
+    months = monthly_files.checked_months(months)
+    columns = None
+    if bronze.schema is not None:
+        columns = [f.name for f in bronze.schema if f.name not in TECHNICAL_COLUMNS]
+    loaded_at = ingested_at or datetime.now(timezone.utc)
+    rows = monthly_files.read_months(spark, raw_dir, months, loaded_at, template, layout, columns, spread)
+    return overwrite_months(rows, bronze, months).by_month
+
+
+def ingest_month(spark: SparkSession, raw_dir: str, bronze: TableRef, year: int, month: int, **options) -> int:
+    """Load one month; returns the rows written. ``options`` as for ``ingest_months``."""
+    return next(iter(ingest_months(spark, raw_dir, bronze, [f"{year:04d}{month:02d}"], **options).values()))

@@ -9,6 +9,7 @@ what they read back.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,28 +17,28 @@ from pyspark.sql.types import LongType
 
 from ledgerlake.contract import FIXTURE, PARTITION_COLUMN
 from ledgerlake.functions.codes import normalize_code
-from ledgerlake.functions.dates import parse_year_month
+from ledgerlake.functions.dates import month_start
 from ledgerlake.functions.ratio import ratio
 from ledgerlake.operators import gold, labels, quality, reconcile
-from ledgerlake.operators.joins import small_side
 from ledgerlake.operators.quality import WARN, NotNull
 from ledgerlake.operators.silver import (
     REASONS_COLUMN,
     raw_amount,
     raw_month_text,
     rejected_rows,
-    to_silver,
-    typed,
+    silver_projection,
+    silver_value,
     valid_rows,
     with_reasons,
 )
 from ledgerlake.plans import bronze as bronze_plan
 from ledgerlake.plans import gold as gold_plan
 from ledgerlake.plans import silver as silver_plan
+from ledgerlake.plans.labels import write_labels
 from ledgerlake.plans.layout import LABELS_SCHEMA, Lakehouse
 from ledgerlake.session import configure, work_path
 from ledgerlake.sinks.partitions import overwrite_month, overwrite_months, overwrite_table
-from ledgerlake.sources import fixture, raw_csv
+from ledgerlake.sources import fixture, monthly_files
 from ledgerlake.sources import labels as label_sources
 from ledgerlake.sources.tables import TableRef, read_month
 
@@ -52,6 +53,7 @@ BUSINESS = [spec.name for spec in C.columns]
 
 _FIXTURE_HOUSES: dict[tuple[str, str], Lakehouse] = {}
 _RAW_HOUSES: dict[tuple[str, str], Lakehouse] = {}
+_GOLD_HOUSES: dict[tuple[str, str], tuple[Lakehouse, list[gold_plan.CheckResult]]] = {}
 
 
 def _key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
@@ -67,7 +69,8 @@ def fixture_lakehouse(spark: SparkSession, sf_dir: str) -> Lakehouse:
     kept), then silver and quarantine built from it by the silver job (with reconciliation).
 
     Done once per session and scale under the shared folder; queries then read these tables,
-    as the gold layer and the checks do in production. A written table also cuts the lineage.
+    as the gold layer and the checks do in production. A written table also cuts the lineage. (The
+    test tables are read-only: a folder whose content changed meanwhile would go unnoticed.)
     """
     key = _key(spark, sf_dir)
     if key not in _FIXTURE_HOUSES:
@@ -83,8 +86,36 @@ def fixture_lakehouse(spark: SparkSession, sf_dir: str) -> Lakehouse:
     return _FIXTURE_HOUSES[key]
 
 
-def fixture_table(spark: SparkSession, sf_dir: str) -> str:
-    return fixture_lakehouse(spark, sf_dir).bronze.path
+def gold_lakehouse(spark: SparkSession, sf_dir: str) -> Lakehouse:
+    """The fixture tables with the label table and both stored marts, by the label and gold jobs."""
+    return _gold(spark, sf_dir)[0]
+
+
+def _gold(spark: SparkSession, sf_dir: str) -> tuple[Lakehouse, list[gold_plan.CheckResult]]:
+    key = _key(spark, sf_dir)
+    if key not in _GOLD_HOUSES:
+        house = fixture_lakehouse(spark, sf_dir)
+        write_labels(
+            label_sources.fixture_sources(spark, sf_dir),
+            label_sources.fixture_complements(spark, sf_dir),
+            label_sources.FIXTURE_CODE_COLUMNS,
+            house.labels,
+        )
+        _GOLD_HOUSES[key] = house, _build_gold(spark, house, house)
+    return _GOLD_HOUSES[key]
+
+
+def _build_gold(
+    spark: SparkSession, source: Lakehouse, target: Lakehouse, months: list[str] | None = None
+) -> list[gold_plan.CheckResult]:
+    return gold_plan.build_gold(
+        spark, source.silver, source.labels, target.gold(gold_plan.SERVICE_MART),
+        target.gold(gold_plan.REGION_MART), C, fail_on_error=False, months=months,
+    )
+
+
+def _stored_mart(spark: SparkSession, house: Lakehouse, name: str) -> DataFrame:
+    return house.gold(name).read(spark)
 
 
 def _bronze(spark: SparkSession, sf_dir: str, with_key: bool = False) -> DataFrame:
@@ -105,13 +136,8 @@ def _quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fixture label dimension, broadcast in joins only after its size was checked."""
-    return small_side(
-        labels.dimension(
-            label_sources.fixture_sources(spark, sf_dir),
-            label_sources.fixture_complements(spark, sf_dir),
-        )
-    )
+    """The fixture label dimension, as the label job stores it."""
+    return gold_lakehouse(spark, sf_dir).labels.read(spark)
 
 
 def _months(df: DataFrame) -> list[str]:
@@ -127,19 +153,20 @@ def lakehouse(spark: SparkSession, sf_dir: str) -> Lakehouse:
         configure(spark)
         house = Lakehouse(work_path(spark, "lakehouse"), C)
         text = fixture.claims_text(spark, sf_dir)
-        raw_csv.write_raw_months(text, house.raw_dir, list(C.raw_columns))
+        monthly_files.write_month_files(text, house.raw_dir, list(C.raw_columns))
         months = raw_months(spark, house.raw_dir)
         bronze_plan.ingest_months(
             spark, house.raw_dir, house.bronze, months, fixture.INGESTED_AT,
-            layout=raw_csv.FIXTURE_LAYOUT,
+            layout=monthly_files.FIXTURE_LAYOUT,
         )
         _RAW_HOUSES[key] = house
     return _RAW_HOUSES[key]
 
 
 def raw_months(spark: SparkSession, raw_dir: str) -> list[str]:
-    """Months that have a raw file (a listing of file names, no content read)."""
-    return sorted(r[0] for r in raw_csv.present_months(spark, raw_dir).collect())
+    """Months of the files that the fixture producer wrote (from its folder names)."""
+    written = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(raw_dir)
+    return sorted(r[0][1:7] for r in written.select("_file").distinct().collect())
 
 
 # ---------------------------------------------------------------------------------------------
@@ -151,10 +178,10 @@ def bronze_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     raw_dir = work_path(spark, "raw")
     text = fixture.claims_text(spark, sf_dir)
-    raw_csv.write_raw_months(text, raw_dir, list(C.raw_columns))
-    back = raw_csv.read_months(
+    monthly_files.write_month_files(text, raw_dir, list(C.raw_columns))
+    back = monthly_files.read_months(
         spark, raw_dir, raw_months(spark, raw_dir), fixture.INGESTED_AT,
-        layout=raw_csv.FIXTURE_LAYOUT,
+        layout=monthly_files.FIXTURE_LAYOUT,
     )
     return back.select(*C.raw_columns, "_source_file", PARTITION_COLUMN)
 
@@ -239,15 +266,83 @@ def write_row_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return observed.join(actual, "layer", "full")
 
 
+def _calendar(months: list[str]) -> list[str]:
+    """Every month of the calendar years that ``months`` touch."""
+    return [f"{y}{m:02d}" for y in sorted({m[:4] for m in months}) for m in range(1, 13)]
+
+
 def missing_months(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Months of the calendar years covered by the data that have no raw file."""
+    """Months of the calendar years covered by the data that have no raw file, by the check that
+    the load makes; a file still being written (``.part``) does not count."""
     house = lakehouse(spark, sf_dir)
-    years = house.bronze.read(spark).select(F.substring(PARTITION_COLUMN, 1, 4).alias("y")).distinct()
-    requested = years.select("y", F.explode(F.sequence(F.lit(1), F.lit(12))).alias("m")).select(
-        F.concat("y", F.lpad(F.col("m").cast("string"), 2, "0")).alias(PARTITION_COLUMN)
+    months = raw_months(spark, house.raw_dir)
+    wanted = monthly_files.month_files(house.raw_dir, _calendar(months), layout=monthly_files.FIXTURE_LAYOUT)
+    absent = monthly_files.missing_files(spark, wanted)
+    for file in absent[:1]:
+        spark.range(1).selectExpr("'unfinished' AS value").write.mode("overwrite").text(f"{file.path}.part")
+    found = [(f.month,) for f in monthly_files.missing_files(spark, wanted)]
+    return spark.createDataFrame(found, f"{PARTITION_COLUMN} string")
+
+
+def _loaded(spark: SparkSession, raw_dir: str, months: list[str], **options) -> DataFrame:
+    """Bronze table that the load job makes of ``raw_dir``."""
+    table = TableRef(path=work_path(spark, "loaded"), schema=C.bronze_schema())
+    options = {"layout": monthly_files.FIXTURE_LAYOUT} | options
+    bronze_plan.ingest_months(spark, raw_dir, table, months, fixture.INGESTED_AT, **options)
+    return table.read(spark)
+
+
+def bronze_header_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Odd months written with their columns in reverse order: each file's own header counts."""
+    configure(spark)
+    raw_dir = work_path(spark, "headers")
+    text = fixture.claims_text(spark, sf_dir)
+    odd = F.col(PARTITION_COLUMN).cast("int") % 2 == 1
+    monthly_files.write_month_files(text.where(~odd), raw_dir, list(C.raw_columns))
+    monthly_files.write_month_files(text.where(odd), raw_dir, list(C.raw_columns[::-1]), mode="append")
+    return _loaded(spark, raw_dir, raw_months(spark, raw_dir)).select(*C.raw_columns, PARTITION_COLUMN)
+
+
+def bronze_repeated_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every month requested twice in one load: one copy of each."""
+    house = lakehouse(spark, sf_dir)
+    months = raw_months(spark, house.raw_dir)
+    return quality.rows_per_month(_loaded(spark, house.raw_dir, [*months, *months]))
+
+
+def bronze_odd_template(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """File names with spaces and a per cent sign."""
+    configure(spark)
+    raw_dir = work_path(spark, "odd names")
+    text = fixture.claims_text(spark, sf_dir)
+    ym = F.col(PARTITION_COLUMN)
+    named = F.concat(F.lit("A "), F.left(ym, F.lit(4)), F.lit(" 100% "), F.right(ym, F.lit(2)), F.lit(".csv.gz"))
+    monthly_files.write_month_files(text, f"{raw_dir}/by name", list(C.raw_columns), name=named)
+    months = _months(text)
+    template = "A {year} 100% {month:02d}.csv.gz"
+    # the producer escapes the per cent sign in its folder names
+    loaded = _loaded(spark, f"{raw_dir}/by name", months, template=template.replace("%", "%25"))
+    return loaded.groupBy("_source_file", PARTITION_COLUMN).agg(
+        F.count(F.lit(1)).cast("bigint").alias("lignes")
+    )
+
+
+def bronze_gzip_parallel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One plain ``.gz`` file for each month, its lines parsed by several tasks."""
+    configure(spark)
+    raw_dir = work_path(spark, "gzip")
+    text = fixture.claims_text(spark, sf_dir)
+    monthly_files.write_month_files(
+        text.repartition(PARTITION_COLUMN), f"{raw_dir}/parts", list(C.raw_columns)
+    )
+    months = raw_months(spark, f"{raw_dir}/parts")
+    monthly_files.name_single_parts(
+        spark,
+        monthly_files.month_files(f"{raw_dir}/parts", months, layout=monthly_files.FIXTURE_LAYOUT),
+        monthly_files.month_files(f"{raw_dir}/files", months),
     )
-    present = raw_csv.present_months(spark, house.raw_dir)
-    return requested.join(present, PARTITION_COLUMN, "left_anti")
+    loaded = _loaded(spark, f"{raw_dir}/files", months, layout="{name}", spread=8)
+    return loaded.select(*C.raw_columns, "_source_file", PARTITION_COLUMN)
 
 
 # ---------------------------------------------------------------------------------------------
@@ -259,7 +354,7 @@ def parse_year_month_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = raw_month_text(care)
     return (
         _bronze(spark, sf_dir)
-        .select(text.alias("texte"), parse_year_month(text).alias("mois"))
+        .select(text.alias("texte"), month_start(text).alias("mois"))
         .groupBy("texte", "mois")
         .agg(F.count(F.lit(1)).cast("bigint").alias("lignes"))
     )
@@ -268,7 +363,7 @@ def parse_year_month_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 def typed_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every contract column typed, on every row, before the valid/rejected split."""
     bronze = _bronze(spark, sf_dir, with_key=True)
-    return bronze.select("k", *[typed(spec).alias(spec.name) for spec in C.columns])
+    return bronze.select("k", *[silver_value(spec).alias(spec.name) for spec in C.columns])
 
 
 def rejection_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -322,7 +417,7 @@ def source_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def table_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed rows of the whole extract versus silver: the difference is the typed rejects."""
-    every_row = to_silver(_bronze(spark, sf_dir), C).select(*BUSINESS)
+    every_row = silver_projection(_bronze(spark, sf_dir), C).select(*BUSINESS)
     return quality.table_parity(every_row, _silver(spark, sf_dir).select(*BUSINESS))
 
 
@@ -331,6 +426,23 @@ def unique_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.unique_grain(_bronze(spark, sf_dir, with_key=True), ["k"])
 
 
+def empty_month_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A build that asks for months absent from bronze: it names them and writes nothing."""
+    house = fixture_lakehouse(spark, sf_dir)
+    target = Lakehouse(work_path(spark, "guarded"), C)
+    bronze = _fixture_bronze_ref(house)
+    wanted = _calendar(_months(bronze.read(spark)))
+    try:
+        silver_plan.build_silver(spark, bronze, target.silver, target.quarantine, wanted, C)
+        absent = []
+    except ValueError as err:
+        absent = [m for m in wanted if m in str(err)]
+    written = not monthly_files.missing_files(
+        spark, [monthly_files.MonthFile("", "", target.silver.path)]
+    )
+    return spark.createDataFrame([(m, written) for m in absent], "mois_absent string, ecrit boolean")
+
+
 # ---------------------------------------------------------------------------------------------
 # labels
 
@@ -347,15 +459,87 @@ def label_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_tax").cast("decimal(18,2)").cast("string").alias("c5"),
         F.concat(n, F.lit("e1")).alias("c6"),
         F.concat(F.lit("0"), F.col("l_returnflag"), F.col("l_linestatus")).alias("c7"),
+        F.concat(n, F.lit(".00000000001")).alias("c8"),
+        F.concat(n, F.repeat(F.lit("7"), F.lit(30)), F.lit(".000")).alias("c9"),
+        F.concat(F.lit("-"), n, F.lit("e"), (F.col("l_quantity").cast("int") + 20).cast("string")).alias("c10"),
+        F.concat(F.lit("."), n, F.lit("50E+"), (F.col("l_linenumber") % 3).cast("string")).alias("c11"),
+        F.concat(n, F.lit("00e-"), (F.col("l_linenumber") % 4).cast("string")).alias("c12"),
     )
+    kinds = candidates.columns
     return (
-        candidates.unpivot([], ["c1", "c2", "c3", "c4", "c5", "c6", "c7"], "kind", "raw_code")
+        candidates.unpivot([], kinds, "kind", "raw_code")
         .select("raw_code")
         .distinct()
         .select("raw_code", normalize_code(F.col("raw_code")).alias("code"))
     )
 
 
+def _quoted_csv(df: DataFrame, path: str) -> str:
+    """``;`` file with every field quoted, in four parts whose order is that of ``df``."""
+    df.write.option("header", True).option("sep", ";").option("quoteAll", True).option("escape", '"').csv(path)
+    return path
+
+
+def code_list_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``part`` as a quoted code list over several files and splits; a type's first part wins."""
+    configure(spark)
+    part = fixture.table(spark, sf_dir, "part").select(
+        "p_partkey", "p_type", F.concat(F.col("p_name"), F.lit(' "ref; '), F.col("p_partkey"), F.lit('"')).alias("p_label")
+    )
+    listed = part.repartitionByRange(4, "p_partkey").sortWithinPartitions("p_partkey")
+    path = _quoted_csv(listed, work_path(spark, "code-list"))
+    return label_sources.read_code_list(spark, path, "p_type", "p_label")
+
+
+def lexicon_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``nation`` as a lexicon sheet, listed twice over several files; the last row wins."""
+    configure(spark)
+    nation = fixture.table(spark, sf_dir, "nation")
+    rows = nation.select(
+        F.explode(F.array(F.lit(0), F.lit(1))).alias("turn"),
+        F.col("n_nationkey").cast("string").alias("key"),
+        "n_name",
+    ).select(
+        "key", F.when(F.col("turn") == 0, F.col("n_name")).otherwise(F.lower("n_name")).alias("label"),
+        (F.col("turn") * 1000 + F.col("key").cast("int")).alias("line"),
+    )
+    listed = rows.repartitionByRange(4, "line").sortWithinPartitions("line")
+    path = _quoted_csv(listed, work_path(spark, "lexicon"))
+    return label_sources.read_lexicon_sheet(spark, path)
+
+
+def label_complement_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Complements for ``supplier`` keys written in two forms (``7``, ``07.0``): the last row wins."""
+    supplier = fixture.table(spark, sf_dir, "supplier")
+    key = F.col("s_suppkey").cast("string")
+    forms = F.explode(F.array(F.struct(key.alias("code"), F.lit(0).alias("turn")),
+                              F.struct(F.concat(F.lit("0"), key, F.lit(".0")).alias("code"), F.lit(1).alias("turn"))))
+    rows = supplier.select("s_suppkey", "s_name", forms.alias("f")).select(
+        F.lit("service_code").alias("code_column"), F.col("f.code").alias("code"),
+        F.concat_ws(" ", "s_name", F.col("f.turn").cast("string")).alias("libelle"),
+        F.lit("supplier").alias("justification"),
+        (F.col("f.turn") * 1_000_000_000 + F.col("s_suppkey")).alias("pos"),
+    )
+    return labels.normalized_complements(rows)
+
+
+def label_dimension_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Problems of the stored dimension (a column without labels), and of one to which every part
+    type was added a second time with a blank label."""
+    dim = gold_lakehouse(spark, sf_dir).labels.read(spark)
+    types = fixture.table(spark, sf_dir, "part").select("p_type").distinct()
+    blank = types.select(
+        F.lit("service_code").alias("code_column"), F.col("p_type").alias("code"),
+        F.lit(" ").alias("libelle"), F.lit("test").alias("source"),
+    )
+    columns = label_sources.FIXTURE_CODE_COLUMNS
+    stored = labels.dimension_problems(dim, columns).withColumn("variant", F.lit("stored"))
+    spoilt = labels.dimension_problems(dim.unionByName(blank), columns)
+    return stored.unionByName(spoilt.withColumn("variant", F.lit("spoilt"))).select(
+        "variant", "problem", "code_column", "code", "rows"
+    )
+
+
 def label_first_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return label_sources.fixture_catalog_labels(spark, sf_dir)
 
@@ -376,10 +560,12 @@ def _candidate_complements(spark: SparkSession, sf_dir: str) -> DataFrame:
     conflicting = region.select(
         F.lit("region_code").alias("code_column"), key.alias("code"),
         F.col("r_name").alias("libelle"), F.lit("region key").alias("justification"),
+        F.col("r_regionkey").alias("pos"),
     )
     unknown = region.select(
         F.lit("continent_code").alias("code_column"), key.alias("code"),
         F.col("r_name").alias("libelle"), F.lit("continent").alias("justification"),
+        F.col("r_regionkey").alias("pos"),
     )
     return (
         label_sources.fixture_complements(spark, sf_dir)
@@ -473,35 +659,66 @@ def ratio_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def totals_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Months where a mart total differs from silver: the built marts (none) and a service mart
-    whose latest month was dropped (that month)."""
-    staging = stg_spend(spark, sf_dir)
-    lab = _labels(spark, sf_dir)
-    service = gold.spend_by_service(staging, lab, C)
-    region = gold.spend_by_region(staging, lab, C)
+    """Months where a stored mart's total differs from silver: the built marts (only the rows
+    without a month, which match nothing) and a service mart whose latest month was dropped."""
+    house = gold_lakehouse(spark, sf_dir)
     month = C.processing_month
-    out = None
-    for name, mart in (("service", service), ("region", region)):
-        part = quality.totals_match(mart, staging, month, [C.amount, C.reimbursed])
-        part = part.select(F.concat_ws(":", F.lit(name), "column").alias("check"), *part.columns[1:])
-        out = part if out is None else out.unionByName(part)
-    latest = staging.agg(F.max(month).alias("m"))
+    summary = gold_plan.silver_summary(stg_spend(spark, sf_dir), C)
+    service = _stored_mart(spark, house, gold_plan.SERVICE_MART)
+    region = _stored_mart(spark, house, gold_plan.REGION_MART)
+    latest = service.agg(F.max(month).alias("m"))
     broken = service.join(latest, F.col(month) == F.col("m"), "left_anti")
-    dropped = quality.totals_match(broken, staging, month, C.amount)
-    out = out.unionByName(
-        dropped.select(
-            F.concat_ws(":", F.lit("service_latest_month_dropped"), "column").alias("check"),
-            *dropped.columns[1:],
+    parts = [
+        quality.totals_match(mart, summary, month, columns).withColumn(
+            "check", F.concat_ws(":", F.lit(name), "column")
+        )
+        for name, mart, columns in (
+            ("service", service, [C.amount, C.reimbursed]),
+            ("region", region, [C.amount, C.reimbursed]),
+            ("service_latest_month_dropped", broken, [C.amount]),
+        )
+    ]
+    return reduce(DataFrame.unionByName, parts).select("check", month, "total_gold", "total_silver")
+
+
+def gold_build_service(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored_mart(spark, gold_lakehouse(spark, sf_dir), gold_plan.SERVICE_MART)
+
+
+def gold_build_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored_mart(spark, gold_lakehouse(spark, sf_dir), gold_plan.REGION_MART)
+
+
+def gold_month_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Marts of a full build, then every third month rebuilt: the same rows as before."""
+    house = gold_lakehouse(spark, sf_dir)
+    target = Lakehouse(work_path(spark, "rebuilt"), C)
+    _build_gold(spark, house, target)
+    months = _months(house.silver.read(spark))
+    _build_gold(spark, house, target, months[::3])
+    marts = (
+        _stored_mart(spark, target, name).select(
+            F.lit(name).alias("mart"), F.col(C.processing_month), F.col(key).alias("code"),
+            gold.ROWS, C.amount, gold.EFFECTIVE_RATE, PARTITION_COLUMN,
         )
+        for name, key in ((gold_plan.SERVICE_MART, C.service), (gold_plan.REGION_MART, C.region))
+    )
+    return reduce(DataFrame.unionByName, marts)
+
+
+def gold_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every check of the full gold build with its severity and its number of offending rows."""
+    results = _gold(spark, sf_dir)[1]
+    return spark.createDataFrame(
+        [(r.name, r.severity, r.rows) for r in results], "name string, severity string, rows bigint"
     )
-    return out.select("check", month, "total_gold", "total_silver")
 
 
 def not_null_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     staging = stg_spend(spark, sf_dir)
-    lab = _labels(spark, sf_dir)
-    service = gold.spend_by_service(staging, lab, C)
-    region = gold.spend_by_region(staging, lab, C)
+    house = gold_lakehouse(spark, sf_dir)
+    service = _stored_mart(spark, house, gold_plan.SERVICE_MART)
+    region = _stored_mart(spark, house, gold_plan.REGION_MART)
     month = C.processing_month
     measures = [NotNull(C.amount), NotNull(C.reimbursed)]
     return (
@@ -555,4 +772,17 @@ QUERIES: dict[str, Query] = {
     "totals_match": totals_match,
     "not_null_checks": not_null_checks,
     "table_parity": table_parity,
+    "bronze_header_order": bronze_header_order,
+    "bronze_repeated_month": bronze_repeated_month,
+    "bronze_odd_template": bronze_odd_template,
+    "bronze_gzip_parallel": bronze_gzip_parallel,
+    "empty_month_guard": empty_month_guard,
+    "code_list_scan": code_list_scan,
+    "lexicon_scan": lexicon_scan,
+    "label_complement_last_wins": label_complement_last_wins,
+    "label_dimension_checks": label_dimension_checks,
+    "gold_build_service": gold_build_service,
+    "gold_build_region": gold_build_region,
+    "gold_month_rebuild": gold_month_rebuild,
+    "gold_checks": gold_checks,
 }

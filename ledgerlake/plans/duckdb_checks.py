@@ -23,7 +23,7 @@ base AS (
 ),
 fx AS (
   SELECT k,
-    CASE WHEN k % 101 = 0 THEN '209901' ELSE CAST(ym AS VARCHAR) END AS flow_month,
+    CASE WHEN k % 101 = 0 THEN '209901' WHEN k % 149 = 0 THEN NULL ELSE CAST(ym AS VARCHAR) END AS flow_month,
     CASE WHEN k % 103 = 0 THEN '0000'
          WHEN k % 107 = 0 THEN '0001'
          WHEN k % 113 = 0 THEN CAST(CAST(floor((care + 9) / 12) AS BIGINT) AS VARCHAR)
@@ -103,11 +103,23 @@ _RAW = "flow_month, care_year, care_month, status_code, service_code, region_cod
 
 
 def _norm(t: str) -> str:
-    d = f"TRY_CAST({t} AS DECIMAL(38,10))"
+    """Integral numbers as plain integers, decided on the digits."""
+    number = "^([+-]?)(\\d*)\\.?(\\d*)(?:[eE]([+-]?\\d+))?$"
+
+    def part(k: int) -> str:
+        return f"regexp_extract({t}, '{number}', {k})"
+
+    shift = f"coalesce(TRY_CAST({part(4)} AS INTEGER), 0)"
+    fraction = f"rtrim({part(3)}, '0')"
+    digits = f"({part(2)} || {fraction})"
+    after = f"(length({fraction}) - {shift})"
+    whole = f"CASE WHEN {after} <= 0 THEN {digits} || repeat('0', -{after}) ELSE left({digits}, greatest(length({digits}) - {after}, 0)) END"
+    behind = f"CASE WHEN {after} <= 0 THEN '' ELSE right({digits}, least({after}, length({digits}))) END"
+    plain = f"ltrim({whole}, '0')"
     return (
         f"CASE WHEN regexp_full_match({t}, '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?') "
-        f"AND {d} IS NOT NULL AND {d} = floor({d}) "
-        f"THEN CAST(CAST({d} AS DECIMAL(38,0)) AS VARCHAR) ELSE {t} END"
+        f"AND abs({shift}) <= 999 AND rtrim({behind}, '0') = '' "
+        f"THEN CASE WHEN {plain} = '' THEN '0' WHEN {part(1)} = '-' THEN '-' || {plain} ELSE {plain} END ELSE {t} END"
     )
 
 
@@ -245,6 +257,45 @@ def _not_null(table: str, source: str, cols: list[tuple[str, str]]) -> str:
     return " UNION ALL ".join(parts)
 
 
+_STORED = "coalesce(strftime(mois_traitement, '%Y%m'), 'inconnu') AS _year_month"
+_NULLS = {
+    "not_null_staging": ("error", "silver", ("mois_traitement", "montant_depense")),
+    "not_null_service": (
+        "error", "svc", ("mois_traitement", "nature_prestation", "montant_depense", "montant_rembourse")
+    ),
+    "not_null_service_label": ("warn", "svc", ("libelle_nature_prestation",)),
+    "not_null_region": (
+        "error", "reg", ("mois_traitement", "region_residence_beneficiaire", "montant_depense", "montant_rembourse")
+    ),
+    "not_null_region_label": ("warn", "reg", ("libelle_region_residence_beneficiaire",)),
+}
+_GRAINS = {
+    "unique_labels": ("dim", "code_column, code"),
+    "unique_service": ("svc", "mois_traitement, nature_prestation"),
+    "unique_region": ("reg", "mois_traitement, region_residence_beneficiaire"),
+}
+_CHECK_COUNTS = [
+    *(
+        f"SELECT '{name}' AS name, '{severity}' AS severity, CAST("
+        + " + ".join(f"(SELECT CAST(count(*) > 0 AS INT) FROM {source} WHERE {c} IS NULL)" for c in columns)
+        + " AS BIGINT) AS rows"
+        for name, (severity, source, columns) in _NULLS.items()
+    ),
+    *(
+        f"SELECT '{name}', 'error', (SELECT count(*) FROM (SELECT {keys} FROM {source} GROUP BY {keys} HAVING count(*) > 1))"
+        for name, (source, keys) in _GRAINS.items()
+    ),
+    "SELECT 'missing_labels', 'warn', (SELECT count(*) FROM codes c LEFT JOIN dim d "
+    "ON d.code_column = c.code_column AND d.code = c.code WHERE d.code IS NULL)",
+    *(
+        f"SELECT 'totals_{mart}', 'error', (SELECT count(*) FROM ("
+        + " UNION ALL ".join(_totals_diff(source, c, c) for c in ("montant_depense", "montant_rembourse"))
+        + "))"
+        for mart, source in (("depenses_par_prestation", "svc"), ("depenses_par_region", "reg"))
+    ),
+]
+
+
 ORACLE_SQL: dict[str, str] = {
     "bronze_csv_roundtrip": _with(_BASE)
     + f"SELECT {_RAW}, 'A' || _year_month || '.csv.gz' AS _source_file, _year_month FROM fx",
@@ -309,7 +360,12 @@ ORACLE_SQL: dict[str, str] = {
     UNION ALL SELECT '+' || CAST(l_linenumber AS VARCHAR) FROM lineitem
     UNION ALL SELECT CAST(CAST(l_tax AS DECIMAL(18,2)) AS VARCHAR) FROM lineitem
     UNION ALL SELECT CAST(l_linenumber AS VARCHAR) || 'e1' FROM lineitem
-    UNION ALL SELECT '0' || l_returnflag || l_linestatus FROM lineitem))""",
+    UNION ALL SELECT '0' || l_returnflag || l_linestatus FROM lineitem
+    UNION ALL SELECT CAST(l_linenumber AS VARCHAR) || '.00000000001' FROM lineitem
+    UNION ALL SELECT CAST(l_linenumber AS VARCHAR) || repeat('7', 30) || '.000' FROM lineitem
+    UNION ALL SELECT '-' || CAST(l_linenumber AS VARCHAR) || 'e' || CAST(CAST(l_quantity AS INTEGER) + 20 AS VARCHAR) FROM lineitem
+    UNION ALL SELECT '.' || CAST(l_linenumber AS VARCHAR) || '50E+' || CAST(l_linenumber % 3 AS VARCHAR) FROM lineitem
+    UNION ALL SELECT CAST(l_linenumber AS VARCHAR) || '00e-' || CAST(l_linenumber % 4 AS VARCHAR) FROM lineitem))""",
     "label_first_wins": _with(_LABELS) + "SELECT code, libelle FROM catalog_src",
     "label_last_wins": _with(_LABELS) + "SELECT code, libelle FROM lexicon_src",
     "label_merge_priority": _with(_LABELS) + "SELECT code_column, code, libelle, source FROM merged",
@@ -357,10 +413,19 @@ FROM (
 ) GROUP BY 1, 2, 3""",
     "unique_grain": _with(_BASE) + "SELECT k, count(*) AS occurrences FROM fx GROUP BY k HAVING count(*) > 1",
     "totals_match": _GOLD
-    + _totals_diff(
-        "(SELECT * FROM svc WHERE mois_traitement < (SELECT max(mois_traitement) FROM silver))",
-        "montant_depense",
-        "service_latest_month_dropped:montant_depense",
+    + " UNION ALL ".join(
+        [
+            *(
+                _totals_diff(mart, column, f"{name}:{column}")
+                for name, mart in (("service", "svc"), ("region", "reg"))
+                for column in ("montant_depense", "montant_rembourse")
+            ),
+            _totals_diff(
+                "(SELECT * FROM svc WHERE mois_traitement IS NULL OR mois_traitement < (SELECT max(mois_traitement) FROM silver))",
+                "montant_depense",
+                "service_latest_month_dropped:montant_depense",
+            ),
+        ]
     ),
     "not_null_checks": _GOLD
     + "SELECT * FROM ("
@@ -387,4 +452,39 @@ FROM (
   SELECT {_BUSINESS} FROM typed EXCEPT ALL SELECT {_BUSINESS} FROM silver)
 UNION ALL SELECT {_BUSINESS}, 'right_only' FROM (
   SELECT {_BUSINESS} FROM silver EXCEPT ALL SELECT {_BUSINESS} FROM typed)""",
+    "bronze_header_order": _with(_BASE) + f"SELECT {_RAW}, _year_month FROM fx",
+    "bronze_repeated_month": _with(_BASE)
+    + "SELECT _year_month, count(*) AS lignes FROM fx GROUP BY _year_month",
+    "bronze_odd_template": _with(_BASE)
+    + "SELECT 'A ' || left(_year_month, 4) || ' 100%25 ' || right(_year_month, 2) || '.csv.gz' AS _source_file, "
+    "_year_month, count(*) AS lignes FROM fx GROUP BY ALL",
+    "bronze_gzip_parallel": _with(_BASE)
+    + f"SELECT {_RAW}, 'A' || _year_month || '.csv.gz' AS _source_file, _year_month FROM fx",
+    "empty_month_guard": _with(_BASE)
+    + """SELECT m AS mois_absent, false AS ecrit FROM (
+  SELECT DISTINCT left(_year_month, 4) || lpad(CAST(n AS VARCHAR), 2, '0') AS m FROM fx, range(1, 13) t(n))
+WHERE m NOT IN (SELECT _year_month FROM fx)""",
+    "code_list_scan": f"""SELECT code, arg_min(libelle, p_partkey) AS libelle FROM (
+  SELECT {_norm('trim(p_type)')} AS code, p_partkey,
+    {_clean("(p_name || ' \"ref; ' || CAST(p_partkey AS VARCHAR) || '\"')")} AS libelle FROM part)
+GROUP BY code""",
+    "lexicon_scan": f"SELECT CAST(n_nationkey AS VARCHAR) AS code, {_clean('lower(n_name)')} AS libelle FROM nation",
+    "label_complement_last_wins": "SELECT 'service_code' AS code_column, CAST(s_suppkey AS VARCHAR) AS code, "
+    "s_name || ' 1' AS libelle, 'supplier' AS justification FROM supplier",
+    "label_dimension_checks": _with(_LABELS)
+    + """SELECT variant, problem, code_column, code, rows FROM (
+  SELECT 'stored' AS variant, 'absent' AS problem, 'status_code' AS code_column, CAST(NULL AS VARCHAR) AS code, CAST(0 AS BIGINT) AS rows
+  WHERE NOT EXISTS (SELECT * FROM dim WHERE code_column = 'status_code')
+  UNION ALL SELECT 'spoilt', 'absent', 'status_code', NULL, 0 WHERE NOT EXISTS (SELECT * FROM dim WHERE code_column = 'status_code')
+  UNION ALL SELECT 'spoilt', 'blank', 'service_code', p_type, 1 FROM (SELECT DISTINCT p_type FROM part)
+  UNION ALL SELECT 'spoilt', 'repeated', 'service_code', code, 2 FROM dim
+  WHERE code_column = 'service_code' AND code IN (SELECT p_type FROM part))""",
+    "gold_build_service": _GOLD + f"SELECT *, {_STORED} FROM svc",
+    "gold_build_region": _GOLD + f"SELECT *, {_STORED} FROM reg",
+    "gold_month_rebuild": _GOLD
+    + f"""SELECT 'depenses_par_prestation' AS mart, mois_traitement, nature_prestation AS code, nombre_lignes,
+  montant_depense, taux_remboursement_effectif, {_STORED} FROM svc
+UNION ALL SELECT 'depenses_par_region', mois_traitement, region_residence_beneficiaire, nombre_lignes,
+  montant_depense, taux_remboursement_effectif, {_STORED} FROM reg""",
+    "gold_checks": _with(_BASE, _TYPED, _LABELS, _SERVICE, _REGION, _CODE_COUNTS) + " UNION ALL ".join(_CHECK_COUNTS),
 }

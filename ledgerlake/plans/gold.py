@@ -1,23 +1,32 @@
-"""Gold build: silver + labels -> two marts, then the data checks with their severities."""
+"""Gold build: silver + labels -> two marts, then the data checks with their severities.
+
+A mart has one row for each (processing month, code), months and codes being NULL included, and is
+stored by processing month; rows without one are in the partition ``gold.UNKNOWN_MONTH``. Silver rows
+of a month are in the silver partition of that month, but rows without a processing month may be in
+any: a rebuild of some months therefore rebuilds the unknown partition from all of silver, so that it
+gives what a full build gives.
+
+Silver is scanned three times: for both marts at once (grouping sets), for the checks' own totals and
+NULL counts, and for the label audit.
+"""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.contract import PARTITION_COLUMN, Contract
+from ledgerlake.contract import Contract
 from ledgerlake.operators import gold, quality
-from ledgerlake.operators.joins import small_side
 from ledgerlake.operators.quality import ERROR, WARN, NotNull
+from ledgerlake.session import work_path
 from ledgerlake.sinks.partitions import overwrite_months, overwrite_partitioned_table
+from ledgerlake.sources.monthly_files import checked_months
 from ledgerlake.sources.tables import TableRef, read_months
 
 SERVICE_MART = "depenses_par_prestation"
-MAX_MART_WRITERS = 128  # parallel writers of a mart (one month is always in one task)
 REGION_MART = "depenses_par_region"
 
 
@@ -32,18 +41,17 @@ class CheckResult:
     rows: int
 
 
-def marts(
-    silver: DataFrame, labels: DataFrame, contract: Contract, by_partition: bool = False
-) -> dict[str, DataFrame]:
-    staging = gold.staging_spend(silver, contract, by_partition)
-    return {
-        SERVICE_MART: gold.spend_by_service(staging, labels, contract),
-        REGION_MART: gold.spend_by_region(staging, labels, contract),
-    }
+def silver_summary(staging: DataFrame, contract: Contract) -> DataFrame:
+    """One row for each processing month: measures, rows, and rows with a NULL month or amount."""
+    return staging.groupBy(contract.processing_month).agg(
+        *[F.sum(m).cast("decimal(38,2)").alias(m) for m in gold.measures(contract)],
+        F.count_if(F.col(contract.processing_month).isNull()).alias("null_months"),
+        F.count_if(F.col(contract.amount).isNull()).alias("null_amounts"),
+    )
 
 
 def checks(
-    staging: DataFrame,
+    summary: DataFrame,
     service: DataFrame,
     region: DataFrame,
     labels: DataFrame,
@@ -54,9 +62,11 @@ def checks(
     month = contract.processing_month
     label_service = gold.LABEL_PREFIX + contract.service
     label_region = gold.LABEL_PREFIX + contract.region
+    nulls = summary.agg(
+        F.sum("null_months").alias(month), F.sum("null_amounts").alias(contract.amount)
+    ).unpivot([], [month, contract.amount], "column", "null_rows")
     out: dict[str, tuple[str, DataFrame]] = {
-        "not_null_staging": (ERROR, quality.not_null_counts(
-            staging, "stg_depenses", [NotNull(month), NotNull(contract.amount)])),
+        "not_null_staging": (ERROR, nulls.where("null_rows > 0")),
         "not_null_service": (ERROR, quality.not_null_counts(
             service, SERVICE_MART,
             [NotNull(month), NotNull(contract.service), NotNull(contract.amount),
@@ -77,11 +87,18 @@ def checks(
     for mart_name, mart in ((SERVICE_MART, service), (REGION_MART, region)):
         out[f"totals_{mart_name}"] = (
             ERROR,
-            quality.totals_match(mart, staging, month, [contract.amount, contract.reimbursed]),
+            quality.totals_match(mart, summary, month, [contract.amount, contract.reimbursed]),
         )
     return out
 
 
+def _written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """A small result kept under the shared folder, so that what follows reads it, not silver."""
+    path = work_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def build_gold(
     spark: SparkSession,
     silver: TableRef,
@@ -94,49 +111,51 @@ def build_gold(
 ) -> list[CheckResult]:
     """Write both marts, then run every check on what was written.
 
-    The marts are stored partitioned by the silver month partition. Without ``months`` every
-    month is rebuilt; with ``months`` only those silver partitions are read (partition pruning)
-    and only those mart partitions replaced, so a monthly run costs one month, not the whole
-    history. Checks then cover the rebuilt months, the label audit included (a full build
-    audits every month).
+    Without ``months`` every month is rebuilt; with ``months`` only those silver partitions are read
+    (and the few rows without a processing month, which Parquet statistics find), and only those
+    mart partitions replaced, so a monthly run costs one month, not the whole history. Checks then
+    cover the rebuilt months, the label audit included (a full build audits every month).
 
     Errors raise DataTestError after all checks ran (unless ``fail_on_error`` is False);
     warnings are returned with the other results.
     """
-    silver_df = read_months(spark, silver, months) if months else silver.read(spark)
-    labels_df = small_side(labels.read(spark))
-    built = marts(silver_df, labels_df, contract, by_partition=True)
-    # a mart holds (months x codes) aggregated rows: cluster them by month so each month is one
-    # file (not one small file per aggregation task and month), over an explicit number of
-    # tasks so the months are written in parallel (AQE does not merge an explicit count)
-    writers = min(
-        len(months) if months else MAX_MART_WRITERS,
-        spark.sparkContext.defaultParallelism,
-        MAX_MART_WRITERS,
-    )
-    for name, table in ((SERVICE_MART, service_table), (REGION_MART, region_table)):
-        mart = built[name].repartition(max(writers, 1), PARTITION_COLUMN)
+    silver_df = silver.read(spark)
+    if months:
+        months = checked_months(months)
+        month = F.col(contract.processing_month)
+        silver_df = (
+            read_months(spark, silver, months).where(month.isNotNull())
+            .unionByName(silver_df.where(month.isNull()))
+        )
+    labels_df = labels.read(spark)
+    staging = gold.staging_spend(silver_df, contract)
+    spend = _written(spark, gold.monthly_spend_by_each(staging, contract), "gold-spend")
+    stored = []
+    for key, table, build in (
+        (contract.service, service_table, gold.service_mart),
+        (contract.region, region_table, gold.region_mart),
+    ):
+        mart = build(spend.where(F.col("axis") == key), labels_df, contract)
+        mart = mart.select("*", gold.mart_month(contract))
+        # few rows, clustered by month so that each month is one file
+        clustered = mart.repartition(mart.columns[-1])
         if months:
-            overwrite_months(mart, table, months)
+            overwrite_months(clustered, table, [*months, gold.UNKNOWN_MONTH])
         else:
-            overwrite_partitioned_table(mart, table)
-
-    def written(table: TableRef, name: str) -> DataFrame:
+            overwrite_partitioned_table(clustered, table)
         if not table.is_catalog:  # the schema is known: no inference over the month folders
-            table = TableRef(path=table.path, schema=built[name].schema)
-        return read_months(spark, table, months) if months else table.read(spark)
+            table = TableRef(path=table.path, schema=mart.schema)
+        stored.append(
+            read_months(spark, table, [*months, gold.UNKNOWN_MONTH]) if months else table.read(spark)
+        )
 
-    staging = gold.staging_spend(silver_df, contract)
+    summary = _written(spark, silver_summary(staging, contract), "gold-summary")
     counted = [
         df.agg(F.count(F.lit(1)).alias("rows")).select(
             F.lit(name).alias("name"), F.lit(severity).alias("severity"), "rows"
         )
-        for name, (severity, df) in checks(
-            staging, written(service_table, SERVICE_MART), written(region_table, REGION_MART),
-            labels_df, silver_df,
-            contract,
-        ).items()
-    ]
+        for name, (severity, df) in checks(summary, *stored, labels_df, silver_df, contract).items()
+    ]
     # one job for every check: the scans run as concurrent stages, one round trip
     results = [
         CheckResult(r["name"], r["severity"], int(r["rows"]))

@@ -15,35 +15,29 @@ from __future__ import annotations
 from dataclasses import dataclass
 from decimal import Decimal
 
-from pyspark.sql import Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.contract import PARTITION_COLUMN, Contract
 from ledgerlake.operators import reconcile
-from ledgerlake.operators.reconcile import ReconciliationError, Totals
 from ledgerlake.operators.silver import raw_amount, rejected_rows, valid_rows, with_reasons
 from ledgerlake.sinks.partitions import overwrite_months
+from ledgerlake.sources.monthly_files import checked_months
 from ledgerlake.sources.tables import TableRef, read_months
 
 
 @dataclass(frozen=True)
 class SilverResult:
+    """Rows and amounts by layer (``reconcile.LAYERS``), and rows by rejection reason."""
+
     months: tuple[str, ...]
-    bronze: Totals
-    silver: Totals
-    quarantine: Totals
+    rows: dict[str, int]
+    amounts: dict[str, Decimal]
     reasons: tuple[tuple[str, int], ...]
 
 
-def _by_month(rows) -> dict[str, Totals]:
-    return {r[PARTITION_COLUMN]: Totals(int(r["rows"]), r["amount"]) for r in rows}
-
-
-def _sum(parts: dict[str, Totals]) -> Totals:
-    return Totals(
-        sum(t.rows for t in parts.values()),
-        sum((t.amount for t in parts.values()), Decimal("0.00")),
-    )
+def _month_totals(df: DataFrame, layer: str, amount) -> DataFrame:
+    return reconcile.monthly_totals(df, amount).withColumn("layer", F.lit(layer))
 
 
 def build_silver(
@@ -61,16 +55,14 @@ def build_silver(
     row-group min/max statistics become selective for them, e.g. (service, region) for readers
     filtering on a service or a region. Costs a per-task sort; off by default.
     """
-    months = sorted(set(months))
+    months = checked_months(months)
     source = read_months(spark, bronze, months)
-    amount = raw_amount(contract)
+    raw = raw_amount(contract)
 
-    bronze_totals = _by_month(
-        reconcile.monthly_totals(
-            source.select(PARTITION_COLUMN, contract.amount_source), amount
-        ).collect()
-    )
-    absent = [m for m in months if bronze_totals.get(m, Totals(0, Decimal(0))).rows == 0]
+    # one row for each month and layer, here and below
+    loaded = _month_totals(source.select(PARTITION_COLUMN, contract.amount_source), "bronze", raw)
+    totals = loaded.collect()
+    absent = sorted(set(months) - {r[PARTITION_COLUMN] for r in totals})
     if absent:
         raise ValueError(f"months absent from bronze (load them first): {', '.join(absent)}")
 
@@ -79,58 +71,37 @@ def build_silver(
     valid = valid_rows(checked, contract)
     if sort_within:
         valid = valid.sortWithinPartitions(PARTITION_COLUMN, *sort_within)
-    written = overwrite_months(valid, silver, months)
-    bronze_all = _sum(bronze_totals)
+    overwrite_months(valid, silver, months)
     # the silver pass observed which months hold rejects: only those are scanned again for the
     # quarantine; the others are emptied without reading bronze (no reject at all: no scan)
     with_rejects = sorted(checked_obs.get["months_rejected"] or [])
-    if written.rows == bronze_all.rows:
-        with_rejects = []
     if with_rejects:
-        rejected = rejected_rows(
-            with_reasons(read_months(spark, bronze, with_rejects), contract)
-        )
+        again = read_months(spark, bronze, with_rejects)
+        rejected = rejected_rows(with_reasons(again, contract))
     else:
         rejected = rejected_rows(checked).limit(0)
     overwrite_months(rejected, quarantine, months)
 
     # what was written, re-read from disk: both layers' monthly totals in one job
-    quarantine_month = read_months(spark, quarantine, months)
-    written_totals = (
-        reconcile.monthly_totals(
-            read_months(spark, silver, months).select(PARTITION_COLUMN, contract.amount),
-            F.col(contract.amount),
-        )
-        .withColumn("layer", F.lit("silver"))
-        .unionByName(
-            reconcile.monthly_totals(
-                quarantine_month.select(PARTITION_COLUMN, contract.amount_source), amount
-            ).withColumn("layer", F.lit("quarantine"))
-        )
-        .collect()
+    kept = read_months(spark, silver, months).select(PARTITION_COLUMN, contract.amount)
+    refused = read_months(spark, quarantine, months)
+    written = _month_totals(kept, "silver", F.col(contract.amount)).unionByName(
+        _month_totals(refused.select(PARTITION_COLUMN, contract.amount_source), "quarantine", raw)
     )
-    silver_totals = _by_month(r for r in written_totals if r["layer"] == "silver")
-    quarantine_totals = _by_month(r for r in written_totals if r["layer"] == "quarantine")
-    zero = Totals(0, Decimal("0.00"))
-    failures = []
-    for m in months:
-        try:
-            reconcile.check_reconciliation(
-                bronze_totals[m], silver_totals.get(m, zero), quarantine_totals.get(m, zero)
-            )
-        except ReconciliationError as err:
-            failures.append(f"{m}: {err}")
-    if failures:
-        raise ReconciliationError("; ".join(failures))
-
-    q_all = _sum(quarantine_totals)
+    totals += written.collect()
+    layers = spark.createDataFrame(totals, written.schema)
+    reconcile.require_reconciled(layers, [PARTITION_COLUMN])
+
+    def total(layer: str, measure: str, zero):
+        return sum((r[measure] for r in totals if r["layer"] == layer), zero)
+
+    rows = {layer: int(total(layer, "rows", 0)) for layer in reconcile.LAYERS}
+    amounts = {layer: total(layer, "amount", Decimal("0.00")) for layer in reconcile.LAYERS}
     reasons: tuple[tuple[str, int], ...] = ()
-    if q_all.rows:
-        reasons = tuple(
-            (r["motif"], int(r["lignes"]))
-            for r in reconcile.reason_counts(quarantine_month).collect()
-        )
-    return SilverResult(tuple(months), bronze_all, _sum(silver_totals), q_all, reasons)
+    if rows["quarantine"]:
+        counted = reconcile.reason_counts(refused).collect()
+        reasons = tuple((r["motif"], int(r["lignes"])) for r in counted)
+    return SilverResult(tuple(months), rows, amounts, reasons)
 
 
 def build_silver_month(

@@ -30,13 +30,15 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
-    Read from the session; only when nothing is configured (local runs, tests) a private folder
-    is created and registered as the checkpoint directory.
+    Read from the session. When nothing is configured, a local master (tests, one machine) gets a
+    private folder; a cluster gets an error, as each executor would write to its own disk.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = spark.sparkContext.getCheckpointDir()
     if not configured:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="ledgerlake-")
         spark.sparkContext.setCheckpointDir(configured)
     return configured.rstrip("/")

@@ -1,126 +1,122 @@
 """Idempotent writes of month partitions.
 
 Rows have no key, so a month is always *replaced*, never merged: re-running a month replaces its
-rows, and an empty input empties the month. Parquet has no transaction log, therefore:
+rows, and an empty input empties the month.
 
-* rows are written with a dynamic partition overwrite: each month that receives rows is replaced
-  when the job commits (a failed job leaves the previous data readable);
+* Rows are written with a dynamic partition overwrite: each month that receives rows is replaced
+  when the job commits (a job that fails before leaves the previous data as it was);
+* a row of a month that was not asked for fails the job, before anything is committed;
 * a requested month that received no row is then emptied by an empty write to its own partition
-  directory (a dynamic overwrite alone would leave the old month in place), one small job per
-  such month, bounded by the months requested;
-* rows written are counted with an Observation during the write, never by re-reading.
+  folder, one small job per such month, bounded by the months requested;
+* rows written are counted per month with an Observation during the write, never by re-reading;
+* each task keeps one writer open per month (up to ``OPEN_WRITERS``), so its rows need no sort.
+
+Limit: Parquet folders have no transaction log. At commit the old partition folders are deleted
+and the new ones moved in, one after the other, so a driver that dies within those moments can leave
+a month absent (a rerun restores it), and on object stores a move is a copy. A table format with a
+log would be needed for more.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Iterator
+from contextlib import contextmanager
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.contract import PARTITION_COLUMN
 from ledgerlake.sources.tables import TableRef
 
+OPEN_WRITERS = 16  # months that a task writes side by side; with more, its rows are sorted
+_WRITERS_CONF = "spark.sql.maxConcurrentOutputFileWriters"
+
 
 @dataclass(frozen=True)
 class WriteResult:
     rows: int
     months: tuple[str, ...]
+    by_month: dict[str, int] = field(default_factory=dict)
 
 
-def _observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """``df`` counting its rows while written; ``name`` is descriptive only (each observation
-    gets a unique id, so concurrent writes in one session never mix their counts)."""
-    obs = Observation()
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+@contextmanager
+def _unsorted(spark: SparkSession) -> Iterator[None]:
+    """Month writers side by side while this write is planned."""
+    before = spark.conf.get(_WRITERS_CONF)
+    spark.conf.set(_WRITERS_CONF, str(OPEN_WRITERS))
+    try:
+        yield
+    finally:
+        spark.conf.set(_WRITERS_CONF, before)
 
 
 def overwrite_month(df: DataFrame, table: TableRef, year_month: str) -> int:
-    """Replace one month of ``table`` with ``df`` and return the rows written.
-
-    Rows are written with a dynamic partition overwrite: the month's old files are replaced
-    only when the job commits, so a job lost half-way (executors gone, driver restarted)
-    leaves the previous month readable and a rerun repeats the replacement. A month that
-    receives no row is then emptied explicitly.
-    """
-    if table.is_catalog:
-        return _insert_overwrite_month(df, table, year_month)
+    """Replace one month of ``table`` with ``df`` and return the rows written."""
     return overwrite_months(
         df.withColumn(PARTITION_COLUMN, F.lit(year_month)), table, [year_month]
     ).rows
 
 
 def _clear_month(df: DataFrame, table: TableRef, year_month: str) -> None:
-    """Empty one month: an empty write to the month's own directory (static overwrite)."""
-    if table.is_catalog:
-        _insert_overwrite_month(df.limit(0), table, year_month)
+    """Empty one month: an empty write to the month's own folder or partition."""
+    if not table.is_catalog:
+        df.limit(0).drop(PARTITION_COLUMN).write.mode("overwrite").parquet(
+            table.partition_path(year_month)
+        )
         return
-    df.limit(0).drop(PARTITION_COLUMN).write.mode("overwrite").parquet(
-        table.partition_path(year_month)
-    )
-
-
-def _insert_overwrite_month(df: DataFrame, table: TableRef, year_month: str) -> int:
-    """Catalog table: INSERT OVERWRITE of one static partition (also empties it)."""
-    spark = df.sparkSession
-    counted, obs = _observed(df.drop(PARTITION_COLUMN), f"month_{year_month}")
-    if not spark.catalog.tableExists(table.name):
-        counted.withColumn(PARTITION_COLUMN, F.lit(year_month)).write.partitionBy(
-            PARTITION_COLUMN
-        ).format("parquet").saveAsTable(table.name)
-        return int(obs.get["rows"])
     view = f"_ledgerlake_month_{year_month}"
-    counted.createOrReplaceTempView(view)
-    columns = ", ".join(f"`{c}`" for c in counted.columns)
-    spark.sql(
+    nothing = df.limit(0).drop(PARTITION_COLUMN)
+    nothing.createOrReplaceTempView(view)
+    columns = ", ".join(f"`{c}`" for c in nothing.columns)
+    df.sparkSession.sql(
         f"INSERT OVERWRITE TABLE {table.name} PARTITION ({PARTITION_COLUMN} = '{year_month}') "
         f"SELECT {columns} FROM {view}"
     )
-    spark.catalog.dropTempView(view)
-    return int(obs.get["rows"])
+    df.sparkSession.catalog.dropTempView(view)
 
 
 def overwrite_months(df: DataFrame, table: TableRef, months: list[str]) -> WriteResult:
-    """Replace every month of ``months`` with the rows of ``df`` in one job.
-
-    ``df`` must only hold rows of those months. The set of months observed during the write is
-    bounded by ``months``; months that received no row are emptied afterwards.
-    """
-    obs = Observation()
-    counted = df.observe(
-        obs,
-        F.count(F.lit(1)).alias("rows"),
-        F.collect_set(PARTITION_COLUMN).alias("months"),
+    """Replace every month of ``months`` with the rows of ``df`` in one job; other months are not
+    touched, and a row of another month (or of none) fails the write."""
+    spark, months = df.sparkSession, sorted(set(months))
+    month = F.col(PARTITION_COLUMN)
+    stray = F.concat(F.lit("row of a month that is not written: "), F.coalesce(month, F.lit("none")))
+    checked = df.withColumn(
+        PARTITION_COLUMN, F.when(month.isin(months), month).otherwise(F.raise_error(stray))
     )
-    writer = (
-        counted.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(PARTITION_COLUMN)
+    seen = Observation()
+    counted = checked.observe(
+        seen,
+        F.count(F.lit(1)).alias("rows"),
+        *(F.count_if(month == m).alias(f"m{k}") for k, m in enumerate(months)),
     )
-    if table.is_catalog and not df.sparkSession.catalog.tableExists(table.name):
-        writer = writer.format("parquet")
-    if table.is_catalog and df.sparkSession.catalog.tableExists(table.name):
-        counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(
-            table.name
-        )
-    else:
-        table.save(writer)
-    result = obs.get
-    written = tuple(sorted(result["months"] or []))
-    for year_month in sorted(set(months) - set(written)):
-        _clear_month(df, table, year_month)
-    return WriteResult(rows=int(result["rows"]), months=written)
+    with _unsorted(spark):
+        if table.is_catalog and spark.catalog.tableExists(table.name):
+            writer = counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            writer.insertInto(table.name)
+        else:
+            writer = counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            table.save(writer.partitionBy(PARTITION_COLUMN).format("parquet"))
+    result = seen.get
+    by_month = {m: int(result[f"m{k}"]) for k, m in enumerate(months)}
+    for empty in (m for m, rows in by_month.items() if not rows):
+        _clear_month(checked, table, empty)
+    written = tuple(m for m, rows in by_month.items() if rows)
+    return WriteResult(rows=int(result["rows"]), months=written, by_month=by_month)
 
 
 def overwrite_table(df: DataFrame, table: TableRef) -> int:
     """Replace a whole (small) table and return the rows written."""
-    counted, obs = _observed(df, "table")
-    table.save(counted.write.mode("overwrite"))
-    return int(obs.get["rows"])
+    seen = Observation()
+    table.save(df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite"))
+    return int(seen.get["rows"])
 
 
 def overwrite_partitioned_table(df: DataFrame, table: TableRef) -> int:
     """Replace a whole table, partitioned by month; returns the rows written."""
-    counted, obs = _observed(df, "partitioned_table")
-    table.save(counted.write.mode("overwrite").partitionBy(PARTITION_COLUMN))
-    return int(obs.get["rows"])
+    seen = Observation()
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    with _unsorted(df.sparkSession):
+        table.save(counted.write.mode("overwrite").partitionBy(PARTITION_COLUMN))
+    return int(seen.get["rows"])

@@ -6,9 +6,9 @@ exactly as it would come out of a delimited file.
 
 Scale notes: lineitem is the only large input and always the streamed side. Orders and customer
 are first reduced to (order key -> nation key) and that narrow relation is joined to lineitem;
-part is reduced to (part key -> type). Each reduced side is broadcast only after a bounded row
-count proves it small; beyond the bound the joins stay sort-merge joins on the key (AQE splits a
-skewed key), so nothing grows on the driver or in one task.
+part is reduced to (part key -> type). No side is hinted: the optimizer broadcasts one whose size in
+bytes is known to be small, and adaptive execution re-plans the others by the bytes it measures and
+splits a skewed key, so nothing grows on the driver or in one task.
 """
 
 from __future__ import annotations
@@ -19,10 +19,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.contract import FIXTURE_RAW_COLUMNS
-from ledgerlake.operators.joins import small_side
 
 # --- Fixed values: the anomaly selector of the fixture (k = order key * 10 + line number) --
 FLOW_MISMATCH_EVERY = 101  # processing month replaced by 209901
+FLOW_NULL_EVERY = 149  # empty processing month (valid: it raises no reason)
 CARE_ZERO_EVERY = 103  # care 0000/00 (unknown)
 CARE_ONE_EVERY = 107  # care 0001/01 (unknown)
 CARE_MONTH_13_EVERY = 109  # care month 13
@@ -65,9 +65,8 @@ def claims_text(spark: SparkSession, sf_dir: str, with_key: bool = False) -> Dat
         .select("o_orderkey", "c_nationkey")
     )
     part_type = table(spark, sf_dir, "part").select("p_partkey", "p_type")
-    # lineitem always streams; a reduced side is broadcast only when its size is proven small
-    rows = line.join(small_side(order_nation), F.col("l_orderkey") == F.col("o_orderkey")).join(
-        small_side(part_type), F.col("l_partkey") == F.col("p_partkey")
+    rows = line.join(order_nation, F.col("l_orderkey") == F.col("o_orderkey")).join(
+        part_type, F.col("l_partkey") == F.col("p_partkey")
     )
 
     k = F.col("l_orderkey") * 10 + F.col("l_linenumber")
@@ -87,9 +86,9 @@ def claims_text(spark: SparkSession, sf_dir: str, with_key: bool = False) -> Dat
         1 - F.col("l_discount").cast("decimal(18,2)")
     )
     columns = {
-        "flow_month": F.when(_hit(k, FLOW_MISMATCH_EVERY), F.lit(MISMATCH_MONTH)).otherwise(
-            _text(ym)
-        ),
+        "flow_month": F.when(_hit(k, FLOW_MISMATCH_EVERY), F.lit(MISMATCH_MONTH))
+        .when(_hit(k, FLOW_NULL_EVERY), F.lit(None).cast("string"))
+        .otherwise(_text(ym)),
         "care_year": F.when(_hit(k, CARE_ZERO_EVERY), F.lit("0000"))
         .when(_hit(k, CARE_ONE_EVERY), F.lit("0001"))
         .when(_hit(k, CARE_LATE_EVERY), care_year(late))

@@ -34,9 +34,10 @@ def read_dimension(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_complements(spark: SparkSession, path: str) -> DataFrame:
-    """Complements (code column; code; label; justification), by position; codes are
-    normalised on use."""
-    return _csv(spark, path, "code_column string, code string, libelle string, justification string")
+    """Complements (code column; code; label; justification), by position, with each row's place
+    ``pos``; codes are normalised on use, and of repeated ones the last row wins."""
+    schema = "code_column string, code string, libelle string, justification string"
+    return _csv(spark, path, schema).select("*", _position())
 
 
 def _position():
@@ -119,4 +120,5 @@ def fixture_complements(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("R"), F.col("r_regionkey").cast("string")).alias("code"),
         F.col("r_name").alias("libelle"),
         F.lit("regional grouping of nations").alias("justification"),
+        F.col("r_regionkey").alias("pos"),
     )

@@ -1,94 +1,119 @@
+"""Monthly files and the bronze job."""
+
+from __future__ import annotations
+
 import gzip
-from datetime import datetime, timezone
 
 import pytest
 
 from ledgerlake.contract import PARTITION_COLUMN
 from ledgerlake.plans.bronze import ingest_month, ingest_months
-from ledgerlake.sources.raw_csv import drop_unnamed_columns, name_pattern, read_raw_csv, year_month
+from ledgerlake.sources import monthly_files
 from ledgerlake.sources.tables import TableRef
+from tests.conftest import LOADED_AT
 
-HEADER = "FLX_ANN_MOI;PRS_NAT;PRS_PAI_MNT;"
-LOADED_AT = datetime(2026, 1, 15, tzinfo=timezone.utc)
+SCHEMA = "A string, B string, C string, _source_file string, _ingested_at timestamp, _year_month string"
 
 
-def _raw(tmp_path, ym, lines):
-    raw = tmp_path / "raw"
-    raw.mkdir(exist_ok=True)
-    with gzip.open(raw / f"A{ym}.csv.gz", "wt", encoding="utf-8") as f:
-        f.write(HEADER + "\n" + "".join(line + "\n" for line in lines))
-    return str(raw)
+def put(folder, name, *lines, zipped=True):
+    folder.mkdir(parents=True, exist_ok=True)
+    with (gzip.open if zipped else open)(folder / name, "wt", encoding="utf-8") as out:
+        out.writelines(line + "\n" for line in lines)
 
 
-def _table(tmp_path):
-    return TableRef(path=str(tmp_path / "bronze"), schema=None)
+@pytest.fixture
+def table(spark, tmp_path):
+    return TableRef(path=str(tmp_path / "bronze"), schema=spark.createDataFrame([], SCHEMA).schema)
 
 
-def _read(spark, table):
-    return spark.read.option("basePath", table.path).schema(
-        "FLX_ANN_MOI string, PRS_NAT string, PRS_PAI_MNT string, _source_file string, "
-        "_ingested_at timestamp, _year_month string"
-    ).parquet(table.path)
+def rows(spark, table):
+    return sorted(tuple(r) for r in table.read(spark).select("A", "B", "C", "_source_file", PARTITION_COLUMN).collect())
 
 
-def test_all_text_unnamed_dropped(spark, tmp_path):
-    raw = _raw(tmp_path, "202501", ["202501;0111;23.50;", "202501;;;"])
-    df = drop_unnamed_columns(read_raw_csv(spark, f"{raw}/A202501.csv.gz"))
-    assert df.columns == ["FLX_ANN_MOI", "PRS_NAT", "PRS_PAI_MNT"]
-    assert {f.dataType.simpleString() for f in df.schema} == {"string"}
-    rows = sorted(df.collect(), key=lambda r: r[0] or "")
-    assert ("202501", "0111", "23.50") in [tuple(r) for r in rows]
-    assert ("202501", None, None) in [tuple(r) for r in rows]
+def load(spark, folder, table, *months, **options):
+    return ingest_months(spark, str(folder), table, list(months), LOADED_AT, **options)
 
 
-def test_only_exact_unnamed_pattern_dropped(spark):
-    df = spark.createDataFrame([(1, 2, 3)], "_c3 int, _cible int, _c12x int")
-    assert drop_unnamed_columns(df).columns == ["_cible", "_c12x"]
+def test_text_is_kept_and_empty_is_null(spark, tmp_path, table):
+    put(tmp_path / "raw", "A202311.csv.gz", "A;B;C;", '007;;"x;y";', ";1,5; z ;")
+    assert load(spark, tmp_path / "raw", table, "202311") == {"202311": 2}
+    got = table.read(spark)
+    assert {tuple(r) for r in got.select("A", "B", "C").collect()} == {("007", None, "x;y"), (None, "1,5", " z ")}
+    stamp = got.selectExpr("_source_file", "CAST(_ingested_at AS string)", PARTITION_COLUMN).distinct().collect()
+    assert [tuple(r) for r in stamp] == [("A202311.csv.gz", "2026-03-09 12:30:00", "202311")]
 
 
-def test_technical_columns_and_idempotence(spark, tmp_path):
-    raw = _raw(tmp_path, "202501", ["202501;0111;23.50;", "202501;0112;1.00;"])
-    table = _table(tmp_path)
-    assert ingest_month(spark, raw, table, 2025, 1, LOADED_AT) == 2
-    assert ingest_month(spark, raw, table, 2025, 1, LOADED_AT) == 2
-    df = _read(spark, table)
-    assert df.count() == 2
-    row = df.selectExpr("_source_file", "cast(_ingested_at as string) t", PARTITION_COLUMN).first()
-    assert tuple(row) == ("A202501.csv.gz", "2026-01-15 00:00:00", "202501")
+def test_each_file_has_its_own_header(spark, tmp_path, table):
+    put(tmp_path, "A202301.csv.gz", "C;A;B;", "c;a;b;")
+    put(tmp_path, "A202302.csv.gz", "A;B;C;D;", "a;b;c;d;")
+    load(spark, tmp_path, table, "202301", "202302")
+    assert rows(spark, table) == [("a", "b", "c", f"A2023{m}.csv.gz", f"2023{m}") for m in ("01", "02")]
+    put(tmp_path, "A202303.csv.gz", "A;C;", "a;c;")
+    with pytest.raises(ValueError, match="A202303.csv.gz lacks the column.* B"):
+        load(spark, tmp_path, table, "202303", "202301")
+    assert len(rows(spark, table)) == 2
 
 
-def test_month_isolation_and_several_months(spark, tmp_path):
-    raw = _raw(tmp_path, "202501", ["202501;1;1;"] * 3)
-    _raw(tmp_path, "202502", ["202502;1;1;"] * 2)
-    table = _table(tmp_path)
-    assert ingest_months(spark, raw, table, ["202501", "202502"], LOADED_AT) == {
-        "202501": 3,
-        "202502": 2,
-    }
-    _raw(tmp_path, "202501", ["202501;1;1;"])
-    assert ingest_month(spark, raw, table, 2025, 1, LOADED_AT) == 1
-    counts = {r[0]: r[1] for r in _read(spark, table).groupBy(PARTITION_COLUMN).count().collect()}
-    assert counts == {"202501": 1, "202502": 2}
+def test_months_are_replaced_alone_and_taken_once(spark, tmp_path, table):
+    for month, n in (("202301", 3), ("202302", 2)):
+        put(tmp_path, f"A{month}.csv.gz", "A;B;C;", *(f"{k};x;y;" for k in range(n)))
+    assert load(spark, tmp_path, table, "202302", "202301", "202302") == {"202301": 3, "202302": 2}
+    put(tmp_path, "A202301.csv.gz", "A;B;C;", "only;x;y;")
+    assert ingest_month(spark, str(tmp_path), table, 2023, 1, ingested_at=LOADED_AT) == 1
+    assert [r[0] for r in rows(spark, table)] == ["0", "1", "only"]
+    put(tmp_path, "A202302.csv.gz", "A;B;C;")
+    assert load(spark, tmp_path, table, "202302") == {"202302": 0}
+    assert [r[0] for r in rows(spark, table)] == ["only"]
 
 
-def test_missing_files_reported_all_and_nothing_written(spark, tmp_path):
-    raw = _raw(tmp_path, "202501", ["202501;1;1;"])
-    table = _table(tmp_path)
-    with pytest.raises(FileNotFoundError, match="A202503.csv.gz, A202504.csv.gz"):
-        ingest_months(spark, raw, table, ["202501", "202503", "202504"], LOADED_AT)
+def test_exactly_the_named_files_count(spark, tmp_path, table):
+    raw = tmp_path / "A202301.csv.gz"  # a folder named like a file of it
+    put(raw, "A202302.csv.gz.part", "A;B;C;", "1;2;3;")
+    put(raw, "A202304.csv.gz")
+    put(raw, "A202305.csv.gz", "A;B;C;", "1;2;3;")
+    with pytest.raises(FileNotFoundError, match="2 month.*A202302.csv.gz, .*A202303.csv.gz$"):
+        load(spark, raw, table, "202303", "202305", "202302")
     assert not (tmp_path / "bronze").exists()
+    assert load(spark, raw, table, "202304", "202305") == {"202304": 0, "202305": 1}
+
+
+@pytest.mark.parametrize("template", ["A {year} é/{month:02d}.csv.gz", "100%{year}-{month:02d}+.csv", "{year}&{month}.csv.gz"])
+def test_odd_names(spark, tmp_path, table, template):
+    name = template.format(year=2023, month=7)
+    folder = (tmp_path / "in put" / name).parent
+    put(folder, name.split("/")[-1], "A;B;C;", "1;2;3;", zipped=name.endswith("gz"))
+    assert load(spark, tmp_path / "in put", table, "202307", template=template) == {"202307": 1}
+    assert rows(spark, table) == [("1", "2", "3", name, "202307")]
+
+
+@pytest.mark.parametrize("month", ["202313", "2023", "20230", "202300", "2023-1", ""])
+def test_months_are_checked_at_every_entry(spark, tmp_path, table, month):
+    with pytest.raises(ValueError, match="not a month"):
+        load(spark, tmp_path, table, "202301", month)
 
 
-def test_bad_month():
-    with pytest.raises(ValueError, match="13"):
-        year_month(2025, 13)
+def test_lines_of_one_file_are_parsed_by_several_tasks(spark, tmp_path, table):
+    put(tmp_path, "A202301.csv.gz", "A;B;C;", *(f"{k};{k % 5};x;" for k in range(4000)))
+    read = monthly_files.read_months(spark, str(tmp_path), ["202301"], LOADED_AT, columns=["A", "B", "C"], spread=4)
+    assert len({r[0] for r in read.selectExpr("spark_partition_id()").distinct().collect()}) == 4
+    assert load(spark, tmp_path, table, "202301", spread=4) == {"202301": 4000}
+    assert len(list((tmp_path / "bronze" / "_year_month=202301").glob("part-*.parquet"))) == 4
+    assert load(spark, tmp_path, table, "202301", spread=0) == {"202301": 4000}
+    assert len(list((tmp_path / "bronze" / "_year_month=202301").glob("part-*.parquet"))) == 1
 
 
-def test_name_pattern():
-    assert name_pattern("A{year}{month:02d}.csv.gz") == r"A([0-9]{4})([0-9]{2})\.csv\.gz"
+def executed_plans(spark):
+    store = spark._jsparkSession.sharedState().statusStore()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(10_000)
+    found = store.executionsList()
+    return [found.apply(i).physicalPlanDescription() for i in range(found.size())]
 
 
-def test_spread_gives_same_rows(spark, tmp_path):
-    raw = _raw(tmp_path, "202501", [f"202501;{i};1;" for i in range(50)])
-    table = _table(tmp_path)
-    assert ingest_months(spark, raw, table, ["202501"], LOADED_AT, spread=4) == {"202501": 50}
+def test_writes_need_no_sort(spark, tmp_path, table):
+    for month in ("202301", "202302"):
+        put(tmp_path, f"A{month}.csv.gz", "A;B;C;", "1;2;3;")
+    before = len(executed_plans(spark))
+    load(spark, tmp_path, table, "202301")
+    load(spark, tmp_path, table, "202301", "202302")
+    plans = [p for p in executed_plans(spark)[before:] if "InsertIntoHadoopFsRelation" in p]
+    assert len(plans) == 2 and not any("Sort " in p or "\nSort" in p for p in plans)

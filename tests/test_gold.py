@@ -90,12 +90,12 @@ def test_checks_detect_problems(spark):
     assert quality.unique_grain(dup, ["code_column", "code"]).count() == 1
 
 
-def test_build_gold_end_to_end(spark, make_bronze, tmp_path):
+def test_build_gold_end_to_end(spark, loaded, tmp_path):
     house = Lakehouse(str(tmp_path / "lake"), CLAIMS)
     from ledgerlake.operators.silver import valid_rows, with_reasons
 
-    bronze = make_bronze({}, {"PRS_NAT": "9999"})
-    overwrite_month(valid_rows(with_reasons(bronze, CLAIMS), CLAIMS), house.silver, "202501")
+    bronze = loaded({"PRS_NAT": "1110"}, {"PRS_NAT": "9999"})
+    overwrite_month(valid_rows(with_reasons(bronze, CLAIMS), CLAIMS), house.silver, "202503")
     overwrite_table(_labels(spark), house.labels)
     results = build_gold(
         spark, house.silver, house.labels, house.gold("s"), house.gold("r"), CLAIMS
@@ -106,26 +106,25 @@ def test_build_gold_end_to_end(spark, make_bronze, tmp_path):
     assert house.gold("s").read(spark).count() == 2
 
 
-def test_build_gold_fails_on_error(spark, make_bronze, tmp_path):
+def test_build_gold_fails_on_error(spark, loaded, tmp_path):
     house = Lakehouse(str(tmp_path / "lake"), CLAIMS)
     from ledgerlake.operators.silver import valid_rows, with_reasons
 
-    bronze = make_bronze({"PRS_PAI_MNT": None})
-    overwrite_month(valid_rows(with_reasons(bronze, CLAIMS), CLAIMS), house.silver, "202501")
+    bronze = loaded({"PRS_PAI_MNT": ""})
+    overwrite_month(valid_rows(with_reasons(bronze, CLAIMS), CLAIMS), house.silver, "202503")
     overwrite_table(_labels(spark), house.labels)
     with pytest.raises(DataTestError, match="not_null_staging"):
         build_gold(spark, house.silver, house.labels, house.gold("s"), house.gold("r"), CLAIMS)
 
 
-def test_incremental_gold_rebuilds_only_given_months(spark, make_bronze, tmp_path):
+def test_incremental_gold_rebuilds_only_given_months(spark, loaded, tmp_path):
     from ledgerlake.operators.silver import valid_rows, with_reasons
 
     house = Lakehouse(str(tmp_path / "lake"), CLAIMS)
-    feb = ("A202502.csv.gz", None, "202502")
-    jan_rows = make_bronze({}, {})
-    feb_rows = make_bronze({"FLX_ANN_MOI": "202502"}, technical=feb)
-    overwrite_month(valid_rows(with_reasons(jan_rows, CLAIMS), CLAIMS), house.silver, "202501")
-    overwrite_month(valid_rows(with_reasons(feb_rows, CLAIMS), CLAIMS), house.silver, "202502")
+    jan_rows = loaded({}, {})
+    feb_rows = loaded({"FLX_ANN_MOI": "202504"}, month="202504")
+    overwrite_month(valid_rows(with_reasons(jan_rows, CLAIMS), CLAIMS), house.silver, "202503")
+    overwrite_month(valid_rows(with_reasons(feb_rows, CLAIMS), CLAIMS), house.silver, "202504")
     overwrite_table(_labels(spark), house.labels)
     args = (spark, house.silver, house.labels, house.gold("s"), house.gold("r"), CLAIMS)
     build_gold(*args)
@@ -133,9 +132,60 @@ def test_incremental_gold_rebuilds_only_given_months(spark, make_bronze, tmp_pat
     def lines(table):
         return {r["_year_month"]: r["nombre_lignes"] for r in table.read(spark).collect()}
 
-    assert lines(house.gold("s")) == {"202501": 2, "202502": 1}
-    feb_more = make_bronze({"FLX_ANN_MOI": "202502"}, {"FLX_ANN_MOI": "202502"}, technical=feb)
-    overwrite_month(valid_rows(with_reasons(feb_more, CLAIMS), CLAIMS), house.silver, "202502")
-    results = build_gold(*args, months=["202502"])
-    assert lines(house.gold("s")) == {"202501": 2, "202502": 2}
+    assert lines(house.gold("s")) == {"202503": 2, "202504": 1}
+    feb_more = loaded({"FLX_ANN_MOI": "202504"}, {"FLX_ANN_MOI": "202504"}, month="202504")
+    overwrite_month(valid_rows(with_reasons(feb_more, CLAIMS), CLAIMS), house.silver, "202504")
+    results = build_gold(*args, months=["202504"])
+    assert lines(house.gold("s")) == {"202503": 2, "202504": 2}
     assert {r.name: r.rows for r in results}["unique_service"] == 0
+
+
+def test_rows_without_a_month_are_one_group_in_any_build(spark, loaded, tmp_path):
+    from ledgerlake.operators.silver import valid_rows, with_reasons
+
+    house = Lakehouse(str(tmp_path / "lake"), CLAIMS)
+    for month in ("202503", "202504", "202505"):
+        frame = loaded({"FLX_ANN_MOI": month}, {"FLX_ANN_MOI": ""}, {"FLX_ANN_MOI": ""}, month=month)
+        overwrite_month(valid_rows(with_reasons(frame, CLAIMS), CLAIMS), house.silver, month)
+    overwrite_table(_labels(spark), house.labels)
+    args = (spark, house.silver, house.labels, house.gold("s"), house.gold("r"), CLAIMS)
+
+    def stored():
+        return {n: sorted(map(str, house.gold(n).read(spark).collect())) for n in ("s", "r")}
+
+    first = {r.name: r.rows for r in build_gold(*args, fail_on_error=False)}
+    full = stored()
+    assert first["unique_service"] == first["unique_region"] == 0
+    unknown = house.gold("s").read(spark).where("mois_traitement IS NULL").collect()
+    assert [(r["nombre_lignes"], r["_year_month"]) for r in unknown] == [(6, gold.UNKNOWN_MONTH)]
+    build_gold(*args, fail_on_error=False, months=["202504"])
+    assert stored() == full
+    fewer = loaded({"FLX_ANN_MOI": "202504"}, month="202504")
+    overwrite_month(valid_rows(with_reasons(fewer, CLAIMS), CLAIMS), house.silver, "202504")
+    build_gold(*args, fail_on_error=False, months=["202504"])
+    part = stored()
+    build_gold(*args, fail_on_error=False)
+    assert stored() == part != full
+
+
+def test_labels_join_without_a_hint(spark):
+    plan = gold.spend_by_service(_silver(spark), _labels(spark), CLAIMS)._jdf.queryExecution().toString()
+    assert "hint" not in plan.lower()
+
+
+def test_both_marts_come_from_one_pass(spark):
+    each = gold.monthly_spend_by_each(_silver(spark), CLAIMS)
+    for key in (CLAIMS.service, CLAIMS.region):
+        got = each.where(f"axis = '{key}'").select("mois_traitement", key, gold.ROWS, CLAIMS.amount)
+        want = gold.monthly_spend(_silver(spark), CLAIMS, key).select(got.columns)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_parity_reads_each_side_once(spark):
+    left = spark.createDataFrame([(1, None), (1, None), (2, "b"), (3, "c")], "x int, y string")
+    right = spark.createDataFrame([(1, None), (2, "b"), (2, "b"), (4, "d")], "x int, y string")
+    parity = quality.table_parity(left, right)
+    plan = parity._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    assert plan.count("Exchange") == 1 and plan.count("Scan ExistingRDD") == 2
+    got = sorted(map(tuple, parity.collect()), key=str)
+    assert got == [(1, None, "left_only"), (2, "b", "right_only"), (3, "c", "left_only"), (4, "d", "right_only")]

@@ -33,6 +33,23 @@ def test_dynamic_months_empty_requested_month_is_cleared(spark, tmp_path):
     assert _counts(table.read(spark)) == {"202502": 1}
 
 
+def test_rows_of_other_months_fail_before_anything_is_written(spark, tmp_path):
+    import pytest
+
+    table = TableRef(path=str(tmp_path / "t"), schema=_rows(spark, []).schema)
+    overwrite_months(_rows(spark, [("a", "202501")]), table, ["202501"])
+    for stray in ("202509", None):
+        with pytest.raises(Exception, match=f"not written: {stray or 'none'}"):
+            overwrite_months(_rows(spark, [("b", "202501"), ("c", stray)]), table, ["202501", "202502"])
+    assert [tuple(r) for r in table.read(spark).collect()] == [("a", "202501")]
+
+
+def test_rows_are_counted_by_month_while_written(spark, tmp_path):
+    table = TableRef(path=str(tmp_path / "t"), schema=_rows(spark, []).schema)
+    result = overwrite_months(_rows(spark, [("a", "202501")] * 3 + [("b", "202503")]), table, ["202503", "202501", "202502"])
+    assert result.by_month == {"202501": 3, "202502": 0, "202503": 1} and result.rows == 4
+
+
 def test_catalog_table_month_replace(spark):
     table = TableRef(name="ledgerlake_sink_test")
     spark.sql("DROP TABLE IF EXISTS ledgerlake_sink_test")
