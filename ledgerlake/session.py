@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -37,7 +38,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not configured:
         configured = spark.sparkContext.getCheckpointDir()
     if not configured:
-        if not spark.sparkContext.master.startswith("local["):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="ledgerlake-")
         spark.sparkContext.setCheckpointDir(configured)
