@@ -27,14 +27,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import pieces, ragged, split_lists, worker_cache
+from ledgerlake.llm.common import map_batches, pieces, ragged, split_lists, worker_cache
 
 # --- Fixed value: the pre-token pattern of the public byte-level vocabulary ------------------
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 # --- end of fixed value ----------------------------------------------------------------------
 SPACES = r"\s\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
-PIECE_BYTES = 16 << 20  # text encoded at a time
-CACHE_UNITS = 600_000  # cuts whose ids a worker remembers; forgotten all at once beyond
+PIECE_BYTES = 8 << 20  # text encoded at a time
+CACHE_UNITS = 300_000  # cuts whose ids a worker remembers; forgotten all at once beyond
+DECODED_IDS = 1 << 20  # ids turned into bytes at a time
 MARK = "\x1f"  # put before cuts; a text that has one itself goes the longer way
 
 
@@ -232,7 +233,10 @@ def decode_ids(ids: np.ndarray, lens: np.ndarray, path: str) -> list[bytes]:
     """Decoded text, in UTF-8, of each run of ids."""
     merges = _merges(path)
     sizes = merges.lens[ids]
-    raw = ragged(merges.bytes, merges.starts[ids], sizes).tobytes()
+    raw = b"".join(
+        ragged(merges.bytes, merges.starts[ids[k : k + DECODED_IDS]], sizes[k : k + DECODED_IDS]).tobytes()
+        for k in range(0, len(ids), DECODED_IDS)
+    )
     ends = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(lens)])].tolist()
     out = []
     for a, b in zip(ends, ends[1:]):
@@ -283,4 +287,4 @@ def bpe_roundtrip(
 
     kept = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     kind = kept.schema["doc_id"].dataType.simpleString()
-    return kept.mapInArrow(run, f"doc_id {kind}, " + ", ".join(f"{o} {kinds[o][0]}" for o in outputs))
+    return kept.transform(map_batches, run, f"doc_id {kind}, " + ", ".join(f"{o} {kinds[o][0]}" for o in outputs))

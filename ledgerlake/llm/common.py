@@ -36,6 +36,18 @@ def free_prefix(columns: Iterable[str], start: str = "_") -> str:
     return start
 
 
+BATCH_BYTES = "16m"  # of the Arrow batches that go to Python and of the copies made of them
+
+
+def map_batches(df: DataFrame, run, schema) -> DataFrame:
+    """``mapInArrow`` on batches of bounded bytes: rows may hold very long texts. The session's own
+    setting stands where there is one."""
+    conf = df.sparkSession.conf
+    if conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
+        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return df.mapInArrow(run, schema)
+
+
 def worker_cache(name: str) -> dict:
     """A dict that lives as long as the Python worker process (tasks share it)."""
     import sys
@@ -61,6 +73,18 @@ def pieces(
             stop = max(start + 1, int(np.searchsorted(end, before + max_bytes, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+    release()
+
+
+def release() -> None:
+    """Give memory that a finished task no longer needs back to the system: its worker process goes
+    on with the next task, beside a JVM that may need it."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim is not None:
+        trim(0)
 
 
 def ragged(values: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
@@ -68,8 +92,10 @@ def ragged(values: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.ndarr
     total = int(lens.sum())
     if not total:
         return values[:0]
-    before = np.cumsum(lens) - lens
-    return values[np.repeat(starts - before, lens) + np.arange(total)]
+    kind = np.int32 if max(total, len(values)) < 1 << 31 else np.int64
+    at = np.repeat((starts - (np.cumsum(lens) - lens)).astype(kind), lens)
+    at += np.arange(total, dtype=kind)
+    return values[at]
 
 
 def split_lists(lists: pa.Array) -> tuple[pa.Array, np.ndarray]:

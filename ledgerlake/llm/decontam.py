@@ -35,7 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import pieces, split_lists
+from ledgerlake.llm.common import map_batches, pieces, split_lists
 
 SIMILARITY = 0.8
 LEAST_WORDS = 5
@@ -44,7 +44,7 @@ BITS = 3
 RECALL = 0.97
 MOST_REPEATS = 64
 BLOCK_WORDS = 1_000_000
-PIECE_BYTES = 8 << 20
+PIECE_BYTES = 4 << 20
 
 _WORD_BYTES = np.array(
     [b | 0x20 if 0x41 <= b <= 0x5A else b if chr(b).isalnum() or b >= 0x80 else 0x20 for b in range(256)],
@@ -290,7 +290,7 @@ def find_leaks(
                     }
                 )
 
-        hits = kept.mapInArrow(run, schema)
+        hits = kept.transform(map_batches, run, schema)
         found = hits if found is None else found.union(hits)
     return found
 
@@ -316,5 +316,5 @@ def drop_contaminated(
                 clean[[hit[0] for hit in index.search(piece.column(text))]] = False
                 yield piece.filter(pa.array(clean))
 
-        kept = kept.mapInArrow(run, kept.schema)
+        kept = kept.transform(map_batches, run, kept.schema)
     return kept.toDF(*names)

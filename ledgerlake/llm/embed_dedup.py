@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import materialize
+from ledgerlake.llm.common import map_batches, materialize
 from ledgerlake.llm.components import connected_components
 
 # --- Fixed value of the contract -------------------------------------------------------------
@@ -222,10 +222,10 @@ def link_vectors(
         "vector-nodes",
     )
     plan = Plan(nodes.count(), cosine, recall)
-    dealt = nodes.select("node", "weight", "v").mapInArrow(
+    dealt = nodes.select("node", "weight", "v").transform(map_batches,
         _dealer(plan), "cell string, node bigint, weight bigint, v array<double>"
     )
-    named = nodes.select("node", "weight", "v").mapInArrow(
+    named = nodes.select("node", "weight", "v").transform(map_batches,
         _dealer(plan), "cell string, node bigint, weight bigint, v array<double>"
     ).select("cell")
     sizes = materialize(
@@ -245,7 +245,7 @@ def link_vectors(
     found = materialize(
         pairs.repartition("cell", "a", "b")
         .sortWithinPartitions("cell", "a", "b")
-        .mapInArrow(_counter(plan), "node bigint, links bigint, root bigint")
+        .transform(map_batches, _counter(plan), "node bigint, links bigint, root bigint")
         .groupBy("node", "root")
         .agg(F.sum("links").alias("links")),
         "vector-links",

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructType
 
-from ledgerlake.llm.common import column, materialize, pieces
+from ledgerlake.llm.common import column, map_batches, materialize, pieces
 
 UND = "und"
 SAMPLE = 4000
@@ -47,14 +47,14 @@ TEMPER = 1 / 3
 KAPPA = 20.0
 UND_PRIOR = 1e-3
 LEAST = 0.5
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 2 << 20
 RESULTS = ("lang_id", "lang_posterior", "lang_ok")
 
 _LETTERS = np.array(
     [b | 0x20 if 0x41 <= b <= 0x5A else b if 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256)],
     np.uint8,
 )
-_SPACES = np.int64(0x202020)
+_SPACES = np.uint32(0x202020)
 
 
 def trigrams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -68,14 +68,14 @@ def trigrams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     row = np.repeat(np.arange(len(sizes)), sizes)
     padded = np.full(len(raw) + 2 * len(sizes), 0x20, np.uint8)
     padded[np.arange(len(raw)) + 2 * row + 1] = _LETTERS[raw]
-    wide = padded.astype(np.int64)
+    wide = padded.astype(np.uint32)
     gram = wide[:-2] << 16 | wide[1:-1] << 8 | wide[2:]
     starts = np.cumsum(sizes + 2) - (sizes + 2)
     per_row = np.repeat(np.arange(len(sizes)), sizes)  # a text of n bytes has n windows
     gram = gram[per_row * 2 + np.arange(len(per_row))] if len(per_row) else gram[:0]
     real = gram != _SPACES
     counts = np.bincount(per_row[real], minlength=len(starts))
-    return (gram[real] * 0x9E3779B1 & 0xFFFFFFFF) >> 16, counts
+    return (gram[real] * np.uint32(0x9E3779B1) >> np.uint32(16)).astype(np.int64), counts
 
 
 def primary_tag(declared: Column) -> Column:
@@ -111,7 +111,7 @@ def fit_text_model(
 
     counts = np.zeros((len(langs), GRAMS))
     if langs:
-        counted = chosen.mapInArrow(run, "lang bigint, gram bigint, n bigint")
+        counted = chosen.transform(map_batches, run, "lang bigint, gram bigint, n bigint")
         summed = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
         got = summed.toPandas()  # at most MOST_LANGS x GRAMS rows, whatever the input
         counts[got["lang"].to_numpy(int), got["gram"].to_numpy(int)] = got["n"].to_numpy(float)
@@ -203,7 +203,7 @@ def identify_language(
         text.cast("string").alias("text"),
     )
     schema = StructType([f for f in seen.schema if f.name != "text"]).add(ll, ArrayType(DoubleType()))
-    scored = materialize(seen.mapInArrow(_scorer(model, "text", ll), schema), "text-evidence")
+    scored = materialize(seen.transform(map_batches, _scorer(model, "text", ll), schema), "text-evidence")
     known = F.when(F.col(said_as) == "", F.lit(None)).otherwise(
         F.when(F.col(said_as).isin(langs), F.col(said_as)).otherwise("other")
     )

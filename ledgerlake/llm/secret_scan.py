@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import materialize, pieces
+from ledgerlake.llm.common import map_batches, materialize, pieces
 
 # --- Fixed values: kinds in order, their patterns and least lengths --------------------------
 KINDS = ("assign", "access", "hex")
@@ -292,10 +292,10 @@ def scan_secrets(
     kept = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     kind = kept.schema["doc_id"].dataType.simpleString()
     scanned = materialize(
-        kept.mapInArrow(_scan, f"doc_id {kind}, base {_SPAN}, runs {_SPAN}"), "secret-candidates"
+        kept.transform(map_batches, _scan, f"doc_id {kind}, base {_SPAN}, runs {_SPAN}"), "secret-candidates"
     )
     tables, pairs = infer_formats(scanned, sample)
-    return scanned.mapInArrow(
+    return scanned.transform(map_batches,
         _judge(tables, pairs),
         f"doc_id {kind}, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string",
     )

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import ascii_words, column, free_prefix, materialize, pieces
+from ledgerlake.llm.common import ascii_words, column, free_prefix, map_batches, materialize, pieces
 from ledgerlake.llm.components import connected_components
 
 # --- Fixed values of the contract ------------------------------------------------------------
@@ -39,7 +39,7 @@ SEED = 42
 # --- end of fixed values ---------------------------------------------------------------------
 BITS = 64
 MOST = 1024  # fingerprints compared in one bucket; larger ones are covered again
-PIECE_BYTES = 6 << 20
+PIECE_BYTES = 2 << 20
 
 
 def fingerprints(texts: pa.Array, shingle: int = SHINGLE) -> np.ndarray:
@@ -200,13 +200,13 @@ def near_links(nodes: DataFrame, radius: int = RADIUS, most: int = MOST) -> Data
         links = (
             cold.repartition("path", "key")
             .sortWithinPartitions("path", "key")
-            .mapInArrow(_linker(radius), "a bigint, b bigint")
+            .transform(map_batches, _linker(radius), "a bigint, b bigint")
         )
         found = links if found is None else found.union(links)
         if not crowded:
             return found
         rows = materialize(
-            rows.join(hot, ["path", "key"], "left_semi").mapInArrow(
+            rows.join(hot, ["path", "key"], "left_semi").transform(map_batches,
                 _deeper(radius), "path string, key bigint, fp bigint"
             ),
             "deeper-buckets",
@@ -225,7 +225,7 @@ def with_fingerprint(
 
     return docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")
-    ).mapInArrow(run, "doc_id bigint, fp bigint")
+    ).transform(map_batches, run, "doc_id bigint, fp bigint")
 
 
 def simhash_components(

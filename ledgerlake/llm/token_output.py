@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import materialize, pieces, ragged, split_lists, worker_cache
+from ledgerlake.llm.common import map_batches, materialize, pieces, ragged, split_lists, worker_cache
 
 # --- Fixed values: Simple-8b packings (ids in a word, bits of an id), by selector ------------
 PACKINGS = (
@@ -42,8 +42,8 @@ PACKINGS = (
 # --- end of fixed values ---------------------------------------------------------------------
 BLOCK = 4096  # ids in a block
 CHUNK_IDS = 1 << 19  # ids of a chunk, unless one document has more
-PIECE_BYTES = 16 << 20  # text encoded at a time
-CACHE_WORDS = 800_000  # words whose ids a worker remembers; forgotten all at once beyond
+PIECE_BYTES = 8 << 20  # text encoded at a time
+CACHE_WORDS = 600_000  # words whose ids a worker remembers; forgotten all at once beyond
 
 FILE_SCHEMA = (
     "shard int, chunk int, doc_ids array<bigint>, doc_lens array<bigint>, words binary, "
@@ -255,7 +255,7 @@ def write_tokens(
         .repartitionByRange(F.col("doc_id").asc_nulls_first())
         .sortWithinPartitions(F.col("doc_id").asc_nulls_first())
     )
-    return materialize(ordered.mapInArrow(_encoder(tokenizer, end_id), FILE_SCHEMA), "token-files")
+    return materialize(ordered.transform(map_batches, _encoder(tokenizer, end_id), FILE_SCHEMA), "token-files")
 
 
 def _reader(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -297,7 +297,7 @@ def token_digest(files: DataFrame) -> DataFrame:
         ),
         "token-offsets",
     )
-    docs = files.select("shard", "chunk", "doc_ids", "doc_lens", "words").mapInArrow(
+    docs = files.select("shard", "chunk", "doc_ids", "doc_lens", "words").transform(map_batches,
         _reader,
         "shard int, doc_id bigint, in_chunk bigint, chunk int, n_tokens bigint, ids_crc32 bigint",
     )
