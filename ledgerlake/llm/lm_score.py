@@ -2,8 +2,9 @@
 
 Tokens are a text's words and one end. The model is an interpolated bigram with absolute discount
 over the smoothed unigram ``(c + ADD) / (N + ADD * (V + 1))``. As an automaton it has a root and a
-state for each *history* (a word seen ``HISTORY`` times or more in training): the state has an arc
-for each kept pair (``PAIR`` times or more) and a failure arc to the root, weighted by the mass
+state for each *history* (a word that makes up ``HISTORY_SHARE`` or more of all training tokens, so
+that the pairs to count grow in proportion to the text): the state has an arc for each kept pair of
+histories (seen ``PAIR`` times or more) and a failure arc to the root, weighted by the mass
 that its arcs leave. A text is read left to right, carrying the state and adding up log10 weights;
 the state after a word depends on that word alone, so all positions of a block step at once.
 
@@ -24,6 +25,7 @@ ignored.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -34,19 +36,19 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import ascii_words, materialize, pieces
+from ledgerlake.llm.common import ascii_words, map_batches, materialize, pieces, release
 
 # --- Fixed values of the contract ------------------------------------------------------------
 FOLDS = 10
 ADD = 0.1
 # --- end of fixed values ---------------------------------------------------------------------
-HISTORY = 2000
+HISTORY_SHARE = 1 / 50_000
 PAIR = 3
 DISCOUNT = 0.75
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 16 << 20
 END = " "  # no word has a space
 
-_BLOCK = "block bigint, doc_ids array<bigint>, sizes array<bigint>, words array<string>, counts array<bigint>, tokens binary"
+_BLOCK = "block bigint, trained bigint, docs binary, words array<string>, counts array<bigint>, tokens binary"
 
 
 def _packed(codes: np.ndarray) -> bytes:
@@ -61,6 +63,17 @@ def _unpacked(packed: bytes, n: int) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4")[:, 0].astype(np.int64)
 
 
+def _listed(docs: list, sizes: np.ndarray) -> bytes:
+    """Ids, whether they are there, and sizes of a block's documents."""
+    there = [d is not None for d in docs]
+    return np.array([[d or 0 for d in docs], there, sizes], "<i8").tobytes()
+
+
+def _documents(listed: bytes) -> tuple[list, np.ndarray]:
+    ids, there, sizes = np.frombuffer(listed, "<i8").reshape(3, -1)
+    return [d if t else None for d, t in zip(ids.tolist(), there.tolist())], sizes.astype(np.int64)
+
+
 def _held(doc_ids: list) -> np.ndarray:
     return np.array([zlib.crc32(b"" if d is None else str(d).encode()) % FOLDS == 0 for d in doc_ids], bool)
 
@@ -80,8 +93,8 @@ def _tokenize(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict(
             {
                 "block": pa.array([part << 32 | number], pa.int64()),
-                "doc_ids": pa.array([docs], pa.list_(pa.int64())),
-                "sizes": pa.array([sizes], pa.list_(pa.int64())),
+                "trained": pa.array([int(training.sum())], pa.int64()),
+                "docs": pa.array([_listed(docs, sizes)], pa.binary()),
                 "words": pa.array([words], pa.list_(pa.string())),
                 "counts": pa.array([np.bincount(codes[training], minlength=len(words))], pa.list_(pa.int64())),
                 "tokens": pa.array([_packed(codes)], pa.binary()),
@@ -90,15 +103,16 @@ def _tokenize(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number += 1
 
 
-# A block's stream: its own row first (kind 0), then its words (1), histories (2) and pairs (3).
-_STREAM = ("block", "kind", "at", "x", "y", "doc_ids", "sizes", "tokens")
+# A block's stream: its own row first (kind 0), then its words (1), histories (2) and pairs (3). It has
+# no array columns: their size is counted anew with every row that goes to Python.
+_STREAM = ("block", "kind", "at", "x", "y", "docs", "tokens")
 
 
 def _stream(blocks: DataFrame, *parts: DataFrame) -> DataFrame:
     """Rows of every block together, in order; ``parts``: (block, kind, at, x, y)."""
     rows = blocks.select(
         "block", F.lit(0).alias("kind"), F.lit(0).alias("at"), F.lit(0).cast("bigint").alias("x"),
-        F.lit(0).cast("bigint").alias("y"), "doc_ids", "sizes", "tokens",
+        F.lit(0).cast("bigint").alias("y"), "docs", "tokens",
     )
     for part in parts:
         rows = rows.unionByName(part, allowMissingColumns=True)
@@ -114,8 +128,9 @@ def _gathered(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, list, np
             k: tuple(np.concatenate(c) for c in zip(*v)) for k, v in parts.items()
         }
         empty = (np.zeros(0, np.int64),) * 3
-        sizes = np.array(held[1], np.int64)
-        return block, held[0], sizes, _unpacked(held[2], int(sizes.sum())), {k: joined.get(k, empty) for k in (1, 2, 3)}
+        docs, sizes = _documents(held[0])
+        codes = _unpacked(held[1], int(sizes.sum()))
+        return block, docs, sizes, codes, {k: joined.get(k, empty) for k in (1, 2, 3)}
 
     for batch in batches:
         if not batch.num_rows:
@@ -128,7 +143,7 @@ def _gathered(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, list, np
                 if held is not None:
                     yield done()
                 row = batch.slice(a, 1).to_pylist()[0]
-                block, held, parts = row["block"], (row["doc_ids"], row["sizes"], row["tokens"]), {}
+                block, held, parts = row["block"], (row["docs"], row["tokens"]), {}
             else:
                 parts.setdefault(int(kinds[a]), []).append(
                     tuple(
@@ -138,6 +153,7 @@ def _gathered(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, list, np
                 )
     if held is not None:
         yield done()
+    release()
 
 
 def _pairs_of(codes: np.ndarray, sizes: np.ndarray, history: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -232,11 +248,17 @@ def _score(total: int, distinct: int):
 
 
 def score_texts(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", history: int = HISTORY, pair: int = PAIR
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    history_share: float = HISTORY_SHARE,
+    pair: int = PAIR,
 ) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every document."""
     kept = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    blocks = materialize(kept.mapInArrow(_tokenize, _BLOCK), "lm-blocks")
+    blocks = materialize(kept.transform(map_batches, _tokenize, _BLOCK), "lm-blocks")
+    total = blocks.agg(F.sum("trained").alias("n")).first()["n"] or 0
+    history = max(1, math.ceil(history_share * total))
 
     # counts of words over all blocks; a word has one row for each block at most
     rows = blocks.select("block", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "w")).select(
@@ -252,11 +274,10 @@ def score_texts(
         ),
         "lm-words",
     )
-    sums = words.where("first").agg(F.sum("x").alias("n"), F.count(F.when(F.col("x") > 0, 1)).alias("v")).first()
-    total, distinct = sums["n"] or 0, sums["v"] or 0
+    distinct = words.where("first and x > 0").count()
 
     # counts of pairs of histories; likewise one row for each block at most
-    pairs = _stream(blocks, words.drop("first")).mapInArrow(
+    pairs = _stream(blocks, words.drop("first")).transform(map_batches,
         _count_pairs, "block bigint, at int, a bigint, b bigint, n bigint"
     )
     over = Window.partitionBy("a", "b")
@@ -273,7 +294,7 @@ def score_texts(
     )
     return _stream(
         blocks, words.drop("first"), histories, kept_pairs.select("block", "kind", "at", "x")
-    ).mapInArrow(
+    ).transform(map_batches,
         _score(total, distinct),
         "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
         "base_score double, score double",

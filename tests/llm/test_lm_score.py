@@ -63,8 +63,9 @@ def test_scores(spark, monkeypatch, block):
     rows = [(i, " ".join(rng.choices(vocab, weights=[30] * 6 + [1] * 60, k=rng.randint(0, 40)))) for i in range(150)]
     rows += [(None, "the of"), (3, None), (3, None), (900, " \n\t"), (901, "never seen of the"), (902, "a " * 3000)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("*", "1 AS block", "2 AS x").repartition(3)
-    got = sorted(map(tuple, op.score_texts(docs, history=15, pair=2).collect()), key=key)
-    want = sorted(plain_scores(rows, 15, 2), key=key)
+    got = sorted(map(tuple, op.score_texts(docs, history_share=0.005, pair=2).collect()), key=key)
+    trained = sum(len(tokens(t)) for d, t in rows if not held(d))
+    want = sorted(plain_scores(rows, math.ceil(0.005 * trained), 2), key=key)
     for g, w in zip(got, want, strict=True):
         assert g[:5] == w[:5]
         assert g[5:] == pytest.approx(w[5:])
