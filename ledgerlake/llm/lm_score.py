@@ -2,10 +2,10 @@
 
 Tokens are a text's words and one end. The model is an interpolated bigram with absolute discount
 over the smoothed unigram ``(c + ADD) / (N + ADD * (V + 1))``. As an automaton it has a root and a
-state for each *history* (a word that makes up ``HISTORY_SHARE`` or more of all training tokens, so
-that the pairs to count grow in proportion to the text): the state has an arc for each kept pair of
-histories (seen ``PAIR`` times or more) and a failure arc to the root, weighted by the mass
-that its arcs leave. A text is read left to right, carrying the state and adding up log10 weights;
+state for each *history* (every word of the training documents): the state has an arc for each pair
+of histories seen in training, however rare, and a failure arc to the root, weighted by the mass
+that its arcs leave. Callers may prune: ``history_share`` of all training tokens that a history
+makes up at least, ``pair`` times that a kept pair is seen at least. A text is read left to right, carrying the state and adding up log10 weights;
 the state after a word depends on that word alone, so all positions of a block step at once.
 
 The model is never gathered in one place. Documents are cut into blocks of bounded text; a block
@@ -42,8 +42,7 @@ from ledgerlake.llm.common import ascii_words, map_batches, materialize, pieces,
 FOLDS = 10
 ADD = 0.1
 # --- end of fixed values ---------------------------------------------------------------------
-HISTORY_SHARE = 1 / 50_000
-PAIR = 3
+PAIR = 1  # all pairs of the training documents
 DISCOUNT = 0.75
 BLOCK_BYTES = 16 << 20
 END = " "  # no word has a space
@@ -251,7 +250,7 @@ def score_texts(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    history_share: float = HISTORY_SHARE,
+    history_share: float = 0.0,
     pair: int = PAIR,
 ) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every document."""

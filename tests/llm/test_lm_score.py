@@ -71,6 +71,17 @@ def test_scores(spark, monkeypatch, block):
         assert g[5:] == pytest.approx(w[5:])
 
 
+def test_rare_pairs_count_at_any_size(spark):
+    rng = random.Random(8)
+    rows = [(i, " ".join(rng.choices(["the", "of", "a", "to"], k=900) + [f"r{i % 150}", f"s{i % 150}", f"t{i}"])) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = sorted(map(tuple, op.score_texts(docs).collect()), key=key)
+    assert got[0][4] > 200_000  # a share of the tokens would leave out words seen once or twice
+    for g, w in zip(got, sorted(plain_scores(rows, 1, 1), key=key), strict=True):
+        assert g[:5] == w[:5]
+        assert g[5:] == pytest.approx(w[5:])
+
+
 def test_weights_of_a_state_add_up():
     counts = np.array([50, 30, 15, 5])
     arcs = np.array([0 << 32 | 1, 0 << 32 | 2])  # from word 0 to words 1 and 2
