@@ -5,7 +5,8 @@ group stays), benchmark decontamination (documents with a leaked item go), BPE e
 decoding (digests of every document that is left).
 
 Extra columns are carried to the last stage but one. Rows without a ``doc_id`` are judged like any
-other; of rows that share a component, those with the smallest ``doc_id`` stay, once for each text.
+other, each by its own text; of the rows of a SimHash component one stays, that with the smallest
+``doc_id`` (one without only where no row of the component has one).
 """
 
 from __future__ import annotations

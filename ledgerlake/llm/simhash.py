@@ -216,16 +216,19 @@ def near_links(nodes: DataFrame, radius: int = RADIUS, most: int = MOST) -> Data
 def with_fingerprint(
     docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """(doc_id, fp) of every document."""
+    """(doc_id, fp, text_hash) of every document."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "text", PIECE_BYTES):
             fp = fingerprints(piece.column("text"), shingle).view(np.int64)
-            yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(fp)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays(
+                [piece.column("doc_id"), pa.array(fp), piece.column("text_hash")], ["doc_id", "fp", "text_hash"]
+            )
 
+    text = column(text_col).cast("string")
     return docs.select(
-        F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")
-    ).transform(map_batches, run, "doc_id bigint, fp bigint")
+        column(id_col).cast("bigint").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash")
+    ).transform(map_batches, run, "doc_id bigint, fp bigint, text_hash bigint")
 
 
 def simhash_components(
@@ -255,21 +258,33 @@ def drop_near_duplicates(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """``docs`` with one document of each component: the one with the smallest id (in a component
-    without ids, the rows without). Rows that share this id are one document; the one whose text
-    hashes lowest stays. All columns are kept."""
-    found = simhash_components(docs, shingle, radius, id_col, text_col)
+    """``docs`` with one row of each component: the one with the smallest id (a row without an id only
+    where no row has one), of several the one whose text hashes lowest. All columns are kept."""
+    prints = materialize(with_fingerprint(docs, shingle, id_col, text_col), "fingerprints")
+    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    nodes = materialize(
+        prints.groupBy("fp", rank.alias("rank")).agg(F.count(F.lit(1)).alias("rows")), "ranked-documents"
+    )
+    prints = materialize(nodes.select("fp").distinct(), "fingerprint-nodes")
+    roots = connected_components(near_links(prints, radius))
+    rooted = nodes.join(roots, F.col("fp") == F.col("node"), "left").select(
+        F.coalesce("root", "fp").alias("root"), F.struct("rank", "rows").alias("at")
+    )
     own = free_prefix(docs.columns, "_near")
+    # equal texts have equal fingerprints, so id and text name one row of one component, or equal rows
     stay = materialize(
-        found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .groupBy(F.col("doc_id").alias(f"{own}id"))
-        .agg(F.count(F.lit(1)).alias("rows")),
+        rooted.groupBy("root").agg(F.min("at").alias("at")).select(
+            F.col("at.rank.doc_id").alias(f"{own}id"), F.col("at.rank.text_hash").alias(f"{own}hash"), "at.rows"
+        ),
         "kept-documents",
     )
     once = stay.where("rows > 1").isEmpty()
-    same = column(id_col).cast("bigint").eqNullSafe(F.col(f"{own}id"))
+    row_id, row_hash = column(id_col).cast("bigint"), F.xxhash64(column(text_col).cast("string"))
+    same = row_id.eqNullSafe(F.col(f"{own}id")) & (row_hash == F.col(f"{own}hash"))
     kept = docs.join(stay.drop("rows").hint("merge"), same, "left_semi")
     if once:
         return kept
-    row = F.min_by(F.struct(*map(column, docs.columns)), F.xxhash64(column(text_col)))
-    return kept.groupBy(column(id_col).alias(f"{own}id")).agg(row.alias(f"{own}row")).select(f"{own}row.*")
+    plain = [f.name for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    row = F.min_by(F.struct(*map(column, docs.columns)), F.xxhash64(*map(column, plain)))
+    keys = row_id.alias(f"{own}id"), row_hash.alias(f"{own}hash")
+    return kept.groupBy(*keys).agg(row.alias(f"{own}row")).select(f"{own}row.*")

@@ -100,3 +100,16 @@ def test_documents(spark):
     assert kept.columns == docs.columns
     assert sorted((r.doc_id or -1) for r in kept.collect()) == [-1, 2, 3, 11]
     assert op.drop_near_duplicates(docs.limit(0)).collect() == []
+
+
+def test_rows_are_judged_by_their_own_component(spark):
+    rng = random.Random(4)
+    base, *alone = (" ".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=300)) for _ in range(7))
+    rows = [(None, t) for t in alone[:4]] + [(None, alone[0]), (None, base), (1, base), (1, base), (8, base)]
+    rows += [(6, alone[4]), (6, alone[5]), (None, alone[5])]  # one id on different texts
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("*", "1 AS _near").repartition(3)
+    comps = plain_components({plain_print(t) for _, t in rows}, 4)
+    assert len(set(comps.values())) == len(comps) == 7  # no two of the texts are near
+    got = [(r.doc_id, r.text) for r in op.drop_near_duplicates(docs).collect()]
+    want = [(None, t) for t in alone[:4]] + [(1, base), (6, alone[4]), (6, alone[5])]
+    assert sorted(got, key=str) == sorted(want, key=str)
