@@ -6,12 +6,13 @@ binary coordinates, and each of the 2^(r+1) - 1 non-zero vectors v gives a mask:
 vector has an odd inner product with v. The vectors of r differing bits span at most r dimensions,
 so some v is orthogonal to all of them, and that mask hides every difference: any pair within the
 radius collides in some table, with certainty. The vectors are dealt evenly, which makes every
-mask keep about half of the bits.
+mask keep about half of the bits. First come those with the top coordinate, of these a basis first:
+from r + 1 bits on they span all coordinates, so that no mask is empty.
 
 Buckets are counted first. One that holds more than ``MOST`` fingerprints is not gathered: its
 rows are dealt out again, by the same covering of the bits that its mask hides (any pair within
-the radius meets again there). Each such step halves the hidden bits, and a bucket has at most
-2^hidden members, so the third step ends at the latest. Inside a bucket all pairs are compared
+the radius meets again there). Each such step hides fewer bits, and a bucket has at most 2^hidden
+members, so the steps end; for radius 4 the third has 8 hidden bits at most. Inside a bucket all pairs are compared
 and only a spanning star of each linked set leaves it, never the pairs.
 
 Cases: a null or word-less text has fingerprint zero, linked like any other; fewer words than a
@@ -78,7 +79,10 @@ def fingerprints(texts: pa.Array, shingle: int = SHINGLE) -> np.ndarray:
 def covering(bits: list[int], radius: int) -> list[int]:
     """Masks over the given bit positions: any ``radius`` of them are missed by some mask."""
     vectors = 1 << (radius + 1)
-    of = [1 + i % (vectors - 1) for i in range(len(bits))]
+    top = vectors >> 1
+    basis = [top, *(top | 1 << k for k in range(radius))]
+    order = basis + [v for v in range(vectors - 1, 0, -1) if v not in basis]
+    of = [order[i % len(order)] for i in range(len(bits))]
     masks = []
     for v in range(1, vectors):
         masks.append(sum(1 << b for b, a in zip(bits, of) if (a & v).bit_count() & 1))
@@ -177,6 +181,7 @@ def near_links(nodes: DataFrame, radius: int = RADIUS, most: int = MOST) -> Data
     """``nodes``: distinct fingerprints ``fp`` (long). Returns links (a, b) whose components are
     those of all pairs of fingerprints at ``radius`` or fewer differing bits."""
     tables = range((1 << (radius + 1)) - 1)
+    most = max(most, 1 << radius)  # more members differ in over ``radius`` bits: each mask hides fewer of them
     rows = nodes.select(
         F.explode(
             F.array(

@@ -113,3 +113,18 @@ def test_rows_are_judged_by_their_own_component(spark):
     got = [(r.doc_id, r.text) for r in op.drop_near_duplicates(docs).collect()]
     want = [(None, t) for t in alone[:4]] + [(1, base), (6, alone[4]), (6, alone[5])]
     assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_steps_into_crowded_buckets_end(spark):
+    for radius in (1, 2, 4, 5):
+        for n in range(radius + 1, 65):
+            assert all(op.covering(list(range(n)), radius))  # every step hides fewer bits
+    hidden = {64 - op.mask_of(path, 4).bit_count() for path in itertools.product(range(31), repeat=3)}
+    assert max(hidden) <= 8 and 1 << max(hidden) <= op.MOST
+    # all prints lie in a subcube of the bits that two steps hide
+    free = [b for b in range(63) if not op.mask_of((2, 2), 4) >> b & 1]
+    rng = np.random.default_rng(1)
+    prints = sorted({sum(1 << b for b in free if rng.integers(2)) for _ in range(200)})
+    nodes = spark.createDataFrame([(p,) for p in prints], "fp bigint")
+    roots = {r.node: r.root for r in connected_components(op.near_links(nodes, 4, 60)).collect()}
+    assert {p: roots.get(p, p) for p in prints} == plain_components(prints, 4)
