@@ -1,20 +1,16 @@
-"""Operator 10: benchmark decontamination by edit distance, through the CGK embedding.
+"""Operator 10: benchmark decontamination by edit distance, complete within the edit budget.
 
 Texts and benchmark items are sequences of words (runs of ASCII letters and digits and all
 non-ASCII characters, A-Z lowered). An item of n words leaks into a document when some stretch of
-the document is within ``floor((1 - SIMILARITY) * n)`` word edits of it.
+the document is within ``d = floor((1 - SIMILARITY) * n)`` word edits of it.
 
-The CGK random walk reads a string with a pointer that moves on or stays by a random bit drawn for
-(step, symbol); strings at a small edit distance give outputs at a small Hamming distance. Items
-and document windows of an item's size are embedded with shared walks, and each repetition keys a
-string by ``BITS`` sampled steps. A window whose key meets an item's key in any repetition is a
-candidate, confirmed by the exact edit distance of the item to the stretch around the window
-(bit-parallel approximate matching). Repetitions are added until simulated copies at the full edit
-budget reach ``RECALL``.
-
-Sizes: an item is embedded by its first w words, w being the largest of the ladder ``SIZES`` it
-has. Only windows that share enough word pairs with the benchmark to be within reach (each edit
-undoes two pairs) are embedded; this loses nothing.
+An item is cut into d + 1 pieces of nearly equal length. d edits touch d of them at most, so a leak
+holds one piece unchanged, shifted by d words at most: every leak, of any length and however its
+edits lie, is a candidate. Pieces are looked up by the hash of their words wherever all word pairs
+of a document's stretch occur in the benchmark. A candidate is dropped early only when the stretch
+around it has fewer of the benchmark's word pairs, then of the item's own, than d edits leave (each
+undoes two pairs at most); this loses nothing. The others are confirmed by the exact edit distance
+of the item to the stretch (bit-parallel approximate matching).
 
 Benchmark items are taken in blocks of about ``BLOCK_WORDS`` words, each sent along with one pass
 over the documents; a larger benchmark takes more passes. Items of fewer than ``LEAST_WORDS`` words
@@ -39,10 +35,8 @@ from ledgerlake.llm.common import map_batches, pieces, split_lists
 
 SIMILARITY = 0.8
 LEAST_WORDS = 5
-SIZES = (5, 6, 8, 10, 13, 17, 22, 28, 36, 46, 58, 73, 92, 115, 144, 180, 225, 280, 350)
 BITS = 3
-RECALL = 0.97
-MOST_REPEATS = 64
+MOST_PLACES = 1 << 20  # candidate places judged at a time
 BLOCK_WORDS = 1_000_000
 PIECE_BYTES = 4 << 20
 
@@ -115,7 +109,8 @@ def sampled_steps(size: int, repeat: int) -> np.ndarray:
 
 def cgk_keys(words: np.ndarray, starts: np.ndarray, size: int, repeat: int, last: np.ndarray) -> np.ndarray:
     """Keys of repetition ``repeat`` for the windows of ``size`` words at ``starts``; positions
-    from ``last`` on (each window's end of text) read as padding."""
+    from ``last`` on (each window's end of text) read as padding. A CGK walk: edited copies meet in
+    some repetition with high probability only, so the search does not rely on it."""
     steps = sampled_steps(size, repeat)
     pointer = starts.copy()
     ends = np.minimum(starts + size, last)
@@ -129,12 +124,13 @@ def cgk_keys(words: np.ndarray, starts: np.ndarray, size: int, repeat: int, last
     return key
 
 
-def _size_of(n: int) -> int:
-    return max((s for s in SIZES if s <= n), default=0)
+def piece_bounds(n: int, edits: int) -> list[int]:
+    """Bounds of the ``edits + 1`` pieces of an item of ``n`` words."""
+    return [i * n // (edits + 1) for i in range(edits + 2)]
 
 
 class Index:
-    """Embedded keys and word pairs of a block of benchmark items."""
+    """Pieces and word pairs of a block of benchmark items."""
 
     def __init__(self, items: list[tuple], similarity: float = SIMILARITY):
         flat, counts = plain_words(pa.array([text for _, text in items], pa.string()))
@@ -147,106 +143,100 @@ class Index:
             if b - a >= LEAST_WORDS:
                 self.ids.append(item)
                 self.words.append(codes[a:b])
-        self.allowed = [edits_allowed(len(w), similarity) for w in self.words]
-        self.sizes: dict[int, tuple[int, int, list]] = {}
-        pairs = [w[:-1] << 32 | w[1:] for w in self.words]
-        self.pairs = np.unique(np.concatenate(pairs)) if pairs else np.zeros(0, np.int64)
-        for size in sorted({_size_of(len(w)) for w in self.words}):
-            own = [i for i, w in enumerate(self.words) if _size_of(len(w)) == size]
-            most = max(self.allowed[i] for i in own)
-            # an edit undoes two pairs at most, counting a pair pushed out of the window's end
-            shared = max(size - 1 - 2 * most, 1)
-            joined = np.concatenate([self.words[i] for i in own])
-            lens = np.array([len(self.words[i]) for i in own])
-            starts = np.cumsum(lens) - lens
-            tables = []
-            for repeat in range(self._repeats(own, size)):
-                keys = cgk_keys(joined, starts, size, repeat, starts + lens)
-                order = np.argsort(keys, kind="stable")
-                tables.append((keys[order], np.array(own)[order]))
-            self.sizes[size] = (shared, most, tables)
-
-    def _repeats(self, own: list[int], size: int) -> int:
-        """Repetitions that make copies at the full edit budget meet with ``RECALL``."""
-        rng = np.random.default_rng(size)
-        chosen = [own[i] for i in rng.permutation(len(own))[:40]]
-        origin, copies = [], []
-        for i in chosen:
-            for _ in range(5):
-                copy = list(self.words[i])
-                for at in rng.integers(0, len(copy), self.allowed[i]):
-                    at = min(int(at), len(copy) - 1)
-                    kind = rng.integers(3)
-                    if kind == 0:
-                        copy[at] = 0
-                    elif kind == 1:
-                        copy.insert(at, 0)
-                    else:
-                        copy.pop(at)
-                origin.append(self.words[i])
-                copies.append(np.array(copy, np.int64))
-        missed = np.ones(len(copies), bool)
-
-        def keys(rows: list[np.ndarray], repeat: int) -> np.ndarray:
-            lens = np.array([len(r) for r in rows])
-            starts = np.cumsum(lens) - lens
-            return cgk_keys(np.concatenate(rows), starts, size, repeat, starts + lens)
-
-        for repeat in range(MOST_REPEATS):
-            missed &= keys(origin, repeat) != keys(copies, repeat)
-            if repeat >= 7 and missed.mean() <= 1 - RECALL:
-                return repeat + 1
-        return MOST_REPEATS
+        self.lens = np.array([len(w) for w in self.words], np.int64)
+        self.allowed = np.array([edits_allowed(len(w), similarity) for w in self.words], np.int64)
+        self.own_pairs = [w[:-1] << 32 | w[1:] for w in self.words]
+        self.pairs = np.unique(np.concatenate(self.own_pairs)) if self.words else np.zeros(0, np.int64)
+        held: dict[int, list[tuple[int, int]]] = {}
+        for i, w in enumerate(self.words):
+            bounds = piece_bounds(len(w), int(self.allowed[i]))
+            for a, b in zip(bounds, bounds[1:]):
+                held.setdefault(b - a, []).append((i, a))
+        # for each length of a piece: sorted keys, items, offsets in the item
+        self.pieces: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        joined = np.concatenate(self.words) if self.words else codes[:0]
+        first = np.cumsum(self.lens) - self.lens
+        for length in sorted(held):
+            item, offset = np.array(held[length], np.int64).T
+            keys = self._keys(joined, first[item] + offset, length)
+            order = np.argsort(keys, kind="stable")
+            self.pieces[length] = (keys[order], item[order], offset[order])
+
+    @staticmethod
+    def _keys(words: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
+        """Hashes of the stretches of ``length`` words at ``starts``."""
+        key = np.full(len(starts), length, np.uint64)
+        for k in range(length):
+            key = _mix(key, words[starts + k])
+        return key
+
+    def _places(self, words: np.ndarray, cut: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(position, item, offset) of every piece of an item in ``words``, some at a time. ``cut[i]``:
+        how many of the first i word pairs occur in the benchmark."""
+        for length, (keys, items, offsets) in self.pieces.items():
+            if length == 1:
+                starts = np.flatnonzero(words)
+            else:
+                starts = np.flatnonzero(cut[length - 1 :] - cut[: 1 - length] == length - 1)
+            own = self._keys(words, starts, length)
+            lo, hi = np.searchsorted(keys, own, "left"), np.searchsorted(keys, own, "right")
+            hit = hi > lo
+            starts, lo, many = starts[hit], lo[hit], (hi - lo)[hit]
+            upto = np.cumsum(many)
+            at = 0
+            while at < len(starts):
+                before = upto[at - 1] if at else 0
+                stop = max(at + 1, int(np.searchsorted(upto, before + MOST_PLACES, side="right")))
+                n = many[at:stop]
+                which = np.repeat(lo[at:stop] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+                yield np.repeat(starts[at:stop], n), items[which], offsets[which]
+                at = stop
 
     def search(self, texts: pa.Array) -> list[tuple[int, int, int, int, int]]:
         """(row, item number, first word, end word, edits) of the best match of each leaked item."""
         flat, counts = plain_words(texts)
-        if not self.sizes or not len(flat):
+        if not self.words or not len(flat):
             return []
         codes = pc.fill_null(pc.index_in(flat, value_set=self.vocab.cast(flat.type)), -1)
         words = codes.to_numpy(zero_copy_only=False).astype(np.int64) + 1
         row_end = np.cumsum(counts)
-        at = np.searchsorted(self.pairs, pair := words[:-1] << 32 | words[1:])
-        known = self.pairs[np.minimum(at, len(self.pairs) - 1)] == pair
+        begin = row_end - counts
+        known = np.zeros(len(words) - 1, bool)
+        if len(self.pairs):
+            at = np.searchsorted(self.pairs, pair := words[:-1] << 32 | words[1:])
+            known = self.pairs[np.minimum(at, len(self.pairs) - 1)] == pair
         known[row_end[(row_end > 0) & (row_end < len(words))] - 1] = False
         cut = np.r_[0, np.cumsum(known)]
-        found: set[tuple[int, int, int]] = set()
-        for size, (shared, most, tables) in self.sizes.items():
-            left = np.minimum(np.arange(len(known)) + size - 1, len(known))
-            starts = np.flatnonzero(cut[left] - cut[:-1] >= shared)
-            if not len(starts):
-                continue
-            row = np.searchsorted(row_end, starts, side="right")
-            last = row_end[row]
-            for repeat, (keys, items) in enumerate(tables):
-                own = cgk_keys(words, starts, size, repeat, last)
-                lo, hi = np.searchsorted(keys, own, "left"), np.searchsorted(keys, own, "right")
-                for k in np.flatnonzero(hi > lo).tolist():
-                    for item in items[lo[k] : hi[k]].tolist():
-                        found.add((int(row[k]), item, int(starts[k])))
-        # candidates of an item that are near each other are confirmed in one stretch
+        found = [np.zeros((0, 4), np.int64)]
+        for place, item, offset in self._places(words, cut):
+            row = np.searchsorted(row_end, place, side="right")
+            n, d = self.lens[item], self.allowed[item]
+            lo = np.maximum(begin[row], place - offset - d)
+            hi = np.minimum(row_end[row], place - offset + n + d)
+            near = cut[hi - 1] - cut[lo] >= n - 1 - 2 * d
+            found.append(np.unique(np.stack([row, item, lo, hi], axis=1)[near], axis=0))
+        places = np.unique(np.concatenate(found), axis=0)
+        if not len(places):
+            return []
+        # candidates of an item that overlap are confirmed in one stretch
+        row, item, lo, hi = places.T
+        new = np.r_[True, (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (lo[1:] > hi[:-1])]
+        heads = np.flatnonzero(new)
+        tails = np.r_[heads[1:], len(places)] - 1
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
-        begin = row_end - counts
-        reach: dict[tuple[int, int], list[list[int]]] = {}
-        for r, item, start in sorted(found):
-            n, d = len(self.words[item]), self.allowed[item]
-            lo = max(int(begin[r]), start - 2 * d)
-            hi = min(int(row_end[r]), start + n + 2 * d)
-            stretches = reach.setdefault((r, item), [])
-            if stretches and lo <= stretches[-1][1]:
-                stretches[-1][1] = hi
-            else:
-                stretches.append([lo, hi])
-        for (r, item), stretches in reach.items():
-            pattern = self.words[item].tolist()
-            for lo, hi in stretches:
-                stretch = words[lo:hi].tolist()
-                edits, end = best_match(pattern, stretch)
-                if edits <= self.allowed[item] and edits < best.get((r, item), (len(pattern),))[0]:
-                    _, back = best_match(pattern[::-1], stretch[end - 1 :: -1] if end else [])
-                    start = lo + end - back - int(begin[r])
-                    best[r, item] = (edits, start, lo + end - int(begin[r]))
-        return [(r, item, a, b, e) for (r, item), (e, a, b) in sorted(best.items())]
+        for r, i, a, b in zip(row[heads].tolist(), item[heads].tolist(), lo[heads].tolist(), hi[tails].tolist()):
+            n, d = int(self.lens[i]), int(self.allowed[i])
+            around = words[a:b]
+            there = np.isin(self.own_pairs[i], around[:-1] << 32 | around[1:])
+            if there.sum() < n - 1 - 2 * d:
+                continue
+            pattern, stretch = self.words[i].tolist(), around.tolist()
+            edits, end = best_match(pattern, stretch)
+            if edits <= d and edits < best.get((r, i), (n,))[0]:
+                _, back = best_match(pattern[::-1], stretch[end - 1 :: -1] if end else [])
+                start = a + end - back - int(begin[r])
+                best[r, i] = (edits, start, a + end - int(begin[r]))
+        return [(r, i, a, b, e) for (r, i), (e, a, b) in sorted(best.items())]
 
 
 def _blocks(items: DataFrame, id_col: str, text_col: str) -> Iterator[list[tuple]]:

@@ -102,3 +102,30 @@ def test_keys_read_only_their_window():
     a = op.cgk_keys(words, np.array([3]), 13, 2, np.array([40]))
     words[16:] = 7
     assert (a == op.cgk_keys(words, np.array([3]), 13, 2, np.array([40]))).all()
+
+
+def edited(rng, words, edits, clustered):
+    """A copy with exactly this many edits, spread or in the item's opening."""
+    spots = sorted(rng.sample(range(len(words)), edits)) if not clustered else range(edits)
+    copy, shift = list(words), 0
+    for k in spots:
+        kind = rng.randrange(3)
+        at = k + shift
+        copy[at : at + (kind != 1)] = [f"new{rng.randrange(10**6)}"] * (kind != 2)
+        shift += (kind == 1) - (kind == 2)
+    return copy
+
+
+def test_every_leak_at_the_full_budget_is_found():
+    rng = random.Random(12)
+    vocab = ["".join(rng.choices("abcdefghij", k=rng.randint(2, 7))) for _ in range(900)]
+    items = [(i, " ".join(rng.choices(vocab, k=n))) for i, n in enumerate([5, 9, 14, 33, 150, 349, 600, 1000] * 3)]
+    index = op.Index(items)
+    texts = []
+    for i, text in items:
+        words = text.split()
+        copy = edited(rng, words, op.edits_allowed(len(words)), clustered=i % 2 == 0)
+        texts.append(" ".join([*rng.choices(vocab, k=50), *copy, *rng.choices(vocab, k=50)]))
+    hits = {(r, i): e for r, i, _, _, e in index.search(pa.array(texts))}
+    for i, text in items:
+        assert hits[i, i] <= op.edits_allowed(len(text.split()))
