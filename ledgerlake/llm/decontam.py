@@ -1,7 +1,8 @@
 """Operator 10: benchmark decontamination by edit distance, complete within the edit budget.
 
 Texts and benchmark items are sequences of words (runs of ASCII letters and digits and all
-non-ASCII characters, A-Z lowered). An item of n words leaks into a document when some stretch of
+non-ASCII characters, A-Z lowered; in scripts without spaces every character is a word and full-width
+punctuation parts words). An item of n words leaks into a document when some stretch of
 the document is within ``d = floor((1 - SIMILARITY) * n)`` word edits of it.
 
 An item is cut into d + 1 pieces of nearly equal length. d edits touch d of them at most, so a leak
@@ -13,8 +14,9 @@ undoes two pairs at most); this loses nothing. The others are confirmed by the e
 of the item to the stretch (bit-parallel approximate matching).
 
 Benchmark items are taken in blocks of about ``BLOCK_WORDS`` words, each sent along with one pass
-over the documents; a larger benchmark takes more passes. Items of fewer than ``LEAST_WORDS`` words
-name no passage and are not searched.
+over the documents; a larger benchmark takes more passes. Items of fewer than 5 words
+allow no edit: ``find_leaks`` reports each exact occurrence. A phrase of fewer than ``LEAST_WORDS``
+words inside a longer text does not drop it; a text that is nothing but such an item is dropped.
 
 Cases: a null or empty text or item matches nothing; items that repeat are all reported; equal
 documents have equal results; an empty benchmark or table gives no match; other columns are
@@ -34,7 +36,7 @@ from pyspark.sql import functions as F
 from ledgerlake.llm.common import map_batches, pieces, split_lists
 
 SIMILARITY = 0.8
-LEAST_WORDS = 5
+LEAST_WORDS = 5  # shorter items drop only the texts that hold nothing else
 BITS = 3
 MOST_PLACES = 1 << 20  # candidate places judged at a time
 BLOCK_WORDS = 1_000_000
@@ -46,9 +48,23 @@ _WORD_BYTES = np.array(
 )
 
 
+# scripts written without spaces, and the first bytes that their characters and punctuation have
+_UNSPACED = r"([\p{Han}\p{Hiragana}\p{Katakana}\p{Bopomofo}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}\p{Tibetan}])"
+_WIDE_MARKS = r"[\x{3000}-\x{3004}\x{3008}-\x{3020}\x{3030}\x{30FB}\x{FF01}-\x{FF0F}\x{FF1A}-\x{FF20}\x{FF3B}-\x{FF40}\x{FF5B}-\x{FF65}]"
+_WIDE_BYTES = np.isin(np.arange(256), [0xE0, 0xE1, *range(0xE3, 0xEA), 0xEF, 0xF0])
+
+
+def _characters_apart(texts: pa.Array) -> pa.Array:
+    """Texts with spaces around each character of unspaced scripts and for full-width punctuation."""
+    held = texts.buffers()[2]
+    if held is None or not _WIDE_BYTES[np.frombuffer(held, np.uint8)].any():
+        return texts
+    return pc.replace_substring_regex(pc.replace_substring_regex(texts, _WIDE_MARKS, " "), _UNSPACED, r" \1 ")
+
+
 def plain_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """Words of all texts, flattened, and how many each text has."""
-    texts = pc.fill_null(texts, "").cast(pa.large_string())
+    texts = _characters_apart(pc.fill_null(texts, "").cast(pa.large_string()))
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
     held = texts.buffers()[2]
     raw = np.frombuffer(held, np.uint8)[offsets[0] : offsets[-1]] if held else np.zeros(0, np.uint8)
@@ -140,7 +156,7 @@ class Index:
         ends = np.cumsum(counts)
         self.ids, self.words = [], []
         for (item, _), a, b in zip(items, ends - counts, ends):
-            if b - a >= LEAST_WORDS:
+            if b > a:
                 self.ids.append(item)
                 self.words.append(codes[a:b])
         self.lens = np.array([len(w) for w in self.words], np.int64)
@@ -192,6 +208,13 @@ class Index:
                 yield np.repeat(starts[at:stop], n), items[which], offsets[which]
                 at = stop
 
+    def leaked_rows(self, texts: pa.Array) -> list[int]:
+        """Rows to drop."""
+        _, counts = plain_words(texts)
+        return [
+            r for r, i, a, b, _ in self.search(texts) if self.lens[i] >= LEAST_WORDS or b - a == counts[r]
+        ]
+
     def search(self, texts: pa.Array) -> list[tuple[int, int, int, int, int]]:
         """(row, item number, first word, end word, edits) of the best match of each leaked item."""
         flat, counts = plain_words(texts)
@@ -303,7 +326,7 @@ def drop_contaminated(
         def run(batches: Iterable[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             for piece in pieces(batches, text, PIECE_BYTES):
                 clean = np.ones(piece.num_rows, bool)
-                clean[[hit[0] for hit in index.search(piece.column(text))]] = False
+                clean[index.leaked_rows(piece.column(text))] = False
                 yield piece.filter(pa.array(clean))
 
         kept = kept.transform(map_batches, run, kept.schema)

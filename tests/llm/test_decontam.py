@@ -129,3 +129,17 @@ def test_every_leak_at_the_full_budget_is_found():
     hits = {(r, i): e for r, i, _, _, e in index.search(pa.array(texts))}
     for i, text in items:
         assert hits[i, i] <= op.edits_allowed(len(text.split()))
+
+
+def test_short_items_and_scripts_without_spaces(spark):
+    chinese, thai = "法国的首都是哪一座城市？", "เมืองหลวงของประเทศฝรั่งเศสคือเมืองใด"
+    items = [(1, "Which river?"), (2, "yes"), (3, chinese), (4, thai), (5, "four short words here")]
+    docs = [(1, "Q: which river? I know"), (2, "Yes."), (3, f"问题：{chinese}答案：巴黎。"), (4, f"ก่อน{thai}หลัง"),
+            (5, chinese.replace("首都", "首府")), (6, "four short, other words here"), (7, "什么都没有"), (8, "yesterday")]
+    frames = (
+        spark.createDataFrame(docs, "doc_id bigint, text string"),
+        spark.createDataFrame(items, "item_id bigint, text string"),
+    )
+    got = {(r.doc_id, r.item_id, r.edits) for r in op.find_leaks(*frames).collect()}
+    assert got == {(1, 1, 0), (2, 2, 0), (3, 3, 0), (4, 4, 0), (5, 3, 1)}
+    assert sorted(r.doc_id for r in op.drop_contaminated(*frames).collect()) == [1, 6, 7, 8]
