@@ -13,7 +13,8 @@ around it has fewer of the benchmark's word pairs, then of the item's own, than
 undoes two pairs at most); this loses nothing. The others are confirmed by the exact edit distance
 of the item to the stretch (bit-parallel approximate matching).
 
-Benchmark items are taken in blocks of about ``BLOCK_WORDS`` words, each sent along with one pass
+Equal items are searched once; their ids are joined to what was found. The distinct texts are taken
+in blocks of about ``BLOCK_WORDS`` words, each sent along with one pass
 over the documents; a larger benchmark takes more passes. Items of fewer than 5 words
 allow no edit: ``find_leaks`` reports each exact occurrence. A phrase of fewer than ``LEAST_WORDS``
 words inside a longer text does not drop it; a text that is nothing but such an item is dropped.
@@ -30,10 +31,10 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import map_batches, pieces, split_lists
+from ledgerlake.llm.common import column, map_batches, materialize, pieces, split_lists
 
 SIMILARITY = 0.8
 LEAST_WORDS = 5  # shorter items drop only the texts that hold nothing else
@@ -262,16 +263,20 @@ class Index:
         return [(r, i, a, b, e) for (r, i), (e, a, b) in sorted(best.items())]
 
 
-def _blocks(items: DataFrame, id_col: str, text_col: str) -> Iterator[list[tuple]]:
-    """Items in blocks of about ``BLOCK_WORDS`` words."""
-    rows = items.select(F.col(id_col).alias("i"), F.col(text_col).cast("string").alias("t")).where(
-        "t is not null"
-    )
+def _keyed(items: DataFrame, text_col: str, *more: Column) -> DataFrame:
+    """(key, t, more) of the items that have a text; equal texts have one key."""
+    text = column(text_col).cast("string")
+    return items.select(F.xxhash64(text).alias("key"), text.alias("t"), *more).where("t is not null")
+
+
+def _blocks(items: DataFrame, text_col: str) -> Iterator[list[tuple]]:
+    """(key, text) of the distinct texts in blocks of about ``BLOCK_WORDS`` words."""
+    rows = materialize(_keyed(items, text_col).distinct(), "benchmark-texts")
     words = rows.agg(F.sum(F.length("t")).alias("n")).first()["n"] or 0
     passes = max(1, -(-words // (4 * BLOCK_WORDS)))
     for k in range(passes):
         block = rows.where(F.pmod(F.xxhash64("t"), F.lit(passes)) == k)
-        yield sorted(((r["i"], r["t"]) for r in block.collect()), key=lambda r: (r[1], str(r[0])))
+        yield sorted(((r["key"], r["t"]) for r in block.collect()), key=lambda r: (r[1], r[0]))
 
 
 def find_leaks(
@@ -286,9 +291,9 @@ def find_leaks(
     """(doc_id, item_id, start, end, edits): the best match of every item in every document it
     leaked into; ``start`` and ``end`` count the document's words."""
     kept = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    schema = "doc_id bigint, item_id bigint, start bigint, end bigint, edits bigint"
+    schema = "doc_id bigint, key bigint, start bigint, end bigint, edits bigint"
     found = None
-    for block in _blocks(items, item_id, item_text):
+    for block in _blocks(items, item_text):
         index = Index(block, similarity)
 
         def run(batches: Iterable[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
@@ -298,14 +303,15 @@ def find_leaks(
                 yield pa.RecordBatch.from_pydict(
                     {
                         "doc_id": piece.column("doc_id").take(pa.array(row)),
-                        "item_id": pa.array([index.ids[i] for i in item], pa.int64()),
+                        "key": pa.array([index.ids[i] for i in item], pa.int64()),
                         "start": start, "end": end, "edits": edits,
                     }
                 )
 
         hits = kept.transform(map_batches, run, schema)
         found = hits if found is None else found.union(hits)
-    return found
+    ids = materialize(_keyed(items, item_text, column(item_id).cast("bigint").alias("item_id")).drop("t"), "benchmark-ids")
+    return found.join(ids, "key").select("doc_id", "item_id", "start", "end", "edits")
 
 
 def drop_contaminated(
@@ -320,7 +326,7 @@ def drop_contaminated(
     names = docs.columns
     text = f"c{names.index(text_col)}"
     kept = docs.toDF(*(f"c{k}" for k in range(len(names))))  # whatever their names are
-    for block in _blocks(items, item_id, item_text):
+    for block in _blocks(items, item_text):
         index = Index(block, similarity)
 
         def run(batches: Iterable[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:

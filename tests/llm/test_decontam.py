@@ -143,3 +143,13 @@ def test_short_items_and_scripts_without_spaces(spark):
     got = {(r.doc_id, r.item_id, r.edits) for r in op.find_leaks(*frames).collect()}
     assert got == {(1, 1, 0), (2, 2, 0), (3, 3, 0), (4, 4, 0), (5, 3, 1)}
     assert sorted(r.doc_id for r in op.drop_contaminated(*frames).collect()) == [1, 6, 7, 8]
+
+
+def test_equal_items_reach_the_driver_once(spark):
+    text = "one benchmark text that makes up most of the rows"
+    items = spark.createDataFrame([(i, text) for i in range(500)] + [(900, "another item of six words")], "item_id bigint, text string")
+    assert sum(len(block) for block in op._blocks(items, "text")) == 2
+    docs = spark.createDataFrame([(1, f"so {text}, yes"), (2, "nothing")], "doc_id bigint, text string")
+    got = op.find_leaks(docs, items).collect()
+    assert sorted((r.doc_id, r.item_id, r.edits) for r in got) == [(1, i, 0) for i in range(500)]
+    assert [r.doc_id for r in op.drop_contaminated(docs, items).collect()] == [2]
