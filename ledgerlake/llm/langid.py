@@ -14,8 +14,9 @@ them, joins three kinds of evidence:
 
 Counts by host are pre-aggregated by each task, so a hot host costs one row of each; the priors
 are written and joined back, broadcast only when that table is measured to be small. The text model
-is fitted on about ``SAMPLE`` labelled rows, chosen by a hash of their text (whole texts); every
-table of counts covers all rows.
+is fitted on distinct labelled texts, about ``SAMPLE`` of each language at most, chosen by their hash
+(all texts of a language that has fewer). Every declared language with ``LEAST_TEXTS`` distinct texts
+or more is modelled, however rare it is among the rows; every table of counts covers all rows.
 
 A row is accepted when its best class is a language with posterior ``LEAST`` or more.
 
@@ -40,7 +41,7 @@ from ledgerlake.llm.common import column, map_batches, materialize, pieces
 
 UND = "und"
 SAMPLE = 4000
-MOST_LANGS = 64
+LEAST_TEXTS = 5
 GRAMS = 1 << 16
 SMOOTH = 0.5
 TEMPER = 1 / 3
@@ -86,34 +87,47 @@ def primary_tag(declared: Column) -> Column:
 def fit_text_model(
     labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE
 ) -> tuple[list[str], np.ndarray]:
-    """(languages, log-probabilities [language, trigram]) from about ``sample`` labelled rows."""
+    """(languages, log-probabilities [language, trigram]) from about ``sample`` distinct labelled
+    texts of each language at most."""
     rows = labelled.select(
         F.col(text_col).cast("string").alias("text"), primary_tag(F.col(lang_col)).alias("lang")
     ).where("text is not null and lang <> ''")
-    per_lang = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    found = per_lang.orderBy(F.desc("n"), "lang").limit(MOST_LANGS).collect()
-    total = sum(r["n"] for r in found)
-    langs = sorted(r["lang"] for r in found)
-    share = min(1.0, sample / max(total, 1))
-    chosen = rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int(share * (1 << 30))).where(
-        F.col("lang").isin(langs)
-    )
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((len(langs), GRAMS), np.int64)
-        for piece in pieces(batches, "text", PIECE_BYTES):
-            gram, counts = trigrams(piece.column("text"))
-            lang = np.array([langs.index(x) for x in piece.column("lang").to_pylist()])
-            at = np.repeat(lang, counts) * GRAMS + gram
-            sums += np.bincount(at, minlength=len(langs) * GRAMS).reshape(sums.shape)
-        lang, gram = np.nonzero(sums)
-        yield pa.RecordBatch.from_pydict({"lang": lang, "gram": gram, "n": sums[lang, gram]})
-
+    rows = rows.withColumn("key", F.xxhash64("text"))
+    distinct = rows.select("lang", "key").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    found = {r["lang"]: r["n"] for r in distinct.where(F.col("n") >= LEAST_TEXTS).collect()}
+    langs = sorted(found)
+    number = {x: k for k, x in enumerate(langs)}
     counts = np.zeros((len(langs), GRAMS))
     if langs:
-        counted = chosen.transform(map_batches, run, "lang bigint, gram bigint, n bigint")
+        upto = [(x, int(min(1.0, sample / n) * (1 << 30))) for x, n in found.items()]
+        shares = labelled.sparkSession.createDataFrame(upto, "lang string, upto bigint")
+        chosen = rows.join(F.broadcast(shares), "lang").where(F.pmod("key", F.lit(1 << 30)) < F.col("upto"))
+
+        def once(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            """Equal texts of a task go on once; no more than the sample has are kept in mind."""
+            seen = set()
+            for batch in batches:
+                marks = list(zip(batch.column("lang").to_pylist(), batch.column("key").to_pylist()))
+                new = np.zeros(len(marks), bool)
+                for k, mark in enumerate(marks):
+                    if mark not in seen:
+                        seen.add(mark)
+                        new[k] = True
+                yield batch.filter(pa.array(new))
+
+        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for piece in pieces(batches, "text", PIECE_BYTES):
+                gram, sizes = trigrams(piece.column("text"))
+                lang = np.array([number[x] for x in piece.column("lang").to_pylist()], np.int64)
+                at, n = np.unique(np.repeat(lang, sizes) * GRAMS + gram, return_counts=True)
+                yield pa.RecordBatch.from_pydict({"lang": at // GRAMS, "gram": at % GRAMS, "n": n.astype(np.int64)})
+
+        chosen = chosen.select("lang", "key", "text").transform(
+            map_batches, once, "lang string, key bigint, text string"
+        )
+        counted = chosen.dropDuplicates(["lang", "key"]).transform(map_batches, run, "lang bigint, gram bigint, n bigint")
         summed = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-        got = summed.toPandas()  # at most MOST_LANGS x GRAMS rows, whatever the input
+        got = summed.toPandas()  # at most languages x GRAMS rows, whatever the input
         counts[got["lang"].to_numpy(int), got["gram"].to_numpy(int)] = got["n"].to_numpy(float)
     model = np.log((counts + SMOOTH) / (counts.sum(1, keepdims=True) + SMOOTH * GRAMS))
     return langs, model.astype(np.float32)
@@ -210,7 +224,7 @@ def identify_language(
     soft = scored.where(F.col(ll).isNotNull()).select(
         F.col(at_host).alias("_host"), known.alias("_declared"), _softmax(F.col(ll)).alias("_soft")
     )
-    # probability of each declared value given the class: at most MOST_LANGS + 1 rows
+    # probability of each declared value given the class: at most one row for each language, and one
     declared_sums = {
         r["_declared"]: [r[f"c{k}"] for k in range(classes)]
         for r in soft.where("_declared is not null")

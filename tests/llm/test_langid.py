@@ -74,3 +74,22 @@ def test_markup(spark):
         op.markup_language(F.col("html")).alias("lang"), op.page_text(F.col("html")).alias("text")
     ).collect()
     assert row[0].lang == "de-AT" and row[0].text.split() == ["Hallo", "Welt"] and row[1].text is None
+
+
+def test_rare_and_many_languages_are_modelled(spark):
+    rng = np.random.default_rng(3)
+
+    def text(letters, words):
+        return " ".join("".join(rng.choice(list(letters), 5)) for _ in range(words))
+
+    common = [(text("abcdefgh", 4), "en") for _ in range(9000)]
+    rare = [(text("qvwxyz", 40), "tlh") for _ in range(6)]  # under 1/4000 of 30,000 rows
+    rows = [*common, *common, *common, *([("the same text again", "en")] * 3000), *rare, *rare]
+    many = [(text("klmnop", 6), "x" + chr(97 + k // 26) + chr(97 + k % 26)) for k in range(70) for _ in range(5)]
+    frame = spark.createDataFrame(rows + many, "text string, lang string").repartition(4)
+    langs, model = op.fit_text_model(frame)
+    assert langs == sorted({"en", "tlh", *(x for _, x in many)})
+    # the model of a few texts counts each of them once
+    gram, _ = op.trigrams(pa.array([x for x, _ in rare]))
+    counts = np.bincount(gram, minlength=op.GRAMS) + op.SMOOTH
+    assert np.allclose(model[langs.index("tlh")], np.log(counts / counts.sum()), atol=1e-5)
