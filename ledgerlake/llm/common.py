@@ -13,15 +13,25 @@ from pyspark.sql import functions as F
 from ledgerlake.session import work_path
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """Write ``df`` as a table under the cluster's shared folder and read it back.
 
     It cuts the lineage, survives a lost executor, and gives the optimizer the true size in
-    bytes, so a join with it is broadcast only when it is measured to be small.
+    bytes, so a join with it is broadcast only when it is measured to be small. ``by``: a column
+    whose values get a folder each, for ``discard``.
     """
     path = work_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(*[by] if by else []).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path).select(*map(column, df.columns))
+    table.work_path = path
+    return table
+
+
+def discard(table: DataFrame, part: str = "") -> None:
+    """Delete a table that ``materialize`` made (or one folder of it), once nothing reads it."""
+    spark = table.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{table.work_path}/{part}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def column(name: str) -> Column:

@@ -12,6 +12,8 @@ from ledgerlake.llm import (
     bpe,
     decontam,
     embed_dedup,
+    exact_dedup,
+    fill_middle,
     langid,
     line_dedup,
     lm_score,
@@ -94,6 +96,21 @@ def op10_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fill_middle.fill_in_middle(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    back = fill_middle.restore(F.col("fim_text"), F.col("fim_form"))
+    return found.select(
+        "doc_id", F.col("n_lines").alias("n"), F.col("fim_form").alias("form"), "prefix_chars", "middle_chars",
+        F.sha2(F.col("fim_text").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(back.cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    digest = F.sha2(exact_dedup.fold_case(F.col("text")).cast("binary"), 256)
+    return exact_dedup.find_copies(_table(spark, sf_dir, "documents"), text_sha256=digest)
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_output": op1_token_output,
     "op2_url_filter": op2_url_filter,
@@ -105,10 +122,14 @@ QUERIES: dict[str, Query] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_language_id": op9_language_id,
     "op10_decontam": op10_decontam,
+    "op12_fill_middle": op12_fill_middle,
+    "op13_exact_dedup": op13_exact_dedup,
     "language_id_pages": language_id_pages,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_url_filter": url_filter.SQL,
     "op8_line_dedup": line_dedup.SQL,
+    "op12_fill_middle": fill_middle.SQL,
+    "op13_exact_dedup": exact_dedup.SQL,
 }
