@@ -17,11 +17,13 @@ from ledgerlake.llm import (
     langid,
     line_dedup,
     lm_score,
+    prefix_trie,
     secret_scan,
     simhash,
     token_output,
     url_filter,
 )
+from ledgerlake.llm.common import materialize
 from ledgerlake.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -96,6 +98,11 @@ def op10_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.turn_sequences(_table(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_trie(prefix_trie.rebuild(materialize(turns, "turn-sequences")))
+
+
 def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = fill_middle.fill_in_middle(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     back = fill_middle.restore(F.col("fim_text"), F.col("fim_form"))
@@ -122,6 +129,7 @@ QUERIES: dict[str, Query] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_language_id": op9_language_id,
     "op10_decontam": op10_decontam,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_fill_middle": op12_fill_middle,
     "op13_exact_dedup": op13_exact_dedup,
     "language_id_pages": language_id_pages,
@@ -130,6 +138,7 @@ QUERIES: dict[str, Query] = {
 ORACLE_SQL: dict[str, str] = {
     "op2_url_filter": url_filter.SQL,
     "op8_line_dedup": line_dedup.SQL,
+    "op11_prefix_trie": prefix_trie.SQL,
     "op12_fill_middle": fill_middle.SQL,
     "op13_exact_dedup": exact_dedup.SQL,
 }
