@@ -1,14 +1,22 @@
-"""Operator 10: benchmark decontamination by edit distance, complete within the edit budget.
+"""Operator 10: benchmark decontamination by edit distance, through the CGK embedding.
 
 Texts and benchmark items are sequences of words (runs of ASCII letters and digits and all
 non-ASCII characters, A-Z lowered; in scripts without spaces every character is a word and full-width
 punctuation parts words). An item of n words leaks into a document when some stretch of
 the document is within ``d = floor((1 - SIMILARITY) * n)`` word edits of it.
 
-An item is cut into d + 1 pieces of nearly equal length. d edits touch d of them at most, so a leak
-holds one piece unchanged, shifted by d words at most: every leak, of any length and however its
-edits lie, is a candidate. Pieces are looked up by the hash of their words wherever all word pairs
-of a document's stretch occur in the benchmark. A candidate is dropped early only when the stretch
+The CGK random walk reads a string with a pointer that moves on or stays by a random bit drawn for
+(step, symbol); strings at a small edit distance give outputs at a small Hamming distance. Windows
+of half an item, spread over it (edits that crowd one place leave another window clean), and the windows of that
+size in a document are embedded by shared walks; each repetition keys a window by some sampled steps. A
+document window whose key meets an item's in any repetition is a candidate. For each size, repetitions
+are added until ``RECALL`` of copies at the full edit budget, edits spread and in one place, are met
+(``Index.repeats``; the recall is measured on the items themselves).
+
+What the walks miss is found exactly: an item is cut into d + 1 pieces of nearly equal length. d edits
+touch d of them at most, so a leak holds one piece unchanged, shifted by d words at most, and looking
+up the pieces completes the candidates, for sizes that reach no ``RECALL`` in ``MOST_REPEATS`` too.
+A candidate is dropped early only when the stretch
 around it has fewer of the benchmark's word pairs, then of the item's own, than d edits leave (each
 undoes two pairs at most); this loses nothing. The others are confirmed by the exact edit distance
 of the item to the stretch (bit-parallel approximate matching).
@@ -27,6 +35,7 @@ carried or ignored.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,10 +47,16 @@ from ledgerlake.llm.common import column, map_batches, materialize, pieces, spli
 
 SIMILARITY = 0.8
 LEAST_WORDS = 5  # shorter items drop only the texts that hold nothing else
-BITS = 3
-MOST_PLACES = 1 << 20  # candidate places judged at a time
+RECALL = 0.97
+WINDOWS = 4  # of an item, spread evenly
+SIZES = tuple(sorted({int(1.25**k + 1) for k in range(1, 42)}))  # words of a window
+BITS = 3  # steps sampled for a key; of windows of 128 and more words 2
+REACH = 1.3  # steps of a walk for each word; a walk of 2 would end all strings in padding
+MOST_REPEATS = 64
+TRIED = 150  # edited copies of a size that the recall is measured on
+MOST_PLACES = 1 << 18  # candidate places judged at a time
 BLOCK_WORDS = 1_000_000
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20
 
 _WORD_BYTES = np.array(
     [b | 0x20 if 0x41 <= b <= 0x5A else b if chr(b).isalnum() or b >= 0x80 else 0x20 for b in range(256)],
@@ -118,16 +133,15 @@ def _mix(step: np.ndarray, symbol: np.ndarray) -> np.ndarray:
 
 
 def sampled_steps(size: int, repeat: int) -> np.ndarray:
-    """The ``BITS`` steps of a walk over ``size`` words that key repetition ``repeat``. About 1.5
-    size steps consume a string; later ones are mostly padding and aren't sampled."""
-    order = _mix(np.full(size, repeat + 1_000_003 * size, np.uint64), np.arange(size, dtype=np.uint64))
-    return np.sort(np.argsort(order, kind="stable")[:BITS])
+    """The steps of a walk over ``size`` words that key repetition ``repeat``."""
+    steps = int(REACH * size)
+    order = _mix(np.full(steps, repeat + 1_000_003 * size, np.uint64), np.arange(steps, dtype=np.uint64))
+    return np.sort(np.argsort(order, kind="stable")[: BITS if size < 128 else BITS - 1])
 
 
 def cgk_keys(words: np.ndarray, starts: np.ndarray, size: int, repeat: int, last: np.ndarray) -> np.ndarray:
     """Keys of repetition ``repeat`` for the windows of ``size`` words at ``starts``; positions
-    from ``last`` on (each window's end of text) read as padding. A CGK walk: edited copies meet in
-    some repetition with high probability only, so the search does not rely on it."""
+    from ``last`` on (each window's end of text) read as padding."""
     steps = sampled_steps(size, repeat)
     pointer = starts.copy()
     ends = np.minimum(starts + size, last)
@@ -146,8 +160,45 @@ def piece_bounds(n: int, edits: int) -> list[int]:
     return [i * n // (edits + 1) for i in range(edits + 2)]
 
 
+def window_size(n: int) -> int:
+    """Words of the windows of an item of ``n`` words: about half."""
+    return max((s for s in SIZES if s <= n / 2), default=1)
+
+
+def spread_windows(n: int, size: int) -> np.ndarray:
+    return np.unique(np.arange(WINDOWS) * (n - size) // (WINDOWS - 1))
+
+
+def _edited(rng: np.random.Generator, words: np.ndarray, edits: int, spread: bool) -> np.ndarray:
+    """A copy with ``edits`` words replaced, left out or put in, spread or in one place."""
+    first = int(rng.integers(0, len(words) - edits + 1))
+    spots = rng.choice(len(words), edits, replace=False) if spread else np.arange(first, first + edits)
+    kinds = dict(zip(spots.tolist(), rng.integers(0, 3, edits).tolist()))
+    copy: list[int] = []
+    for at, word in enumerate(words.tolist()):
+        kind = kinds.get(at)
+        copy += {None: [word], 0: [0], 1: [0, word], 2: []}[kind]
+    return np.array(copy, np.int64)
+
+
+def _meet(starts, own, keys, items, offsets) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(start, item, offset) wherever a key of ``own`` is among the sorted ``keys``, some at a time."""
+    lo, hi = np.searchsorted(keys, own, "left"), np.searchsorted(keys, own, "right")
+    hit = hi > lo
+    starts, lo, many = starts[hit], lo[hit], (hi - lo)[hit]
+    upto = np.cumsum(many)
+    at = 0
+    while at < len(starts):
+        before = upto[at - 1] if at else 0
+        stop = max(at + 1, int(np.searchsorted(upto, before + MOST_PLACES, side="right")))
+        n = many[at:stop]
+        which = np.repeat(lo[at:stop] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        yield np.repeat(starts[at:stop], n), items[which], offsets[which]
+        at = stop
+
+
 class Index:
-    """Pieces and word pairs of a block of benchmark items."""
+    """Embedded windows, pieces and word pairs of a block of benchmark items."""
 
     def __init__(self, items: list[tuple], similarity: float = SIMILARITY):
         flat, counts = plain_words(pa.array([text for _, text in items], pa.string()))
@@ -164,6 +215,14 @@ class Index:
         self.allowed = np.array([edits_allowed(len(w), similarity) for w in self.words], np.int64)
         self.own_pairs = [w[:-1] << 32 | w[1:] for w in self.words]
         self.pairs = np.unique(np.concatenate(self.own_pairs)) if self.words else np.zeros(0, np.int64)
+        # for each size of windows: keys in order, items and offsets of every repetition
+        self.walks: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
+        self.repeats: dict[int, tuple[int, float]] = {}  # by size: how many, and the recall measured
+        by_size: dict[int, list[int]] = {}
+        for i, w in enumerate(self.words):
+            by_size.setdefault(window_size(len(w)), []).append(i)
+        for size, own in sorted(by_size.items()):
+            self._embed(size, np.array(own))
         held: dict[int, list[tuple[int, int]]] = {}
         for i, w in enumerate(self.words):
             bounds = piece_bounds(len(w), int(self.allowed[i]))
@@ -179,6 +238,36 @@ class Index:
             order = np.argsort(keys, kind="stable")
             self.pieces[length] = (keys[order], item[order], offset[order])
 
+    def _embed(self, size: int, own: np.ndarray) -> None:
+        """Embed the windows of the items ``own``, as often as the measured recall asks for."""
+        joined = np.concatenate([self.words[i] for i in own])
+        first = np.cumsum(self.lens[own]) - self.lens[own]
+        spread = [spread_windows(int(n), size) for n in self.lens[own]]
+        many = np.array([len(s) for s in spread])
+        item, offset, begin = np.repeat(own, many), np.concatenate(spread), np.repeat(first, many)
+        last = np.repeat(first + self.lens[own], many)
+        rng = np.random.default_rng(size)
+        tried = [own[k] for k in rng.integers(0, len(own), TRIED) if self.allowed[own[k]]]
+        copies = [_edited(rng, self.words[i], int(self.allowed[i]), k % 2 == 0) for k, i in enumerate(tried)]
+        missed = np.ones(len(copies), bool)
+        text = np.concatenate(copies) if copies else joined[:0]
+        ends = np.cumsum([len(c) for c in copies], dtype=np.int64)
+        of = np.repeat(np.arange(len(copies)), [len(c) for c in copies])
+        tables = self.walks.setdefault(size, [])
+        more = MOST_REPEATS
+        while len(tables) < more:
+            keys = cgk_keys(joined, begin + offset, size, len(tables), last)
+            order = np.argsort(keys, kind="stable")
+            if len(copies):
+                seen = cgk_keys(text, np.arange(len(text)), size, len(tables), ends[of])
+                for c in np.flatnonzero(missed):
+                    missed[c] = not np.isin(keys[item == tried[c]], seen[of == c]).any()
+            tables.append((keys[order], item[order], offset[order]))
+            if more == MOST_REPEATS and (not len(copies) or missed.mean() <= 1 - RECALL):
+                # twice as many, since the sample that says when to stop is among those it judges
+                more = min(2 * len(tables), MOST_REPEATS - 1) if len(copies) else 0
+        self.repeats[size] = (len(tables), 1 - float(missed.mean()) if len(copies) else 1.0)
+
     @staticmethod
     def _keys(words: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
         """Hashes of the stretches of ``length`` words at ``starts``."""
@@ -195,19 +284,20 @@ class Index:
                 starts = np.flatnonzero(words)
             else:
                 starts = np.flatnonzero(cut[length - 1 :] - cut[: 1 - length] == length - 1)
-            own = self._keys(words, starts, length)
-            lo, hi = np.searchsorted(keys, own, "left"), np.searchsorted(keys, own, "right")
-            hit = hi > lo
-            starts, lo, many = starts[hit], lo[hit], (hi - lo)[hit]
-            upto = np.cumsum(many)
-            at = 0
-            while at < len(starts):
-                before = upto[at - 1] if at else 0
-                stop = max(at + 1, int(np.searchsorted(upto, before + MOST_PLACES, side="right")))
-                n = many[at:stop]
-                which = np.repeat(lo[at:stop] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-                yield np.repeat(starts[at:stop], n), items[which], offsets[which]
-                at = stop
+            yield from _meet(starts, self._keys(words, starts, length), keys, items, offsets)
+
+    def _walked(self, words: np.ndarray, cut: np.ndarray, row_end: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(position, item, offset) of every window whose key meets an item's, some at a time; only of
+        windows half of whose word pairs, at least, occur in the benchmark."""
+        for size, tables in self.walks.items():
+            if size == 1:
+                starts = np.flatnonzero(words)
+            else:
+                upto = np.minimum(np.arange(len(words)) + size - 1, len(words) - 1)
+                starts = np.flatnonzero((cut[upto] - cut[: len(words)]) * 2 >= size - 1)
+            last = row_end[np.searchsorted(row_end, starts, side="right")]
+            for repeat, table in enumerate(tables):
+                yield from _meet(starts, cgk_keys(words, starts, size, repeat, last), *table)
 
     def leaked_rows(self, texts: pa.Array) -> list[int]:
         """Rows to drop."""
@@ -232,7 +322,7 @@ class Index:
         known[row_end[(row_end > 0) & (row_end < len(words))] - 1] = False
         cut = np.r_[0, np.cumsum(known)]
         found = [np.zeros((0, 4), np.int64)]
-        for place, item, offset in self._places(words, cut):
+        for place, item, offset in chain(self._walked(words, cut, row_end), self._places(words, cut)):
             row = np.searchsorted(row_end, place, side="right")
             n, d = self.lens[item], self.allowed[item]
             lo = np.maximum(begin[row], place - offset - d)
