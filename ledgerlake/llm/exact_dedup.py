@@ -7,11 +7,12 @@ that repeats. A round counts rows by (group, digit); rows alone with their digit
 leave, groups whose text has ended (all have the same length) are settled as copies, all others go
 on with their remaining bytes. Equality is decided by the bytes themselves: no digest is computed.
 
-At scale: only what is still in doubt is moved. Counts are combined by each task before they are
-shuffled, so a third of all rows with one text is one row for each task; the join that gives rows
-their new group is broadcast only where the counts are measured to be small, else a sort-merge join
-whose hot digits are split by adaptive execution. Every round is a table in the shared folder, and the
-bytes it read are deleted when it is committed.
+At scale: a text is moved once, in the first round, and after that only bytes still in doubt are.
+Counts are combined by each task before they are shuffled, so a third of all rows with one text is
+one row for each task; the join that gives rows their new group is a sort-merge join at every size
+(the plan measured on little data is the one that runs on much), whose hot digits adaptive execution
+splits. Every round is a table in the shared folder, and the bytes it read are deleted when it is
+committed.
 
 Cases: null texts count as empty and equal each other and empty ones; upper-case A-Z equal lower-case
 ones, no other letters are folded; of equal texts the row with the largest id stays (a null id is
@@ -44,9 +45,9 @@ def _split(rows: DataFrame, by: list[str], width: int, name: str) -> DataFrame:
     ``copies`` of those that share their digit, and ``rest`` only of those still in doubt."""
     digit = rows.withColumn("digit", F.substring("rest", 1, width))
     counts = digit.groupBy(*by, "digit").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
-    # written, so that group numbers are fixed and the join knows its size
+    # written, so that group numbers are fixed
     groups = materialize(counts.withColumn("next", F.monotonically_increasing_id()), f"{name}-groups")
-    joined = digit.join(groups, [*by, "digit"], "left")
+    joined = digit.join(groups.hint("merge"), [*by, "digit"], "left")
     doubt = F.col("next").isNotNull() & (F.octet_length("rest") > width)
     return joined.select(
         "doc", "id", "size", F.col("next").alias("grp"), "copies",
