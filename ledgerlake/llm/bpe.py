@@ -33,9 +33,9 @@ from ledgerlake.llm.common import map_batches, pieces, ragged, split_lists, work
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 # --- end of fixed value ----------------------------------------------------------------------
 SPACES = r"\s\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
-PIECE_BYTES = 8 << 20  # text encoded at a time
-CACHE_UNITS = 300_000  # cuts whose ids a worker remembers; forgotten all at once beyond
-DECODED_IDS = 1 << 20  # ids turned into bytes at a time
+PIECE_BYTES = 2 << 20  # text encoded at a time
+CACHE_UNITS = 200_000  # cuts whose ids a worker remembers; forgotten all at once beyond
+DECODED_IDS = 1 << 18  # ids turned into bytes at a time
 MARK = "\x1f"  # put before cuts; a text that has one itself goes the longer way
 
 

@@ -46,7 +46,7 @@ def free_prefix(columns: Iterable[str], start: str = "_") -> str:
     return start
 
 
-BATCH_BYTES = "16m"  # of the Arrow batches that go to Python and of the copies made of them
+BATCH_BYTES = "4m"  # of the Arrow batches that go to Python and of the copies made of them
 
 
 def map_batches(df: DataFrame, run, schema) -> DataFrame:
