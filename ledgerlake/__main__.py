@@ -58,7 +58,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         print(" ".join(f"{m}={n}" for m, n in rows.items()))
     elif args.job == "silver":
         result = silver.build_silver(
-            spark, house.bronze, house.silver, house.quarantine, args.months, CLAIMS
+            spark, house.bronze, house.silver, house.quarantine, args.months, CLAIMS, codes=house.codes
         )
         print(
             f"bronze={result.rows['bronze']} silver={result.rows['silver']} "
@@ -80,7 +80,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         results = gold.build_gold(
             spark, house.silver, house.labels, house.gold(gold.SERVICE_MART),
             house.gold(gold.REGION_MART), CLAIMS, fail_on_error=not args.warn_only,
-            months=args.months or None,
+            months=args.months or None, codes=house.codes,
         )
         for r in results:
             print(f"{r.severity:5s} {r.name}: {r.rows}")

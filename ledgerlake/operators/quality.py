@@ -115,10 +115,31 @@ def code_counts(silver: DataFrame, contract: Contract) -> DataFrame:
     )
 
 
+def monthly_code_counts(silver: DataFrame, contract: Contract) -> DataFrame:
+    """``code_counts`` of each stored month: (code_column, code, lignes, month). The counts of some
+    months add up to those of all (``merged_code_counts``)."""
+    codes = [(spec.name, spec.source) for spec in contract.code_specs]
+    narrow = silver.select(PARTITION_COLUMN, *[F.col(name).alias(source) for name, source in codes])
+    return (
+        narrow.unpivot(PARTITION_COLUMN, [source for _, source in codes], "code_column", "code")
+        .where(F.col("code").isNotNull())
+        .groupBy("code_column", "code", PARTITION_COLUMN)
+        .agg(F.count(F.lit(1)).cast("bigint").alias("lignes"))
+        .select("code_column", "code", "lignes", PARTITION_COLUMN)
+    )
+
+
+def merged_code_counts(monthly: DataFrame) -> DataFrame:
+    return monthly.groupBy("code_column", "code").agg(F.sum("lignes").cast("bigint").alias("lignes"))
+
+
+def without_label(counts: DataFrame, labels: DataFrame) -> DataFrame:
+    return counts.join(labels.select("code_column", "code"), ["code_column", "code"], "left_anti")
+
+
 def missing_labels(silver: DataFrame, labels: DataFrame, contract: Contract) -> DataFrame:
     """Codes present in silver (all months) without a label: (code_column, code, lignes)."""
-    keys = labels.select("code_column", "code")
-    return code_counts(silver, contract).join(keys, ["code_column", "code"], "left_anti")
+    return without_label(code_counts(silver, contract), labels)
 
 
 def label_coverage(silver: DataFrame, labels: DataFrame, contract: Contract) -> DataFrame:

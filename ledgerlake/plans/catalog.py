@@ -38,7 +38,7 @@ from ledgerlake.plans.labels import write_labels
 from ledgerlake.plans.layout import LABELS_SCHEMA, Lakehouse
 from ledgerlake.session import configure, work_path
 from ledgerlake.sinks.partitions import overwrite_month, overwrite_months, overwrite_table
-from ledgerlake.sources import fixture, monthly_files
+from ledgerlake.sources import fixture, month_pointer, monthly_files
 from ledgerlake.sources import labels as label_sources
 from ledgerlake.sources.tables import TableRef, read_month
 
@@ -81,7 +81,9 @@ def fixture_lakehouse(spark: SparkSession, sf_dir: str) -> Lakehouse:
             PARTITION_COLUMN
         ).parquet(bronze.path)
         months = _months(bronze.read(spark))
-        silver_plan.build_silver(spark, bronze, house.silver, house.quarantine, months, C)
+        silver_plan.build_silver(
+            spark, bronze, house.silver, house.quarantine, months, C, codes=house.codes
+        )
         _FIXTURE_HOUSES[key] = house
     return _FIXTURE_HOUSES[key]
 
@@ -110,7 +112,7 @@ def _build_gold(
 ) -> list[gold_plan.CheckResult]:
     return gold_plan.build_gold(
         spark, source.silver, source.labels, target.gold(gold_plan.SERVICE_MART),
-        target.gold(gold_plan.REGION_MART), C, fail_on_error=False, months=months,
+        target.gold(gold_plan.REGION_MART), C, fail_on_error=False, months=months, codes=source.codes,
     )
 
 
@@ -706,6 +708,39 @@ def gold_month_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, marts)
 
 
+def gold_month_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The label audit of a run over the latest month only: codes of all months without a label, and
+    how many the run reported."""
+    house = gold_lakehouse(spark, sf_dir)
+    target = Lakehouse(work_path(spark, "audited"), C)
+    latest = max(house.silver.months(spark))
+    results = _build_gold(spark, house, target, [latest])
+    reported = next(r.rows for r in results if r.name == "missing_labels")
+    counts = gold_plan.code_counts(spark, house.silver, house.codes, C)
+    found = quality.without_label(counts, house.labels.read(spark))
+    return found.withColumn("reported", F.lit(reported).cast("bigint"))
+
+
+def month_swap_atomic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What readers see of the latest month while it is replaced by twice its rows: after the first
+    load, after a job that died before its commit, and after one that did commit."""
+    configure(spark)
+    table = TableRef(path=work_path(spark, "bronze_swap"), schema=C.bronze_schema())
+    df = _bronze(spark, sf_dir)
+    months = _months(df)
+    overwrite_months(df, table, months)
+    latest = months[-1]
+    month_rows = df.where(F.col(PARTITION_COLUMN) == latest)
+    twice = month_rows.unionByName(month_rows)
+    loaded = quality.rows_per_month(table.read(spark))
+    table.add_version(twice, month_pointer.new_version())  # written whole, but never shown
+    died = quality.rows_per_month(table.read(spark))
+    overwrite_month(twice, table, latest)
+    shown = quality.rows_per_month(table.read(spark))
+    steps = [("1 loaded", loaded), ("2 died", died), ("3 replaced", shown)]
+    return reduce(DataFrame.unionByName, (rows.withColumn("step", F.lit(step)) for step, rows in steps))
+
+
 def gold_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every check of the full gold build with its severity and its number of offending rows."""
     results = _gold(spark, sf_dir)[1]
@@ -785,4 +820,6 @@ QUERIES: dict[str, Query] = {
     "gold_build_region": gold_build_region,
     "gold_month_rebuild": gold_month_rebuild,
     "gold_checks": gold_checks,
+    "gold_month_audit": gold_month_audit,
+    "month_swap_atomic": month_swap_atomic,
 }

@@ -342,6 +342,9 @@ ORACLE_SQL: dict[str, str] = {
     "partition_overwrite_isolated": _with(_BASE)
     + f"SELECT _year_month, count(*) * (CASE WHEN _year_month = {_LAST_MONTH} THEN 2 ELSE 1 END) AS lignes "
     "FROM fx GROUP BY _year_month",
+    "month_swap_atomic": _with(_BASE)
+    + f"""SELECT _year_month, count(*) * (CASE WHEN step = '3 replaced' AND _year_month = {_LAST_MONTH} THEN 2 ELSE 1 END)
+  AS lignes, step FROM fx, (VALUES ('1 loaded'), ('2 died'), ('3 replaced')) AS s(step) GROUP BY _year_month, step""",
     "quarantine_cleared": _ALL
     + f"SELECT _year_month, count(*) AS lignes FROM rejected WHERE _year_month <> {_LAST_MONTH} GROUP BY _year_month",
     "write_row_metrics": _ALL
@@ -394,6 +397,9 @@ FROM (
     "missing_labels": _with(_BASE, _TYPED, _LABELS, _CODE_COUNTS)
     + "SELECT c.code_column, c.code, c.lignes FROM codes c LEFT JOIN dim d "
     "ON d.code_column = c.code_column AND d.code = c.code WHERE d.code IS NULL",
+    "gold_month_audit": _with(_BASE, _TYPED, _LABELS, _CODE_COUNTS)
+    + "SELECT c.code_column, c.code, c.lignes, count(*) OVER () AS reported FROM codes c LEFT JOIN dim d "
+    "ON d.code_column = c.code_column AND d.code = c.code WHERE d.code IS NULL",
     "stg_spend": _ALL
     + "SELECT mois_traitement, nature_prestation, region_residence_beneficiaire, montant_depense, "
     "base_remboursement, montant_rembourse, montant_depassement FROM silver",

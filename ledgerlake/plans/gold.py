@@ -3,11 +3,13 @@
 A mart has one row for each (processing month, code), months and codes being NULL included, and is
 stored by processing month; rows without one are in the partition ``gold.UNKNOWN_MONTH``. Silver rows
 of a month are in the silver partition of that month, but rows without a processing month may be in
-any: a rebuild of some months therefore rebuilds the unknown partition from all of silver, so that it
-gives what a full build gives.
+any: a rebuild of some months therefore rebuilds the unknown partition too, from the months that hold
+such rows, so that it gives what a full build gives. Silver's pointer tells which ones do: no file of
+another month is opened.
 
-Silver is scanned three times: for both marts at once (grouping sets), for the checks' own totals and
-NULL counts, and for the label audit.
+The label audit covers all months in every run: rows by code are counted and kept month by month by the
+silver job, and added up here. Silver itself is scanned twice: for both marts at once (grouping sets),
+and for the checks' own totals and NULL counts.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from pyspark.sql import functions as F
 from ledgerlake.contract import Contract
 from ledgerlake.operators import gold, quality
 from ledgerlake.operators.quality import ERROR, WARN, NotNull
+from ledgerlake.plans.silver import NO_MONTH
 from ledgerlake.session import work_path
 from ledgerlake.sinks.partitions import overwrite_months, overwrite_partitioned_table
 from ledgerlake.sources.monthly_files import checked_months
@@ -55,7 +58,7 @@ def checks(
     service: DataFrame,
     region: DataFrame,
     labels: DataFrame,
-    silver: DataFrame,
+    code_counts: DataFrame,
     contract: Contract,
 ) -> dict[str, tuple[str, DataFrame]]:
     """Every data check as (severity, offending rows)."""
@@ -82,7 +85,7 @@ def checks(
         "unique_labels": (ERROR, quality.unique_grain(labels, ["code_column", "code"])),
         "unique_service": (ERROR, quality.unique_grain(service, [month, contract.service])),
         "unique_region": (ERROR, quality.unique_grain(region, [month, contract.region])),
-        "missing_labels": (WARN, quality.missing_labels(silver, labels, contract)),
+        "missing_labels": (WARN, quality.without_label(code_counts, labels)),
     }
     for mart_name, mart in ((SERVICE_MART, service), (REGION_MART, region)):
         out[f"totals_{mart_name}"] = (
@@ -92,6 +95,21 @@ def checks(
     return out
 
 
+def code_counts(spark: SparkSession, silver: TableRef, codes: TableRef, contract: Contract) -> DataFrame:
+    """Rows by code of all of silver, from the counts kept for each month. A month whose counts are
+    absent, or were made from another version of it, is counted now."""
+    shown, kept = silver.months(spark), codes.months(spark) or {}
+    if shown is None:
+        return quality.code_counts(silver.read(spark), contract)
+    fresh = [m for m in shown if kept.get(m, {}).get("made_from") == shown[m]["version"]]
+    stale = [m for m in shown if m not in fresh]
+    counts = codes.read(spark, fresh) if fresh else None
+    if stale or counts is None:
+        now = quality.monthly_code_counts(silver.read(spark, stale), contract)
+        counts = now if counts is None else counts.unionByName(now)
+    return quality.merged_code_counts(counts)
+
+
 def _written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """A small result kept under the shared folder, so that what follows reads it, not silver."""
     path = work_path(spark, name)
@@ -108,13 +126,15 @@ def build_gold(
     contract: Contract,
     fail_on_error: bool = True,
     months: list[str] | None = None,
+    codes: TableRef | None = None,
 ) -> list[CheckResult]:
     """Write both marts, then run every check on what was written.
 
     Without ``months`` every month is rebuilt; with ``months`` only those silver partitions are read
-    (and the few rows without a processing month, which Parquet statistics find), and only those
-    mart partitions replaced, so a monthly run costs one month, not the whole history. Checks then
-    cover the rebuilt months, the label audit included (a full build audits every month).
+    (and those that hold rows without a processing month), and only those mart partitions replaced,
+    so a monthly run costs one month, not the whole history. Checks then cover the rebuilt months.
+    ``codes``: the rows by code kept by the silver job; with it the label audit covers every month in
+    any run, without it the months that are read.
 
     Errors raise DataTestError after all checks ran (unless ``fail_on_error`` is False);
     warnings are returned with the other results.
@@ -123,10 +143,14 @@ def build_gold(
     if months:
         months = checked_months(months)
         month = F.col(contract.processing_month)
+        shown = silver.months(spark)
+        if shown is not None:
+            silver_df = silver.read(spark, [m for m in shown if shown[m].get(NO_MONTH, 1)])
         silver_df = (
             read_months(spark, silver, months).where(month.isNotNull())
             .unionByName(silver_df.where(month.isNull()))
         )
+    counts = code_counts(spark, silver, codes, contract) if codes else quality.code_counts(silver_df, contract)
     labels_df = labels.read(spark)
     staging = gold.staging_spend(silver_df, contract)
     spend = _written(spark, gold.monthly_spend_by_each(staging, contract), "gold-spend")
@@ -154,7 +178,7 @@ def build_gold(
         df.agg(F.count(F.lit(1)).alias("rows")).select(
             F.lit(name).alias("name"), F.lit(severity).alias("severity"), "rows"
         )
-        for name, (severity, df) in checks(summary, *stored, labels_df, silver_df, contract).items()
+        for name, (severity, df) in checks(summary, *stored, labels_df, counts, contract).items()
     ]
     # one job for every check: the scans run as concurrent stages, one round trip
     results = [

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from ledgerlake.contract import TECHNICAL_FIELDS, Contract
+from ledgerlake.contract import PARTITION_COLUMN, TECHNICAL_FIELDS, Contract
 from ledgerlake.operators.silver import REASONS_COLUMN
 from ledgerlake.sources.tables import TableRef
 
@@ -17,6 +17,12 @@ LABELS_SCHEMA = StructType(
 # --- end of fixed values -------------------------------------------------------------------
 
 
+CODES_SCHEMA = StructType(
+    [StructField("code_column", StringType()), StructField("code", StringType()),
+     StructField("lignes", LongType()), StructField(PARTITION_COLUMN, StringType())]
+)
+
+
 def quarantine_schema(contract: Contract) -> StructType:
     raw = [StructField(c, StringType()) for c in contract.raw_columns]
     technical = list(TECHNICAL_FIELDS)
@@ -30,7 +36,7 @@ def quarantine_schema(contract: Contract) -> StructType:
 
 @dataclass(frozen=True)
 class Lakehouse:
-    """The four tables of one contract under one base folder."""
+    """The tables of one contract under one base folder."""
 
     base: str
     contract: Contract
@@ -47,6 +53,11 @@ class Lakehouse:
     def silver(self) -> TableRef:
         return TableRef(path=f"{self.base}/silver", schema=self.contract.silver_schema())
 
+    @property
+    def codes(self) -> TableRef:
+        """Rows of silver by month and code."""
+        return TableRef(path=f"{self.base}/silver_codes", schema=CODES_SCHEMA)
+
     @property
     def quarantine(self) -> TableRef:
         return TableRef(path=f"{self.base}/quarantine", schema=quarantine_schema(self.contract))

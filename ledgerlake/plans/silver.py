@@ -7,7 +7,10 @@ Jobs, for any number of months at once:
 3. rejected rows (original text + reasons) written: only the months the silver pass saw rejects
    in are scanned again; the other requested months are emptied without reading bronze;
 4. silver and quarantine re-read from disk and reconciled with bronze per month, to the cent;
-5. reasons histogram of the quarantine (only if something was rejected).
+5. reasons histogram of the quarantine (only if something was rejected);
+6. rows by code of each month, kept beside silver for the label audit (only where asked for).
+
+Silver's pointer keeps, for each month, how many rows have no processing month.
 """
 
 from __future__ import annotations
@@ -19,13 +22,16 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.contract import PARTITION_COLUMN, Contract
-from ledgerlake.operators import reconcile
+from ledgerlake.operators import quality, reconcile
 from ledgerlake.operators.silver import raw_amount, rejected_rows, valid_rows, with_reasons
 from ledgerlake.sinks.partitions import overwrite_months
 from ledgerlake.sources.monthly_files import checked_months
 from ledgerlake.sources.tables import TableRef, read_months
 
 
+NO_MONTH = "null_months"  # rows without processing month, in a month's facts
+
+
 @dataclass(frozen=True)
 class SilverResult:
     """Rows and amounts by layer (``reconcile.LAYERS``), and rows by rejection reason."""
@@ -48,9 +54,12 @@ def build_silver(
     months: list[str],
     contract: Contract,
     sort_within: tuple[str, ...] | None = None,
+    codes: TableRef | None = None,
 ) -> SilverResult:
     """Build silver and quarantine for ``months`` (see module docstring).
 
+    ``codes``: where the rows by code of every month are kept (``Lakehouse.codes``).
+
     ``sort_within``: silver columns to sort each write task by (no shuffle) so that Parquet
     row-group min/max statistics become selective for them, e.g. (service, region) for readers
     filtering on a service or a region. Costs a per-task sort; off by default.
@@ -71,7 +80,7 @@ def build_silver(
     valid = valid_rows(checked, contract)
     if sort_within:
         valid = valid.sortWithinPartitions(PARTITION_COLUMN, *sort_within)
-    overwrite_months(valid, silver, months)
+    overwrite_months(valid, silver, months, facts={NO_MONTH: F.col(contract.processing_month).isNull()})
     # the silver pass observed which months hold rejects: only those are scanned again for the
     # quarantine; the others are emptied without reading bronze (no reject at all: no scan)
     with_rejects = sorted(checked_obs.get["months_rejected"] or [])
@@ -101,9 +110,22 @@ def build_silver(
     if rows["quarantine"]:
         counted = reconcile.reason_counts(refused).collect()
         reasons = tuple((r["motif"], int(r["lignes"])) for r in counted)
+    if codes is not None:
+        keep_code_counts(spark, silver, codes, months, contract)
     return SilverResult(tuple(months), rows, amounts, reasons)
 
 
+def keep_code_counts(
+    spark: SparkSession, silver: TableRef, codes: TableRef, months: list[str], contract: Contract
+) -> None:
+    """Store the rows by code of these months, each marked with the version of the month it counts."""
+    shown = silver.months(spark) or {}
+    counts = quality.monthly_code_counts(read_months(spark, silver, months), contract)
+    made_from = {m: shown[m]["version"] for m in months if m in shown}
+    # few rows for each month
+    overwrite_months(counts.repartition(PARTITION_COLUMN), codes, months, made_from=made_from)
+
+
 def build_silver_month(
     spark: SparkSession,
     bronze: TableRef,

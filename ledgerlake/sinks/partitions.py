@@ -3,18 +3,16 @@
 Rows have no key, so a month is always *replaced*, never merged: re-running a month replaces its
 rows, and an empty input empties the month.
 
-* Rows are written with a dynamic partition overwrite: each month that receives rows is replaced
-  when the job commits (a job that fails before leaves the previous data as it was);
-* a row of a month that was not asked for fails the job, before anything is committed;
-* a requested month that received no row is then emptied by an empty write to its own partition
-  folder, one small job per such month, bounded by the months requested;
-* rows written are counted per month with an Observation during the write, never by re-reading;
+* Rows are written into a new version folder; one renamed pointer file then shows all months of
+  the write at once (``sources.month_pointer``). Whenever a job dies, every month is as before or as
+  after, and a month that received no row is one that the new pointer does not name;
+* a row of a month that was not asked for fails the job, before anything is shown;
+* rows, and any facts asked for, are counted per month with an Observation during the write, never by
+  re-reading, and stored in the pointer;
 * each task keeps one writer open per month (up to ``OPEN_WRITERS``), so its rows need no sort.
 
-Limit: Parquet folders have no transaction log. At commit the old partition folders are deleted
-and the new ones moved in, one after the other, so a driver that dies within those moments can leave
-a month absent (a rerun restores it), and on object stores a move is a copy. A table format with a
-log would be needed for more.
+Catalog tables have no pointer: their months are replaced by dynamic partition overwrite, which moves
+folders one after the other at commit, and emptied by an empty insert for each.
 """
 
 from __future__ import annotations
@@ -23,10 +21,11 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.contract import PARTITION_COLUMN
+from ledgerlake.sources import month_pointer
 from ledgerlake.sources.tables import TableRef
 
 OPEN_WRITERS = 16  # months that a task writes side by side; with more, its rows are sorted
@@ -59,12 +58,7 @@ def overwrite_month(df: DataFrame, table: TableRef, year_month: str) -> int:
 
 
 def _clear_month(df: DataFrame, table: TableRef, year_month: str) -> None:
-    """Empty one month: an empty write to the month's own folder or partition."""
-    if not table.is_catalog:
-        df.limit(0).drop(PARTITION_COLUMN).write.mode("overwrite").parquet(
-            table.partition_path(year_month)
-        )
-        return
+    """Empty one month of a catalog table by an empty insert."""
     view = f"_ledgerlake_month_{year_month}"
     nothing = df.limit(0).drop(PARTITION_COLUMN)
     nothing.createOrReplaceTempView(view)
@@ -76,10 +70,19 @@ def _clear_month(df: DataFrame, table: TableRef, year_month: str) -> None:
     df.sparkSession.catalog.dropTempView(view)
 
 
-def overwrite_months(df: DataFrame, table: TableRef, months: list[str]) -> WriteResult:
+def overwrite_months(
+    df: DataFrame,
+    table: TableRef,
+    months: list[str],
+    facts: dict[str, Column] | None = None,
+    made_from: dict[str, str] | None = None,
+) -> WriteResult:
     """Replace every month of ``months`` with the rows of ``df`` in one job; other months are not
-    touched, and a row of another month (or of none) fails the write."""
-    spark, months = df.sparkSession, sorted(set(months))
+    touched, and a row of another month (or of none) fails the write. ``facts``: conditions whose
+    rows are counted for each month and kept with it (``TableRef.months``), as is ``made_from``, the
+    version of each month in the table that the rows were made from."""
+    spark, months, facts = df.sparkSession, sorted(set(months)), facts or {}
+    made_from = made_from or {}
     month = F.col(PARTITION_COLUMN)
     stray = F.concat(F.lit("row of a month that is not written: "), F.coalesce(month, F.lit("none")))
     checked = df.withColumn(
@@ -90,18 +93,30 @@ def overwrite_months(df: DataFrame, table: TableRef, months: list[str]) -> Write
         seen,
         F.count(F.lit(1)).alias("rows"),
         *(F.count_if(month == m).alias(f"m{k}") for k, m in enumerate(months)),
-    )
+        *(
+            F.count_if((month == m) & fact).alias(f"m{k}_{name}")
+            for k, m in enumerate(months) for name, fact in facts.items()
+        ),
+    )
+    version = month_pointer.new_version()
     with _unsorted(spark):
-        if table.is_catalog and spark.catalog.tableExists(table.name):
-            writer = counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            writer.insertInto(table.name)
+        if table.is_catalog:
+            table.replace_months(counted)
         else:
-            writer = counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            table.save(writer.partitionBy(PARTITION_COLUMN).format("parquet"))
+            table.add_version(counted, version)
     result = seen.get
     by_month = {m: int(result[f"m{k}"]) for k, m in enumerate(months)}
-    for empty in (m for m, rows in by_month.items() if not rows):
-        _clear_month(checked, table, empty)
+    if table.is_catalog:
+        for empty in (m for m, rows in by_month.items() if not rows):
+            _clear_month(checked, table, empty)
+    else:
+        entries = {
+            m: {"version": version, "rows": by_month[m]}
+            | {name: int(result[f"m{k}_{name}"]) for name in facts}
+            | ({"made_from": made_from[m]} if m in made_from else {})
+            for k, m in enumerate(months)
+        }
+        month_pointer.swap(spark, table.path, {m: e if e["rows"] else None for m, e in entries.items()})
     written = tuple(m for m, rows in by_month.items() if rows)
     return WriteResult(rows=int(result["rows"]), months=written, by_month=by_month)
 
@@ -109,14 +124,23 @@ def overwrite_months(df: DataFrame, table: TableRef, months: list[str]) -> Write
 def overwrite_table(df: DataFrame, table: TableRef) -> int:
     """Replace a whole (small) table and return the rows written."""
     seen = Observation()
-    table.save(df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite"))
+    table.replace(df.observe(seen, F.count(F.lit(1)).alias("rows")))
     return int(seen.get["rows"])
 
 
 def overwrite_partitioned_table(df: DataFrame, table: TableRef) -> int:
-    """Replace a whole table, partitioned by month; returns the rows written."""
-    seen = Observation()
-    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    with _unsorted(df.sparkSession):
-        table.save(counted.write.mode("overwrite").partitionBy(PARTITION_COLUMN))
+    """Replace a whole table, partitioned by month; returns the rows written. Its months are few."""
+    spark, seen = df.sparkSession, Observation()
+    counted = df.observe(
+        seen, F.count(F.lit(1)).alias("rows"), F.collect_set(PARTITION_COLUMN).alias("months")
+    )
+    version = month_pointer.new_version()
+    with _unsorted(spark):
+        if table.is_catalog:
+            counted.write.mode("overwrite").format("parquet").partitionBy(PARTITION_COLUMN).saveAsTable(table.name)
+        else:
+            table.add_version(counted, version)
+    if not table.is_catalog:
+        shown = {m: {"version": version} for m in seen.get["months"] or []}
+        month_pointer.swap(spark, table.path, shown, whole=True)
     return int(seen.get["rows"])

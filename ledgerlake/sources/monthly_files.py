@@ -167,7 +167,9 @@ def _scan(spark: SparkSession, parts: list[_Part], wanted: list[str], spread: in
     lines = spark.read.text([p.path for p in parts]).select("value", place)
     marked = lines.join(F.broadcast(places), "_place").drop("_place")
     if spread and any(p.packed for p in parts):
-        marked = marked.repartition(spread)
+        # dealt by line number: the same line goes the same way when a task is run again, so that no
+        # rows need sorting for it (dealing them in turns would sort each file's lines first)
+        marked = marked.withColumn("_line", F.monotonically_increasing_id()).repartition(spread, "_line").drop("_line")
     named = [c or f"_unnamed{i}" for i, c in enumerate(parts[0].columns)]
     schema = ", ".join(f"`{c}` string" for c in named)
     fields = F.from_csv("value", F.lit(schema), {"sep": SEPARATOR, "mode": "PERMISSIVE"})

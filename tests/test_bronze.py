@@ -5,6 +5,7 @@ from __future__ import annotations
 import gzip
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlake.contract import PARTITION_COLUMN
 from ledgerlake.plans.bronze import ingest_month, ingest_months
@@ -97,9 +98,23 @@ def test_lines_of_one_file_are_parsed_by_several_tasks(spark, tmp_path, table):
     read = monthly_files.read_months(spark, str(tmp_path), ["202301"], LOADED_AT, columns=["A", "B", "C"], spread=4)
     assert len({r[0] for r in read.selectExpr("spark_partition_id()").distinct().collect()}) == 4
     assert load(spark, tmp_path, table, "202301", spread=4) == {"202301": 4000}
-    assert len(list((tmp_path / "bronze" / "_year_month=202301").glob("part-*.parquet"))) == 4
+    assert len(table.read(spark, ["202301"]).inputFiles()) == 4
     assert load(spark, tmp_path, table, "202301", spread=0) == {"202301": 4000}
-    assert len(list((tmp_path / "bronze" / "_year_month=202301").glob("part-*.parquet"))) == 1
+    assert len(table.read(spark, ["202301"]).inputFiles()) == 1
+
+
+def test_lines_are_dealt_by_number_and_not_sorted(spark, tmp_path):
+    put(tmp_path, "A202301.csv.gz", "A;B;C;", *(f"{k};{k % 5};x;" for k in range(4000)))
+    read = monthly_files.read_months(spark, str(tmp_path), ["202301"], LOADED_AT, columns=["A", "B", "C"], spread=4)
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    # dealing rows in turns (round robin) sorts every task's rows first, inside the exchange
+    assert "hashpartitioning(_line" in plan and "RoundRobin" not in plan and "Sort" not in plan
+    per_task = [r["count"] for r in read.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(per_task) == 4 and min(per_task) > 800
+    once, again = (
+        {(r["A"], r["p"]) for r in read.select("A", F.spark_partition_id().alias("p")).collect()} for _ in range(2)
+    )
+    assert once == again  # a task that is run again deals the same lines the same way
 
 
 def executed_plans(spark):

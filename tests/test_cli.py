@@ -16,9 +16,9 @@ def test_labels_needs_one_kind_of_input():
 
 
 def test_label_build_job(spark, tmp_path, capsys):
-    from ledgerlake.sources.claims_labels import label_map
+    from ledgerlake.sources.claims_labels import LABEL_MAP
 
-    for _, _, kind, place in label_map():
+    for _, _, kind, place in LABEL_MAP:
         (tmp_path / kind).mkdir(exist_ok=True)
         header = f"{place[1]};{place[2]}" if kind == "list" else "CODE;LABEL"
         (tmp_path / kind / f"{place[0]}.csv").write_text(f"{header}\n7;seven\n")
