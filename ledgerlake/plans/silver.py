@@ -10,7 +10,7 @@ Jobs, for any number of months at once:
 5. reasons histogram of the quarantine (only if something was rejected);
 6. rows by code of each month, kept beside silver for the label audit (only where asked for).
 
-Silver's pointer keeps, for each month, how many rows have no processing month.
+Silver's pointer keeps, for each month, whether rows without a processing month are in it.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from ledgerlake.sources.monthly_files import checked_months
 from ledgerlake.sources.tables import TableRef, read_months
 
 
-NO_MONTH = "null_months"  # rows without processing month, in a month's facts
+NO_MONTH = "null_months"  # a month's fact: it holds rows without a processing month
 
 
 @dataclass(frozen=True)

@@ -7,8 +7,8 @@ rows, and an empty input empties the month.
   the write at once (``sources.month_pointer``). Whenever a job dies, every month is as before or as
   after, and a month that received no row is one that the new pointer does not name;
 * a row of a month that was not asked for fails the job, before anything is shown;
-* rows, and any facts asked for, are counted per month with an Observation during the write, never by
-  re-reading, and stored in the pointer;
+* rows are counted, and any facts asked for found, per month with an Observation during the write, never
+  by re-reading, and stored in the pointer;
 * each task keeps one writer open per month (up to ``OPEN_WRITERS``), so its rows need no sort.
 
 Catalog tables have no pointer: their months are replaced by dynamic partition overwrite, which moves
@@ -78,8 +78,8 @@ def overwrite_months(
     made_from: dict[str, str] | None = None,
 ) -> WriteResult:
     """Replace every month of ``months`` with the rows of ``df`` in one job; other months are not
-    touched, and a row of another month (or of none) fails the write. ``facts``: conditions whose
-    rows are counted for each month and kept with it (``TableRef.months``), as is ``made_from``, the
+    touched, and a row of another month (or of none) fails the write. ``facts``: conditions; whether any
+    row of a month meets one is kept with the month (``TableRef.months``), as is ``made_from``, the
     version of each month in the table that the rows were made from."""
     spark, months, facts = df.sparkSession, sorted(set(months)), facts or {}
     made_from = made_from or {}
@@ -93,11 +93,8 @@ def overwrite_months(
         seen,
         F.count(F.lit(1)).alias("rows"),
         *(F.count_if(month == m).alias(f"m{k}") for k, m in enumerate(months)),
-        *(
-            F.count_if((month == m) & fact).alias(f"m{k}_{name}")
-            for k, m in enumerate(months) for name, fact in facts.items()
-        ),
-    )
+        *(F.collect_set(F.when(fact, month)).alias(f"with_{name}") for name, fact in facts.items()),
+    )
     version = month_pointer.new_version()
     with _unsorted(spark):
         if table.is_catalog:
@@ -112,9 +109,9 @@ def overwrite_months(
     else:
         entries = {
             m: {"version": version, "rows": by_month[m]}
-            | {name: int(result[f"m{k}_{name}"]) for name in facts}
+            | {name: m in (result[f"with_{name}"] or []) for name in facts}
             | ({"made_from": made_from[m]} if m in made_from else {})
-            for k, m in enumerate(months)
+            for m in months
         }
         month_pointer.swap(spark, table.path, {m: e if e["rows"] else None for m, e in entries.items()})
     written = tuple(m for m, rows in by_month.items() if rows)

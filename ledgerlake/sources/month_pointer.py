@@ -2,7 +2,7 @@
 
 A write puts its rows into a folder of its own (``_version=<id>/_year_month=<month>/``) that no reader
 looks at, then shows them by renaming one new pointer file into ``_months/``. The file with the
-highest number holds; it names the version of every month, with facts counted while the month was
+highest number holds; it names the version of every month, with facts found while the month was
 written. A job that dies before the rename leaves the old months, after it the new ones, never none.
 Two writers of one table that finish together take the next number in turn; of two writers of one
 month the later one's rows stay.

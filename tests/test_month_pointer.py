@@ -102,9 +102,12 @@ def test_facts_are_kept_by_month(spark, table):
 
     change = rows(spark, ("q", "202502"), (None, "202502"), (None, "202504"))
     overwrite_months(change, table, ["202502", "202503", "202504"], facts={"without_x": F.col("x").isNull()})
+    assert overwrite_months(rows(spark, ("q", "202505")), table, ["202505"], facts={"without_x": F.col("x").isNull()}).rows == 1
+    assert table.months(spark)["202505"]["without_x"] is False
+    overwrite_month(rows(spark), table, "202505")
     months = table.months(spark)
     assert {m: (e["rows"], e.get("without_x")) for m, e in months.items()} == {
-        "202501": (1, None), "202502": (2, 1), "202504": (1, 1),
+        "202501": (1, None), "202502": (2, True), "202504": (1, True),
     }
 
 
