@@ -7,6 +7,11 @@ decoding (digests of every document that is left).
 Extra columns are carried to the last stage but one. Rows without a ``doc_id`` are judged like any
 other, each by its own text; of the rows of a SimHash component one stays, that with the smallest
 ``doc_id`` (one without only where no row of the component has one).
+
+Cases: null and empty texts have no language of their own and are judged by declared language and
+host, no lines to cut, and fingerprint zero, so one of them stays; very long texts are read whole, in
+parts; rows that repeat are near copies of each other; an empty table gives an empty result; columns
+named like those that a stage adds are carried unharmed. ``documents`` must have ``n_chars``.
 """
 
 from __future__ import annotations
