@@ -1,6 +1,7 @@
 """Base rules against plain patterns, and the inferred formats."""
 
 import hashlib
+import math
 import random
 import re
 
@@ -69,6 +70,89 @@ def test_format_is_inferred(spark):
     assert not any("format" in got[i].spans for i, _ in other)
 
 
+RUN = r"[A-Za-z0-9+/_.=-]+"
+
+
+def plain_candidates(text):
+    """(start, end, value) outside the rules' matches."""
+    ruled = [tuple(map(int, s.split(":")[1:])) for s in plain_spans(text).split(",") if s]
+    for m in re.finditer(RUN, text or ""):
+        value = m.group().lstrip(".")
+        start = m.end() - len(value)
+        value = value.rstrip(".")
+        end = start + len(value)
+        if len(value) >= 6 and not any(a < end and start < b for a, b in ruled):
+            yield start, end, value
+
+
+def plain_formats(tables, pairs, text):
+    found = []
+    for start, end, value in plain_candidates(text):
+        chars = [0, *value.encode(), 0]
+        other = sum(pairs[x, y] for x, y in zip(chars, chars[1:]))
+        if re.fullmatch(r"[0-9+./-]+", value):
+            other = max(other, (len(value) + 1) * math.log(1 / 15))
+        ratio = max(op.automaton_score(t, value.encode()) for t in tables) - other
+        if ratio >= op.LEAST and ratio >= op.LEAST_EACH * len(value):
+            found.append(f"format:{start}:{end}")
+    return found
+
+
+def credential_texts(rng):
+    def key():
+        return "pk." + "".join(rng.choices("ABCDEFGHJK", k=5)) + "." + "".join(rng.choices("abcdef", k=6))
+
+    words = ["plain", "é", "sentence.", "...", "longer-word", "a/b/c", "x" * 1500, "www.page.org/index", "q=1", "ſ"]
+    texts = [" ".join([*rng.choices(words, k=5), f"token: {key()}", *rng.choices(words, k=3)]) for _ in range(200)]
+    texts += [" ".join([*rng.choices(words, k=6), key(), key() + ".", "end" + key()]) for _ in range(60)]
+    return [*texts, *TEXTS, "", None, "....", "." * 40, "abcdef", "abcdef.", key()]
+
+
+def test_every_candidate_is_found_and_scored(spark, monkeypatch):
+    texts = credential_texts(random.Random(6))
+    runs = []
+    for text in texts:
+        _, _, _, _, values = op._found(op.pa.array([text], op.pa.string()))
+        runs += [v.decode() for v in values.to_pylist()]
+        assert runs[len(runs) - len(values):] == [v for _, _, v in plain_candidates(text)]
+    assert {"abcdef", "sentence", "longer-word", "x" * 1500} <= set(runs)  # short, letters only, very long
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    tables, pairs = op.infer_formats(docs)
+    want = {i: plain_formats(tables, pairs, t) for i, t in enumerate(texts)}
+    assert sum(map(len, want.values())) >= 100  # letters only, parted by full stops
+    for piece in (200, 1 << 20):
+        monkeypatch.setattr(op, "PIECE_BYTES", piece)
+        got = {r.doc_id: [s for s in r.spans.split(",") if s.startswith("format")] for r in op.scan_secrets(docs).collect()}
+        assert got == want
+
+
+def test_sample_is_the_first_by_hash(spark):
+    values = [f"value{i}" for i in range(400)]
+    rows = [(f"token={v} other-{v}",) for v in values] * 3
+    first = lambda all_values: sorted(all_values, key=lambda v: (op.xxhash.xxh64_intdigest(v) >> 1, v))[:50]
+    docs = spark.createDataFrame(rows, "text string").repartition(5)
+    got = [list(op._first_values(50)(iter([op.pa.RecordBatch.from_pydict({"text": [r[0] for r in rows]})])))]
+    by_kind = {k: [r["value"] for r in got[0][0].to_pylist() if r["kind"] == k] for k in (0, 3)}
+    assert by_kind == {0: first(values), 3: first([f"other-{v}" for v in values])}
+    tables, _ = op.infer_formats(docs, sample=50)
+    assert tables[0] == op.Automaton([v.encode() for v in first(values)]).table
+
+
+def test_plain_numbers_are_not_credentials(spark):
+    rng = random.Random(9)
+
+    def digits(n, of="0123456789"):
+        return "".join(rng.choices(of, k=n))
+
+    rows = [f"secret = {digits(20, '0123456789ABCDEF')} is kept" for _ in range(300)]
+    clean = [f"card {digits(16)} call 555-{digits(4)} from 10.{digits(3)}.{digits(2)}.7 on 2020-01-{digits(2)}" for _ in range(300)]
+    bare = [f"only {digits(20, '0123456789ABCDEF')} here" for _ in range(100)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(rows + clean + bare)], "doc_id bigint, text string")
+    got = {r.doc_id: r.spans for r in op.scan_secrets(docs).collect()}
+    assert not any("format" in got[i] for i in range(300, 600))
+    assert sum("format:5:25" in got[i] for i in range(600, 700)) >= 95
+
+
 def test_automaton_merges_and_ranks():
     rng = random.Random(1)
     strings = ["id" + "".join(rng.choices("01", k=12)) for _ in range(800)]
