@@ -33,10 +33,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import map_batches, pieces, ragged
+from ledgerlake.llm.common import discard, map_batches, materialize, pieces, ragged
 
 # --- Fixed values: kinds in order, their patterns and least lengths --------------------------
 KINDS = ("assign", "access", "hex")
@@ -282,13 +282,15 @@ def side_by_side(table: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def infer_formats(texts: DataFrame, sample: int = SAMPLE) -> tuple[list, np.ndarray]:
     """Automata of the labelled kinds, and the pair model of other candidates. ``texts``: (text)."""
-    first = texts.select("text").transform(map_batches, _first_values(sample), "kind int, value string, at bigint")
-    order = Window.partitionBy("kind").orderBy("at", "value")
-    # every task sends ``sample`` values of a kind at most
-    chosen = first.distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= sample)
-    by_kind: list[list[bytes]] = [[] for _ in range(len(KINDS) + 1)]
-    for r in sorted(chosen.collect(), key=lambda r: (r["kind"], r["rank"])):
-        by_kind[r["kind"]].append(r["value"].encode())
+    first = materialize(
+        texts.select("text").transform(map_batches, _first_values(sample), "kind int, value string, at bigint"),
+        "secret-sample",
+    )  # ``sample`` values of a kind at most from every task
+    by_kind: list[list[bytes]] = []
+    for kind in range(len(KINDS) + 1):
+        rows = first.where(F.col("kind") == kind).distinct().orderBy("at", "value").limit(sample)
+        by_kind.append([r["value"].encode() for r in rows.collect()])
+    discard(first)
     tables, floor = [], math.inf
     for strings in by_kind[:-1]:
         if strings:
