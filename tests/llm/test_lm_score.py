@@ -98,3 +98,34 @@ def test_nothing_to_learn_from(spark):
     alone = spark.createDataFrame([(None, "a b")], "doc_id bigint, text string")
     row = op.score_texts(alone).first()
     assert (row.held_out, row.n_tokens, row.n_known, row.train_tokens, row.score) == (True, 3, 0, 0, 0.0)
+
+
+@pytest.mark.parametrize("pair", [1, 3])
+def test_many_buckets_and_units(spark, monkeypatch, pair):
+    monkeypatch.setattr(op, "BLOCK_BYTES", 700)
+    monkeypatch.setattr(op, "BUCKET_TOKENS", 150)
+    monkeypatch.setattr(op, "CAP", 30)  # pairs of frequent words are dealt to several units
+    rng = random.Random(5)
+    vocab = ["the", "of", "a"] + [f"w{i}" for i in range(40)]
+    rows = [
+        (i, " ".join(rng.choices(vocab, weights=[40] * 3 + [1] * 40, k=60) + ["only", f"x{i // 2}", f"y{i}", "the"]))
+        for i in range(120)
+    ]
+    rows += [(500, "the of " * 200), (500, "the of " * 200), (None, "the only x3 y4 z of"), (501, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    got = sorted(map(tuple, op.score_texts(docs, pair=pair).collect()), key=key)
+    for g, w in zip(got, sorted(plain_scores(rows, 1, pair), key=key), strict=True):
+        assert g[:5] == w[:5]
+        assert g[5:] == pytest.approx(w[5:])
+
+
+def test_packed_lists():
+    rng = np.random.default_rng(3)
+    lists = [np.zeros(0, np.int64), np.array([0]), rng.integers(0, 1 << 63, 500), np.arange(300), np.array([2**64 - 1], "u8")]
+    for got, want in zip(op._unpack(op._pack(*lists)), lists, strict=True):
+        assert (got == np.asarray(want).astype("u8")).all()
+    sizes = np.array([0, 3, 0, 1, 5, 0])
+    x = np.concatenate([np.sort(rng.integers(0, 1 << 48, n)) for n in sizes]).astype(np.uint64)
+    heads = np.flatnonzero(np.diff(np.repeat(np.arange(6), sizes), prepend=-1))
+    assert (op._sums(op._steps(x, heads), sizes) == x).all()
+    assert (op._sums(op._steps(x[:3])) == x[:3]).all()
