@@ -423,6 +423,15 @@ def table_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.table_parity(every_row, _silver(spark, sf_dir).select(*BUSINESS))
 
 
+def table_parity_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver versus valid typed rows of the extract with one month's amounts negated: that month alone
+    is compared row by row."""
+    again = valid_rows(_checked(spark, sf_dir), C).select(*BUSINESS)
+    that = F.col(C.processing_month) == F.lit("1995-03-01").cast("date")
+    changed = again.withColumn(C.amount, F.when(that, -F.col(C.amount)).otherwise(F.col(C.amount)))
+    return quality.table_parity_by(changed, _silver(spark, sf_dir).select(*BUSINESS), C.processing_month)
+
+
 def unique_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated fixture selectors (rows have no key: duplicates are legitimate)."""
     return quality.unique_grain(_bronze(spark, sf_dir, with_key=True), ["k"])
@@ -807,6 +816,7 @@ QUERIES: dict[str, Query] = {
     "totals_match": totals_match,
     "not_null_checks": not_null_checks,
     "table_parity": table_parity,
+    "table_parity_by_month": table_parity_by_month,
     "bronze_header_order": bronze_header_order,
     "bronze_repeated_month": bronze_repeated_month,
     "bronze_odd_template": bronze_odd_template,

@@ -458,6 +458,13 @@ FROM (
   SELECT {_BUSINESS} FROM typed EXCEPT ALL SELECT {_BUSINESS} FROM silver)
 UNION ALL SELECT {_BUSINESS}, 'right_only' FROM (
   SELECT {_BUSINESS} FROM silver EXCEPT ALL SELECT {_BUSINESS} FROM typed)""",
+    "table_parity_by_month": _ALL.rstrip()
+    + f""", changed AS (SELECT * REPLACE (CASE WHEN mois_traitement = DATE '1995-03-01' THEN -montant_depense
+  ELSE montant_depense END AS montant_depense) FROM silver)
+SELECT {_BUSINESS}, 'left_only' AS side FROM (
+  SELECT {_BUSINESS} FROM changed EXCEPT ALL SELECT {_BUSINESS} FROM silver)
+UNION ALL SELECT {_BUSINESS}, 'right_only' FROM (
+  SELECT {_BUSINESS} FROM silver EXCEPT ALL SELECT {_BUSINESS} FROM changed)""",
     "bronze_header_order": _with(_BASE) + f"SELECT {_RAW}, _year_month FROM fx",
     "bronze_repeated_month": _with(_BASE)
     + "SELECT _year_month, count(*) AS lignes FROM fx GROUP BY _year_month",

@@ -189,3 +189,26 @@ def test_parity_reads_each_side_once(spark):
     assert plan.count("Exchange") == 1 and plan.count("Scan ExistingRDD") == 2
     got = sorted(map(tuple, parity.collect()), key=str)
     assert got == [(1, None, "left_only"), (2, "b", "right_only"), (3, "c", "left_only"), (4, "d", "right_only")]
+
+
+def test_equal_partitions_are_proven_without_their_rows(spark):
+    shape = "m string, x int, y int"
+    left = [("a", 1, None), ("a", 1, None), ("a", 2, 3), ("b", None, 1), (None, 1, 1), (None, 1, 1), ("d", 5, 5)]
+    right = [("a", 2, 3), ("a", 1, None), ("a", 1, None), ("b", 1, None), (None, 1, 1), ("e", 5, 5)]
+    frames = [spark.createDataFrame(rows, shape).repartition(3) for rows in (left, right)]
+    differing = {r.m for r in quality.differing_partitions(*frames, "m").collect()}
+    assert differing == {"b", None, "d", "e"}  # NULLs count by place, rows by number; "a" is equal in any order
+    got = sorted(map(tuple, quality.table_parity_by(*frames, "m").collect()), key=str)
+    assert got == sorted(map(tuple, quality.table_parity(*frames).collect()), key=str) and len(got) == 5
+    assert quality.table_parity_by(frames[0], frames[0].select("y", "m", "x"), "m").collect() == []
+    assert quality.table_parity_by(frames[0].limit(0), frames[0].limit(0), "m").collect() == []
+
+
+def test_fingerprints_shuffle_one_row_a_partition(spark):
+    df = spark.range(0, 50_000, 1, 4).selectExpr("string(id % 5) AS m", "id AS x")
+    plan = quality.fingerprints(df, "m")._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    assert plan.count("Exchange") == 1 and "partial_sum" in plan
+    parts = [quality.fingerprints(df.where(f"x % 2 = {k}"), "m") for k in (0, 1)]
+    added = parts[0].unionByName(parts[1]).groupBy("m").sum("rows", "sum_a", "sum_b").toDF("m", "rows", "sum_a", "sum_b")
+    whole = quality.fingerprints(df, "m")
+    assert sorted(map(tuple, added.collect())) == sorted(map(tuple, whole.collect()))
