@@ -750,6 +750,20 @@ def month_swap_atomic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, (rows.withColumn("step", F.lit(step)) for step, rows in steps))
 
 
+def clustered_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver placed by service, region and care month together, read with a filter on two of them: one
+    service in the regions whose number starts with 1."""
+    house = fixture_lakehouse(spark, sf_dir)
+    target = Lakehouse(work_path(spark, "clustered"), C)
+    bronze = _fixture_bronze_ref(house)
+    silver_plan.build_silver(
+        spark, bronze, target.silver, target.quarantine, _months(bronze.read(spark)), C,
+        cluster_by=(C.service, C.region, C.care_month),
+    )
+    chosen = (F.col(C.service) == "PROMO") & F.col(C.region).between("1", "19")
+    return target.silver.read(spark).where(chosen).select(*BUSINESS, PARTITION_COLUMN)
+
+
 def gold_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every check of the full gold build with its severity and its number of offending rows."""
     results = _gold(spark, sf_dir)[1]
@@ -832,4 +846,5 @@ QUERIES: dict[str, Query] = {
     "gold_checks": gold_checks,
     "gold_month_audit": gold_month_audit,
     "month_swap_atomic": month_swap_atomic,
+    "clustered_read": clustered_read,
 }

@@ -499,5 +499,8 @@ GROUP BY code""",
   montant_depense, taux_remboursement_effectif, {_STORED} FROM svc
 UNION ALL SELECT 'depenses_par_region', mois_traitement, region_residence_beneficiaire, nombre_lignes,
   montant_depense, taux_remboursement_effectif, {_STORED} FROM reg""",
+    "clustered_read": _ALL
+    + f"SELECT {_BUSINESS}, _year_month FROM silver WHERE nature_prestation = 'PROMO' "
+    "AND region_residence_beneficiaire BETWEEN '1' AND '19'",
     "gold_checks": _with(_BASE, _TYPED, _LABELS, _SERVICE, _REGION, _CODE_COUNTS) + " UNION ALL ".join(_CHECK_COUNTS),
 }

@@ -22,8 +22,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.contract import PARTITION_COLUMN, Contract
-from ledgerlake.operators import quality, reconcile
-from ledgerlake.operators.silver import raw_amount, rejected_rows, valid_rows, with_reasons
+from ledgerlake.operators import layout, quality, reconcile
+from ledgerlake.operators.silver import raw_amount, rejected_rows, silver_projection, valid_rows, with_reasons
 from ledgerlake.sinks.partitions import overwrite_months
 from ledgerlake.sources.monthly_files import checked_months
 from ledgerlake.sources.tables import TableRef, read_months
@@ -55,6 +55,8 @@ def build_silver(
     contract: Contract,
     sort_within: tuple[str, ...] | None = None,
     codes: TableRef | None = None,
+    cluster_by: tuple[str, ...] | None = None,
+    file_rows: int = layout.FILE_ROWS,
 ) -> SilverResult:
     """Build silver and quarantine for ``months`` (see module docstring).
 
@@ -63,7 +65,14 @@ def build_silver(
     ``sort_within``: silver columns to sort each write task by (no shuffle) so that Parquet
     row-group min/max statistics become selective for them, e.g. (service, region) for readers
     filtering on a service or a region. Costs a per-task sort; off by default.
+
+    ``cluster_by``: silver columns by which the rows of a month are placed together, all at once
+    (``operators.layout``), in files of about ``file_rows`` rows, with Bloom filters for its codes. A
+    filter on any of them then reads part of the month. Costs a pass over these columns, one that
+    samples the range bounds, and a shuffle of the valid rows; off by default.
     """
+    if sort_within and cluster_by:
+        raise ValueError("sort_within and cluster_by exclude each other")
     months = checked_months(months)
     source = read_months(spark, bronze, months)
     raw = raw_amount(contract)
@@ -80,7 +89,14 @@ def build_silver(
     valid = valid_rows(checked, contract)
     if sort_within:
         valid = valid.sortWithinPartitions(PARTITION_COLUMN, *sort_within)
-    overwrite_months(valid, silver, months, facts={NO_MONTH: F.col(contract.processing_month).isNull()})
+    options: dict[str, str] = {}
+    if cluster_by:
+        points = layout.split_points(silver_projection(source, contract), list(cluster_by))
+        files = sum(-(-r["rows"] // file_rows) for r in totals)
+        valid = layout.clustered(valid, list(cluster_by), points, files)
+        options = layout.bloom_options([c for c in cluster_by if contract.spec(c).is_code])
+    facts = {NO_MONTH: F.col(contract.processing_month).isNull()}
+    overwrite_months(valid, silver, months, facts=facts, options=options)
     # the silver pass observed which months hold rejects: only those are scanned again for the
     # quarantine; the others are emptied without reading bronze (no reject at all: no scan)
     with_rejects = sorted(checked_obs.get["months_rejected"] or [])

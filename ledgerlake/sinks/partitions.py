@@ -76,11 +76,12 @@ def overwrite_months(
     months: list[str],
     facts: dict[str, Column] | None = None,
     made_from: dict[str, str] | None = None,
+    options: dict[str, str] | None = None,
 ) -> WriteResult:
     """Replace every month of ``months`` with the rows of ``df`` in one job; other months are not
     touched, and a row of another month (or of none) fails the write. ``facts``: conditions; whether any
     row of a month meets one is kept with the month (``TableRef.months``), as is ``made_from``, the
-    version of each month in the table that the rows were made from."""
+    version of each month in the table that the rows were made from. ``options`` go to the Parquet writer."""
     spark, months, facts = df.sparkSession, sorted(set(months)), facts or {}
     made_from = made_from or {}
     month = F.col(PARTITION_COLUMN)
@@ -98,9 +99,9 @@ def overwrite_months(
     version = month_pointer.new_version()
     with _unsorted(spark):
         if table.is_catalog:
-            table.replace_months(counted)
+            table.replace_months(counted, options)
         else:
-            table.add_version(counted, version)
+            table.add_version(counted, version, options)
     result = seen.get
     by_month = {m: int(result[f"m{k}"]) for k, m in enumerate(months)}
     if table.is_catalog:
