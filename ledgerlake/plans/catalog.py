@@ -19,7 +19,7 @@ from ledgerlake.contract import FIXTURE, PARTITION_COLUMN
 from ledgerlake.functions.codes import normalize_code
 from ledgerlake.functions.dates import month_start
 from ledgerlake.functions.ratio import ratio
-from ledgerlake.operators import gold, labels, quality, reconcile
+from ledgerlake.operators import gold, labels, quality, reconcile, sketches
 from ledgerlake.operators.quality import WARN, NotNull
 from ledgerlake.operators.silver import (
     REASONS_COLUMN,
@@ -33,6 +33,7 @@ from ledgerlake.operators.silver import (
 )
 from ledgerlake.plans import bronze as bronze_plan
 from ledgerlake.plans import gold as gold_plan
+from ledgerlake.plans import profiles as profile_plan
 from ledgerlake.plans import silver as silver_plan
 from ledgerlake.plans.labels import write_labels
 from ledgerlake.plans.layout import LABELS_SCHEMA, Lakehouse
@@ -417,6 +418,26 @@ def source_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.source_profile(_bronze(spark, sf_dir), C)
 
 
+def source_profile_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile of every raw column, merged from profiles kept by month (the latest one kept twice):
+    exact counts, the most frequent text that does not convert, and whether the estimate of the distinct
+    texts is as near to their exact number as promised."""
+    house = lakehouse(spark, sf_dir)
+    profiles = TableRef(path=work_path(spark, "profiles"))
+    months = sorted(house.bronze.months(spark))
+    profile_plan.keep_profiles(spark, house.bronze, profiles, months, C)
+    profile_plan.keep_profiles(spark, house.bronze, profiles, months[-1:], C)
+    whole = profile_plan.whole_profile(spark, house.bronze, profiles, C)
+    frequent = sketches.frequent_texts(whole, 1).withColumnsRenamed({"texte": "texte_frequent", "lignes": "lignes_texte"})
+    texts = house.bronze.read(spark).select(*C.raw_columns).unpivot([], list(C.raw_columns), "colonne", "texte")
+    exact = texts.distinct().groupBy("colonne").agg(F.count("texte").alias("exacts"))
+    near = F.abs(F.col("distincts") - F.col("exacts")) <= sketches.DISTINCT_ERROR * F.col("exacts")
+    return (
+        sketches.distinct_texts(whole).join(frequent, "colonne", "left").join(exact, "colonne")
+        .select("colonne", *sketches.COUNTS, "texte_frequent", "lignes_texte", near.alias("distincts_proches"))
+    )
+
+
 def table_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed rows of the whole extract versus silver: the difference is the typed rejects."""
     every_row = silver_projection(_bronze(spark, sf_dir), C).select(*BUSINESS)
@@ -847,4 +868,5 @@ QUERIES: dict[str, Query] = {
     "gold_month_audit": gold_month_audit,
     "month_swap_atomic": month_swap_atomic,
     "clustered_read": clustered_read,
+    "source_profile_merged": source_profile_merged,
 }

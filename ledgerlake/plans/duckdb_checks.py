@@ -296,6 +296,23 @@ _CHECK_COUNTS = [
 ]
 
 
+_UNCONVERTED = {
+    "spend": "montant_depense", "reimbursed": "montant_rembourse", "overrun": "montant_depassement",
+    "quantity": "quantite_acte_base",
+}
+
+
+def _column_profile(raw: str) -> str:
+    """Counts of one raw column, and its most frequent text that does not convert."""
+    counts = f"SELECT '{raw}' AS colonne, count(*) AS lignes, count(*) FILTER (WHERE {raw} IS NULL) AS vides, "
+    typed = _UNCONVERTED.get(raw)
+    if typed is None:
+        return counts + "0 AS non_convertibles, NULL AS texte_frequent, NULL AS lignes_texte FROM typed"
+    bad = f"{raw} IS NOT NULL AND {typed} IS NULL"
+    top = f"FROM (SELECT {raw} AS t, count(*) AS n FROM typed WHERE {bad} GROUP BY 1 ORDER BY 2 DESC LIMIT 1)"
+    return counts + f"count(*) FILTER (WHERE {bad}), (SELECT t {top}), (SELECT n {top}) FROM typed"
+
+
 ORACLE_SQL: dict[str, str] = {
     "bronze_csv_roundtrip": _with(_BASE)
     + f"SELECT {_RAW}, 'A' || _year_month || '.csv.gz' AS _source_file, _year_month FROM fx",
@@ -502,5 +519,11 @@ UNION ALL SELECT 'depenses_par_region', mois_traitement, region_residence_benefi
     "clustered_read": _ALL
     + f"SELECT {_BUSINESS}, _year_month FROM silver WHERE nature_prestation = 'PROMO' "
     "AND region_residence_beneficiaire BETWEEN '1' AND '19'",
+    "source_profile_merged": _ALL
+    + "SELECT colonne, lignes, vides, CAST(non_convertibles AS BIGINT) AS non_convertibles, "
+    "CAST(texte_frequent AS VARCHAR) AS texte_frequent, CAST(lignes_texte AS BIGINT) AS lignes_texte, "
+    "true AS distincts_proches FROM ("
+    + " UNION ALL ".join(_column_profile(c) for c in _RAW.split(", "))
+    + ")",
     "gold_checks": _with(_BASE, _TYPED, _LABELS, _SERVICE, _REGION, _CODE_COUNTS) + " UNION ALL ".join(_CHECK_COUNTS),
 }

@@ -58,6 +58,11 @@ class Lakehouse:
         """Rows of silver by month and code."""
         return TableRef(path=f"{self.base}/silver_codes", schema=CODES_SCHEMA)
 
+    @property
+    def profiles(self) -> TableRef:
+        """Profiles of bronze by month and raw column."""
+        return TableRef(path=f"{self.base}/bronze_profiles")
+
     @property
     def quarantine(self) -> TableRef:
         return TableRef(path=f"{self.base}/quarantine", schema=quarantine_schema(self.contract))
