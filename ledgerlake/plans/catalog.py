@@ -36,8 +36,9 @@ from ledgerlake.plans import gold as gold_plan
 from ledgerlake.plans import profiles as profile_plan
 from ledgerlake.plans import silver as silver_plan
 from ledgerlake.plans.labels import write_labels
-from ledgerlake.plans.layout import LABELS_SCHEMA, Lakehouse
-from ledgerlake.session import configure, work_path
+from ledgerlake.plans.layout import LABELS_SCHEMA, CatalogLakehouse, Lakehouse
+from ledgerlake.plans.staging import create_database, create_staging
+from ledgerlake.session import configure, work_name, work_path
 from ledgerlake.sinks.partitions import overwrite_month, overwrite_months, overwrite_table
 from ledgerlake.sources import fixture, month_pointer, monthly_files
 from ledgerlake.sources import labels as label_sources
@@ -738,6 +739,48 @@ def gold_month_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, marts)
 
 
+def catalog_lakehouse(spark: SparkSession, sf_dir: str) -> tuple[CatalogLakehouse, list[gold_plan.CheckResult]]:
+    """Files -> bronze -> silver -> staging view and marts, all as tables of one new database; then the
+    latest month loaded, built and rebuilt in gold a second time."""
+    files = lakehouse(spark, sf_dir)
+    house = CatalogLakehouse(work_name("ledgerlake"), C)
+    create_database(spark, house)
+    months = raw_months(spark, files.raw_dir)
+    write_labels(
+        label_sources.fixture_sources(spark, sf_dir), label_sources.fixture_complements(spark, sf_dir),
+        label_sources.FIXTURE_CODE_COLUMNS, house.labels,
+    )
+    results = []
+    for some in (months, months[-1:]):
+        bronze_plan.ingest_months(
+            spark, files.raw_dir, house.bronze, some, fixture.INGESTED_AT, layout=monthly_files.FIXTURE_LAYOUT
+        )
+        silver_plan.build_silver(spark, house.bronze, house.silver, house.quarantine, some, C, codes=house.codes)
+        create_staging(spark, house)
+        results = gold_plan.build_gold(
+            spark, house.silver, house.labels, house.gold(gold_plan.SERVICE_MART), house.gold(gold_plan.REGION_MART),
+            C, fail_on_error=False, months=some if results else None, codes=house.codes,
+        )
+    return house, results
+
+
+def gold_from_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals by month, asked in SQL of the registered tables: the staging view and both marts."""
+    house, _ = catalog_lakehouse(spark, sf_dir)
+    service, region = (house.gold(n).name for n in (gold_plan.SERVICE_MART, gold_plan.REGION_MART))
+    month, amount = C.processing_month, C.amount
+    return spark.sql(
+        f"""
+        WITH rows AS (
+          SELECT 'stg_depenses' AS source, {month}, 1 AS lignes, {amount} AS montant FROM {house.staging.name}
+          UNION ALL SELECT '{gold_plan.SERVICE_MART}', {month}, {gold.ROWS}, {amount} FROM {service}
+          UNION ALL SELECT '{gold_plan.REGION_MART}', {month}, {gold.ROWS}, {amount} FROM {region})
+        SELECT source, {month}, CAST(sum(lignes) AS BIGINT) AS lignes, CAST(sum(montant) AS DECIMAL(28,2)) AS montant
+        FROM rows GROUP BY source, {month}
+        """
+    )
+
+
 def gold_month_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The label audit of a run over the latest month only: codes of all months without a label, and
     how many the run reported."""
@@ -868,5 +911,6 @@ QUERIES: dict[str, Query] = {
     "gold_month_audit": gold_month_audit,
     "month_swap_atomic": month_swap_atomic,
     "clustered_read": clustered_read,
+    "gold_from_catalog": gold_from_catalog,
     "source_profile_merged": source_profile_merged,
 }

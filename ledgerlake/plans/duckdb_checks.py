@@ -516,6 +516,11 @@ GROUP BY code""",
   montant_depense, taux_remboursement_effectif, {_STORED} FROM svc
 UNION ALL SELECT 'depenses_par_region', mois_traitement, region_residence_beneficiaire, nombre_lignes,
   montant_depense, taux_remboursement_effectif, {_STORED} FROM reg""",
+    "gold_from_catalog": _ALL
+    + """SELECT source, mois_traitement, count(*) AS lignes,
+  CAST(sum(montant_depense) AS DECIMAL(28,2)) AS montant
+FROM silver, (VALUES ('stg_depenses'), ('depenses_par_prestation'), ('depenses_par_region')) AS s(source)
+GROUP BY source, mois_traitement""",
     "clustered_read": _ALL
     + f"SELECT {_BUSINESS}, _year_month FROM silver WHERE nature_prestation = 'PROMO' "
     "AND region_residence_beneficiaire BETWEEN '1' AND '19'",

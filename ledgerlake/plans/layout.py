@@ -73,3 +73,43 @@ class Lakehouse:
 
     def gold(self, name: str) -> TableRef:
         return TableRef(path=f"{self.base}/gold/{name}")
+
+
+@dataclass(frozen=True)
+class CatalogLakehouse:
+    """The same tables, registered in one database of the session's catalog under their names.
+
+    Staging is a view there, so SQL users and the gold job read the same thing (``plans.staging``)."""
+
+    database: str
+    contract: Contract
+
+    def _table(self, name: str, schema: StructType | None = None) -> TableRef:
+        return TableRef(name=f"`{self.database}`.`{name}`", schema=schema)
+
+    @property
+    def bronze(self) -> TableRef:
+        return self._table("bronze", self.contract.bronze_schema())
+
+    @property
+    def silver(self) -> TableRef:
+        return self._table("silver", self.contract.silver_schema())
+
+    @property
+    def codes(self) -> TableRef:
+        return self._table("silver_codes", CODES_SCHEMA)
+
+    @property
+    def quarantine(self) -> TableRef:
+        return self._table("quarantine", quarantine_schema(self.contract))
+
+    @property
+    def labels(self) -> TableRef:
+        return self._table("labels", LABELS_SCHEMA)
+
+    @property
+    def staging(self) -> TableRef:
+        return self._table("stg_depenses")
+
+    def gold(self, name: str) -> TableRef:
+        return self._table(name)

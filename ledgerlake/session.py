@@ -45,6 +45,11 @@ def shared_dir(spark: SparkSession) -> str:
     return configured.rstrip("/")
 
 
+def work_name(name: str) -> str:
+    """A fresh name in the catalog for one run's tables."""
+    return f"{name}_{uuid.uuid4().hex[:12]}"
+
+
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh location under the shared folder for one run's tables."""
     return f"{shared_dir(spark)}/ledgerlake/{name}-{uuid.uuid4().hex[:12]}"

@@ -29,7 +29,10 @@ from ledgerlake.sources import month_pointer
 from ledgerlake.sources.tables import TableRef
 
 OPEN_WRITERS = 16  # months that a task writes side by side; with more, its rows are sorted
-_WRITERS_CONF = "spark.sql.maxConcurrentOutputFileWriters"
+_WRITE_CONF = {
+    "spark.sql.maxConcurrentOutputFileWriters": str(OPEN_WRITERS),
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",  # of inserts into catalog tables
+}
 
 
 @dataclass(frozen=True)
@@ -40,14 +43,16 @@ class WriteResult:
 
 
 @contextmanager
-def _unsorted(spark: SparkSession) -> Iterator[None]:
-    """Month writers side by side while this write is planned."""
-    before = spark.conf.get(_WRITERS_CONF)
-    spark.conf.set(_WRITERS_CONF, str(OPEN_WRITERS))
+def _month_writes(spark: SparkSession) -> Iterator[None]:
+    """Month writers side by side, and only the months written replaced, while a write is planned."""
+    before = {key: spark.conf.get(key) for key in _WRITE_CONF}
+    for key, value in _WRITE_CONF.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(_WRITERS_CONF, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def overwrite_month(df: DataFrame, table: TableRef, year_month: str) -> int:
@@ -97,7 +102,7 @@ def overwrite_months(
         *(F.collect_set(F.when(fact, month)).alias(f"with_{name}") for name, fact in facts.items()),
     )
     version = month_pointer.new_version()
-    with _unsorted(spark):
+    with _month_writes(spark):
         if table.is_catalog:
             table.replace_months(counted, options)
         else:
@@ -105,7 +110,9 @@ def overwrite_months(
     result = seen.get
     by_month = {m: int(result[f"m{k}"]) for k, m in enumerate(months)}
     if table.is_catalog:
-        for empty in (m for m, rows in by_month.items() if not rows):
+        stored = spark.sql(f"SHOW PARTITIONS {table.name}").collect()  # one row a month
+        held = {r[0].rpartition("=")[2] for r in stored}
+        for empty in (m for m, rows in by_month.items() if not rows and m in held):
             _clear_month(checked, table, empty)
     else:
         entries = {
@@ -133,7 +140,7 @@ def overwrite_partitioned_table(df: DataFrame, table: TableRef) -> int:
         seen, F.count(F.lit(1)).alias("rows"), F.collect_set(PARTITION_COLUMN).alias("months")
     )
     version = month_pointer.new_version()
-    with _unsorted(spark):
+    with _month_writes(spark):
         if table.is_catalog:
             counted.write.mode("overwrite").format("parquet").partitionBy(PARTITION_COLUMN).saveAsTable(table.name)
         else:

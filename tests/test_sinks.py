@@ -1,7 +1,12 @@
 from pyspark.sql import functions as F
 
 from ledgerlake.contract import PARTITION_COLUMN
-from ledgerlake.sinks.partitions import overwrite_month, overwrite_months, overwrite_table
+from ledgerlake.sinks.partitions import (
+    overwrite_month,
+    overwrite_months,
+    overwrite_partitioned_table,
+    overwrite_table,
+)
 from ledgerlake.sources.tables import TableRef, read_month
 
 SCHEMA = "x string, _year_month string"
@@ -63,6 +68,23 @@ def test_catalog_table_month_replace(spark):
     spark.sql("DROP TABLE IF EXISTS ledgerlake_sink_test")
 
 
+def test_a_catalog_table_made_otherwise_keeps_its_other_months(spark):
+    """Made by a plain write, with its columns in another order and no option stored with it."""
+    name = "ledgerlake_sink_other"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    made = spark.createDataFrame([("202501", "a", 1), ("202502", "b", 2)], "_year_month string, x string, y int")
+    made.write.format("parquet").partitionBy(PARTITION_COLUMN).saveAsTable(name)
+    table = TableRef(name=name)
+    assert overwrite_month(made.select("y", "x").limit(1), table, "202502") == 1
+    rows = sorted(tuple(r) for r in table.read(spark).select("x", "y", PARTITION_COLUMN).collect())
+    assert [r[2] for r in rows] == ["202501", "202502"] and rows[0] == ("a", 1, "202501")
+    assert overwrite_partitioned_table(made.limit(1), table) == 1 and table.read(spark).count() == 1
+    assert overwrite_partitioned_table(made, table) == 2
+    assert overwrite_month(made.select("x", "y").limit(0), table, "202501") == 0
+    assert [tuple(r) for r in table.read(spark).select("x", "y").collect()] == [("b", 2)]
+    spark.sql(f"DROP TABLE {name}")
+
+
 def test_overwrite_table_counts(spark, tmp_path):
     table = TableRef(path=str(tmp_path / "labels"))
     df = spark.range(5).withColumn("y", F.lit("v"))
