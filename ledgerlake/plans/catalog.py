@@ -42,6 +42,7 @@ from ledgerlake.session import configure, work_name, work_path
 from ledgerlake.sinks.partitions import overwrite_month, overwrite_months, overwrite_table
 from ledgerlake.sources import fixture, month_pointer, monthly_files
 from ledgerlake.sources import labels as label_sources
+from ledgerlake.sources.claims_labels import CLAIMS_CODE_COLUMNS, LABEL_MAP, claims_sources
 from ledgerlake.sources.tables import TableRef, read_month
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -476,10 +477,74 @@ def empty_month_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(m, written) for m in absent], "mois_absent string, ecrit boolean")
 
 
+def refused_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every month of the extract asked for in four forms at once: the load names each text that is not
+    a month, and writes nothing."""
+    house = lakehouse(spark, sf_dir)
+    month = F.col(PARTITION_COLUMN)
+    year, number = F.left(month, F.lit(4)), F.right(month, F.lit(2))
+    forms = [month, F.concat(year, F.lit("-"), number), F.concat(year, F.lit("13")), F.concat(year, number.cast("int"))]
+    asked = house.bronze.read(spark).select(month).distinct().select(F.explode(F.array(*forms)).alias("texte"))
+    texts = sorted({r["texte"] for r in asked.collect()})  # bounded by the calendar
+    target = TableRef(path=work_path(spark, "refused"), schema=C.bronze_schema())
+    try:
+        bronze_plan.ingest_months(spark, house.raw_dir, target, texts, layout=monthly_files.FIXTURE_LAYOUT)
+        named = set()
+    except ValueError as err:
+        named = set(str(err).rpartition(": ")[2].split(", "))
+    written = not monthly_files.missing_files(spark, [monthly_files.MonthFile("", "", target.path)])
+    return spark.createDataFrame([(t, t in named, written) for t in texts], "texte string, refuse boolean, ecrit boolean")
+
+
 # ---------------------------------------------------------------------------------------------
 # labels
 
 
+def _label_file(df: DataFrame, path: str) -> None:
+    """One ``;`` file in the order of ``line``; code lists are small by nature."""
+    ordered = df.coalesce(1).sortWithinPartitions("line").drop("line")
+    ordered.write.option("header", True).option("sep", ";").csv(path)
+
+
+def claims_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The label dimension of the 39 code columns of the claims contract, from real files: every code list
+    (``supplier`` keys, again in another form further down) and every lexicon sheet (``nation`` keys,
+    listed twice) that the label map names, and a complement file."""
+    configure(spark)
+    base = work_path(spark, "claims-labels")
+    supplier, nation, region = (fixture.table(spark, sf_dir, t) for t in ("supplier", "nation", "region"))
+    turns = F.explode(F.array(F.lit(0), F.lit(1))).alias("turn")
+    listed = supplier.select("s_suppkey", "s_name", turns)
+    sheeted = nation.select("n_nationkey", "n_name", turns)
+    for kind, place in sorted({(kind, place) for _, _, kind, place in LABEL_MAP}):
+        if kind == "list":
+            key = F.col("s_suppkey").cast("string")
+            code = F.when(F.col("turn") == 0, key).otherwise(F.concat(F.lit("0"), key, F.lit(".0")))
+            rows = listed.select(
+                code.alias(place[1]), F.lit("x").alias("AUTRE"),
+                F.concat_ws(" ", F.lit(place[0]), "s_name", F.col("turn").cast("string")).alias(place[2]),
+                (F.col("turn") * 1_000_000_000 + F.col("s_suppkey")).alias("line"),
+            )
+        else:
+            rows = sheeted.select(
+                F.col("n_nationkey").cast("string").alias("CODE"),
+                F.concat_ws(" ", F.lit(place[0]), "n_name", F.col("turn").cast("string")).alias("LIBELLE"),
+                (F.col("turn") * 1_000_000_000 + F.col("n_nationkey")).alias("line"),
+            )
+        _label_file(rows, f"{base}/{kind}/{place[0]}.csv")
+    complements = region.select(
+        F.lit("TOP_PS5_TRG").alias("column"), F.col("r_regionkey").cast("string").alias("code"),
+        F.col("r_name").alias("label"), F.lit("region").alias("why"), F.col("r_regionkey").alias("line"),
+    )
+    _label_file(complements, f"{base}/complements.csv")
+    table = TableRef(path=f"{base}/table", schema=LABELS_SCHEMA)
+    write_labels(
+        claims_sources(spark, f"{base}/list", f"{base}/sheet"),
+        label_sources.read_complements(spark, f"{base}/complements.csv"), CLAIMS_CODE_COLUMNS, table,
+    )
+    return table.read(spark)
+
+
 def label_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canonical form of code texts derived from lineitem (padded, signed, exponent, blanks)."""
     line = fixture.table(spark, sf_dir, "lineitem")
@@ -911,6 +976,8 @@ QUERIES: dict[str, Query] = {
     "gold_month_audit": gold_month_audit,
     "month_swap_atomic": month_swap_atomic,
     "clustered_read": clustered_read,
+    "refused_months": refused_months,
+    "claims_dimension": claims_dimension,
     "gold_from_catalog": gold_from_catalog,
     "source_profile_merged": source_profile_merged,
 }

@@ -8,6 +8,8 @@ integer cents to reproduce the decimal(38,10) quotient followed by half-up round
 
 from __future__ import annotations
 
+from ledgerlake.sources.claims_labels import LABEL_MAP
+
 # Claims-text fixture (see ledgerlake.sources.fixture), typed columns and reasons.
 _BASE = """
 base AS (
@@ -296,6 +298,8 @@ _CHECK_COUNTS = [
 ]
 
 
+_MAP_ROWS = ", ".join(f"('{column}', {priority}, '{kind}', '{place[0]}')" for column, priority, kind, place in LABEL_MAP)
+
 _UNCONVERTED = {
     "spend": "montant_depense", "reimbursed": "montant_rembourse", "overrun": "montant_depassement",
     "quantity": "quantite_acte_base",
@@ -521,6 +525,19 @@ UNION ALL SELECT 'depenses_par_region', mois_traitement, region_residence_benefi
   CAST(sum(montant_depense) AS DECIMAL(28,2)) AS montant
 FROM silver, (VALUES ('stg_depenses'), ('depenses_par_prestation'), ('depenses_par_region')) AS s(source)
 GROUP BY source, mois_traitement""",
+    "refused_months": _with(_BASE)
+    + """SELECT DISTINCT texte, NOT regexp_full_match(texte, '[0-9]{4}(0[1-9]|1[0-2])') AS refuse, false AS ecrit FROM (
+  SELECT unnest([_year_month, left(_year_month, 4) || '-' || right(_year_month, 2), left(_year_month, 4) || '13',
+    left(_year_month, 4) || CAST(CAST(right(_year_month, 2) AS INTEGER) AS VARCHAR)]) AS texte FROM fx)""",
+    "claims_dimension": f"""WITH map(code_column, priority, kind, file) AS (VALUES {_MAP_ROWS}),
+offered AS (
+  SELECT code_column, priority, CAST(s_suppkey AS VARCHAR) AS code, file || ' ' || s_name || ' 0' AS libelle,
+    'code list ' || file AS source FROM map, supplier WHERE kind = 'list'
+  UNION ALL SELECT code_column, priority, CAST(n_nationkey AS VARCHAR), file || ' ' || n_name || ' 1', 'lexicon'
+  FROM map, nation WHERE kind = 'sheet')
+SELECT code_column, code, arg_min(libelle, priority) AS libelle, arg_min(source, priority) AS source
+FROM offered GROUP BY code_column, code
+UNION ALL SELECT 'TOP_PS5_TRG', CAST(r_regionkey AS VARCHAR), r_name, 'Complément du projet' FROM region""",
     "clustered_read": _ALL
     + f"SELECT {_BUSINESS}, _year_month FROM silver WHERE nature_prestation = 'PROMO' "
     "AND region_residence_beneficiaire BETWEEN '1' AND '19'",
