@@ -157,7 +157,7 @@ def lakehouse(spark: SparkSession, sf_dir: str) -> Lakehouse:
     if key not in _RAW_HOUSES:
         configure(spark)
         house = Lakehouse(work_path(spark, "lakehouse"), C)
-        text = fixture.claims_text(spark, sf_dir)
+        text = fixture.claims_text(spark, sf_dir, together=True)
         monthly_files.write_month_files(text, house.raw_dir, list(C.raw_columns))
         months = raw_months(spark, house.raw_dir)
         bronze_plan.ingest_months(
@@ -182,7 +182,7 @@ def bronze_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fixture written as ``;`` CSV.gz (trailing ``;``), read back as text in one scan."""
     configure(spark)
     raw_dir = work_path(spark, "raw")
-    text = fixture.claims_text(spark, sf_dir)
+    text = fixture.claims_text(spark, sf_dir, together=True)
     monthly_files.write_month_files(text, raw_dir, list(C.raw_columns))
     back = monthly_files.read_months(
         spark, raw_dir, raw_months(spark, raw_dir), fixture.INGESTED_AT,
@@ -301,7 +301,7 @@ def bronze_header_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Odd months written with their columns in reverse order: each file's own header counts."""
     configure(spark)
     raw_dir = work_path(spark, "headers")
-    text = fixture.claims_text(spark, sf_dir)
+    text = fixture.claims_text(spark, sf_dir, together=True)
     odd = F.col(PARTITION_COLUMN).cast("int") % 2 == 1
     monthly_files.write_month_files(text.where(~odd), raw_dir, list(C.raw_columns))
     monthly_files.write_month_files(text.where(odd), raw_dir, list(C.raw_columns[::-1]), mode="append")
@@ -319,7 +319,7 @@ def bronze_odd_template(spark: SparkSession, sf_dir: str) -> DataFrame:
     """File names with spaces and a per cent sign."""
     configure(spark)
     raw_dir = work_path(spark, "odd names")
-    text = fixture.claims_text(spark, sf_dir)
+    text = fixture.claims_text(spark, sf_dir, together=True)
     ym = F.col(PARTITION_COLUMN)
     named = F.concat(F.lit("A "), F.left(ym, F.lit(4)), F.lit(" 100% "), F.right(ym, F.lit(2)), F.lit(".csv.gz"))
     monthly_files.write_month_files(text, f"{raw_dir}/by name", list(C.raw_columns), name=named)

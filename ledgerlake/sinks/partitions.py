@@ -42,8 +42,15 @@ class WriteResult:
     by_month: dict[str, int] = field(default_factory=dict)
 
 
+def by_month(df: DataFrame, column: str = PARTITION_COLUMN) -> DataFrame:
+    """The same rows with those of a month side by side, in tasks of about the advisory size: large months
+    are cut, small ones share a task. A write of many months then makes files by the bytes of a month, not
+    one for each task and month, and its tasks keep few writers open. Costs one shuffle of the rows."""
+    return df.hint("rebalance", F.col(column))
+
+
 @contextmanager
-def _month_writes(spark: SparkSession) -> Iterator[None]:
+def month_writes(spark: SparkSession) -> Iterator[None]:
     """Month writers side by side, and only the months written replaced, while a write is planned."""
     before = {key: spark.conf.get(key) for key in _WRITE_CONF}
     for key, value in _WRITE_CONF.items():
@@ -102,7 +109,7 @@ def overwrite_months(
         *(F.collect_set(F.when(fact, month)).alias(f"with_{name}") for name, fact in facts.items()),
     )
     version = month_pointer.new_version()
-    with _month_writes(spark):
+    with month_writes(spark):
         if table.is_catalog:
             table.replace_months(counted, options)
         else:
@@ -140,7 +147,7 @@ def overwrite_partitioned_table(df: DataFrame, table: TableRef) -> int:
         seen, F.count(F.lit(1)).alias("rows"), F.collect_set(PARTITION_COLUMN).alias("months")
     )
     version = month_pointer.new_version()
-    with _month_writes(spark):
+    with month_writes(spark):
         if table.is_catalog:
             counted.write.mode("overwrite").format("parquet").partitionBy(PARTITION_COLUMN).saveAsTable(table.name)
         else:

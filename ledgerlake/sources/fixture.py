@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.contract import FIXTURE_RAW_COLUMNS
+from ledgerlake.sinks.partitions import by_month
 
 # --- Fixed values: the anomaly selector of the fixture (k = order key * 10 + line number) --
 FLOW_MISMATCH_EVERY = 101  # processing month replaced by 209901
@@ -49,8 +50,13 @@ def _hit(k: Column, every: int) -> Column:
     return k % every == 0
 
 
-def claims_text(spark: SparkSession, sf_dir: str, with_key: bool = False) -> DataFrame:
-    """The raw extract: the fixture text columns plus ``_year_month`` (and ``k`` if asked)."""
+def claims_text(
+    spark: SparkSession, sf_dir: str, with_key: bool = False, together: bool = False
+) -> DataFrame:
+    """The raw extract: the fixture text columns plus ``_year_month`` (and ``k`` if asked).
+
+    ``together``: rows of a month side by side, for writes by month. They are dealt as numbers, before
+    they become text, which takes less to shuffle."""
     line = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice",
         "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
@@ -69,9 +75,15 @@ def claims_text(spark: SparkSession, sf_dir: str, with_key: bool = False) -> Dat
         part_type, F.col("l_partkey") == F.col("p_partkey")
     )
 
-    k = F.col("l_orderkey") * 10 + F.col("l_linenumber")
     year, month = F.year("l_shipdate"), F.month("l_shipdate")
-    ym = year * 100 + month
+    rows = rows.select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("_k"), "l_linenumber", "l_quantity",
+        "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
+        "p_type", "c_nationkey", (year * 100 + month).alias("_ym"),
+    )
+    if together:
+        rows = by_month(rows, "_ym")
+    k, ym = F.col("_k"), F.col("_ym")
     care = year * 12 + month - 1 - (F.col("l_linenumber") - 1)
     late = care + 9
 
@@ -119,9 +131,11 @@ def claims_text(spark: SparkSession, sf_dir: str, with_key: bool = False) -> Dat
     return rows.select(*selected)
 
 
-def claims_bronze(spark: SparkSession, sf_dir: str, with_key: bool = False) -> DataFrame:
+def claims_bronze(
+    spark: SparkSession, sf_dir: str, with_key: bool = False, together: bool = False
+) -> DataFrame:
     """The extract as bronze rows: text columns plus the three technical columns."""
-    text = claims_text(spark, sf_dir, with_key=with_key)
+    text = claims_text(spark, sf_dir, with_key=with_key, together=together)
     return text.select(
         *[c for c in text.columns if c != "_year_month"],
         F.concat(F.lit("A"), F.col("_year_month"), F.lit(".csv.gz")).alias("_source_file"),

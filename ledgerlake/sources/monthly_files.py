@@ -5,8 +5,9 @@ which column is which: files are scanned together per distinct header, and a hea
 wanted column is refused. Everything stays text (leading zeros of codes survive); an empty field is
 NULL.
 
-A compressed file cannot be split, so one task decompresses it. That task only cuts lines: they are
-dealt out over ``spread`` tasks, which parse the fields, and encode and write the table.
+A compressed file cannot be split, so one task decompresses it. Where that would leave tasks idle (files
+fewer or far larger than the tasks), it only cuts lines: they are dealt out over ``spread`` tasks, which
+parse the fields, and encode and write the table. Many files of like size are parsed where they are read.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.contract import PARTITION_COLUMN, TECHNICAL_COLUMNS
+from ledgerlake.sinks.partitions import OPEN_WRITERS, month_writes
 
 # --- Fixed values: monthly file name and format ---------------------------------------------
 DEFAULT_TEMPLATE = "A{year}{month:02d}.csv.gz"
@@ -89,6 +91,7 @@ class _Part(NamedTuple):
     columns: tuple[str, ...]
     packed: bool  # compressed in a way that cannot be split
     header: str
+    size: int  # bytes as stored
 
 
 def _parts(spark: SparkSession, files: list[MonthFile]) -> list[_Part]:
@@ -114,7 +117,7 @@ def _parts(spark: SparkSession, files: list[MonthFile]) -> list[_Part]:
             columns = tuple(c.strip().strip('"') for c in header.split(SEPARATOR))
             packed = codec is not None and not splittable.isInstance(codec)
             place = _SCHEME.sub("", at.toUri().toString())
-            found.append(_Part(at.toString(), place, file, columns, packed, header))
+            found.append(_Part(at.toString(), place, file, columns, packed, header, status.getLen()))
     return found
 
 
@@ -131,8 +134,9 @@ def read_months(
     """Bronze rows of the months: ``columns`` (by default all named ones of the headers, absent
     ones NULL), then the technical columns.
 
-    ``spread``: tasks that parse the lines of compressed files (default: as many as the cluster
-    runs at once); 0 leaves the lines with the task that decompressed them. Lines equal to the
+    ``spread``: tasks that parse the lines of compressed files; 0 leaves the lines with the task that
+    decompressed them. By default they are dealt over as many tasks as the cluster runs at once where a
+    single file holds more than one task's share of the bytes, and left otherwise. Lines equal to the
     file's header are no rows; a file without any line gives none.
     """
     files = month_files(raw_dir, months, template, layout)
@@ -143,7 +147,8 @@ def read_months(
         if lacking:
             raise ValueError(f"{part.file.name} lacks the column(s) {', '.join(lacking)}")
     wanted = columns or list(dict.fromkeys(c for p in parts for c in p.columns if c))
-    spread = spark.sparkContext.defaultParallelism if spread is None else spread
+    if spread is None:
+        spread = spark.sparkContext.defaultParallelism if _lopsided(parts, spark.sparkContext.defaultParallelism) else 0
     empty = spark.createDataFrame([], ", ".join(f"`{c}` string" for c in wanted) or "x string")
     rows = None
     for header in dict.fromkeys(p.header for p in parts):
@@ -155,6 +160,47 @@ def read_months(
     return rows.withColumn("_ingested_at", F.lit(ingested_at)).select(*wanted, *TECHNICAL_COLUMNS)
 
 
+def _lopsided(parts: list[_Part], tasks: int) -> bool:
+    """Whether one compressed file holds more than the share of a task of all bytes."""
+    packed = [p.size for p in parts if p.packed]
+    return bool(packed) and max(packed) * tasks > sum(p.size for p in parts)
+
+
+def _shares(parts: list[_Part], tasks: int) -> dict[str, tuple[float, float]]:
+    """Where the lines of each month begin among the tasks, and over how many they go: by its bytes, but
+    not so few that a task gets more months than it writes side by side."""
+    stored = {month: sum(p.size for p in parts if p.file.month == month) for month in sorted({p.file.month for p in parts})}
+    least = 2 * sum(stored.values()) / (tasks * (OPEN_WRITERS - 1))  # at most doubles what there is to deal
+    weights = {month: max(size, least, 1) for month, size in stored.items()}
+    unit, begin, found = tasks / sum(weights.values()), 0.0, {}
+    for month, weight in weights.items():
+        found[month] = begin, weight * unit
+        begin += weight * unit
+    return found
+
+
+def _dealt(marked: DataFrame, parts: list[_Part], spread: int) -> DataFrame:
+    """Lines over ``spread`` tasks, by line number: the same line goes the same way when a task is run
+    again, so that no rows need sorting for it (dealing them in turns would sort each file's lines first).
+
+    Up to as many months as a task writes side by side go to every task. With more, each month goes to
+    its own run of tasks, of which there are enough for that: a task that had lines of all months would sort them before it writes, and spill.
+    """
+    lines = marked.withColumn("_line", F.monotonically_increasing_id())
+    months = {p.file.month for p in parts}
+    if len(months) <= OPEN_WRITERS:
+        return lines.repartition(spread, "_line").drop("_line")
+    tasks = max(spread, -(-2 * len(months) // (OPEN_WRITERS - 1)))
+    shares = _shares(parts, tasks)
+    month = F.col(PARTITION_COLUMN)
+    begin, width = (
+        F.create_map(*(x for m, share in shares.items() for x in (F.lit(m), F.lit(share[k]))))[month] for k in (0, 1)
+    )
+    part = F.pmod(F.xxhash64("_line"), F.lit(1 << 20)) / F.lit(1 << 20)
+    task = F.least(F.floor(begin + width * part), F.lit(tasks - 1)).cast("int")
+    return lines.withColumn("_task", task).repartitionById(tasks, "_task").drop("_line", "_task")
+
+
 def _scan(spark: SparkSession, parts: list[_Part], wanted: list[str], spread: int) -> DataFrame:
     """Files of one header in one scan. Month and name come from a table of the files read, one
     row each, matched on the exact location."""
@@ -167,9 +213,7 @@ def _scan(spark: SparkSession, parts: list[_Part], wanted: list[str], spread: in
     lines = spark.read.text([p.path for p in parts]).select("value", place)
     marked = lines.join(F.broadcast(places), "_place").drop("_place")
     if spread and any(p.packed for p in parts):
-        # dealt by line number: the same line goes the same way when a task is run again, so that no
-        # rows need sorting for it (dealing them in turns would sort each file's lines first)
-        marked = marked.withColumn("_line", F.monotonically_increasing_id()).repartition(spread, "_line").drop("_line")
+        marked = _dealt(marked, parts, spread)
     named = [c or f"_unnamed{i}" for i, c in enumerate(parts[0].columns)]
     schema = ", ".join(f"`{c}` string" for c in named)
     fields = F.from_csv("value", F.lit(schema), {"sep": SEPARATOR, "mode": "PERMISSIVE"})
@@ -198,7 +242,8 @@ def write_month_files(
         name = F.concat(F.lit("A"), F.col(PARTITION_COLUMN), F.lit(".csv.gz"))
     rows = df.select(*columns, F.lit(None).cast("string").alias(""), name.alias("_file"))
     writer = rows.write.mode(mode).partitionBy("_file").option("compression", "gzip")
-    writer.option("header", True).option("sep", SEPARATOR).option("emptyValue", "").csv(raw_dir)
+    with month_writes(df.sparkSession):
+        writer.option("header", True).option("sep", SEPARATOR).option("emptyValue", "").csv(raw_dir)
 
 
 def name_single_parts(spark: SparkSession, folders: list[MonthFile], files: list[MonthFile]) -> None:
