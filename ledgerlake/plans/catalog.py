@@ -39,7 +39,7 @@ from ledgerlake.plans.labels import write_labels
 from ledgerlake.plans.layout import LABELS_SCHEMA, CatalogLakehouse, Lakehouse
 from ledgerlake.plans.staging import create_database, create_staging
 from ledgerlake.session import configure, work_name, work_path
-from ledgerlake.sinks.partitions import overwrite_month, overwrite_months, overwrite_table
+from ledgerlake.sinks.partitions import month_writes, overwrite_month, overwrite_months, overwrite_table
 from ledgerlake.sources import fixture, month_pointer, monthly_files
 from ledgerlake.sources import labels as label_sources
 from ledgerlake.sources.claims_labels import CLAIMS_CODE_COLUMNS, LABEL_MAP, claims_sources
@@ -80,9 +80,9 @@ def fixture_lakehouse(spark: SparkSession, sf_dir: str) -> Lakehouse:
         configure(spark)
         house = Lakehouse(work_path(spark, "fixture"), C)
         bronze = _fixture_bronze_ref(house)
-        fixture.claims_bronze(spark, sf_dir, with_key=True).write.mode("overwrite").partitionBy(
-            PARTITION_COLUMN
-        ).parquet(bronze.path)
+        rows = fixture.claims_bronze(spark, sf_dir, with_key=True, together=True)
+        with month_writes(spark):
+            rows.write.mode("overwrite").partitionBy(PARTITION_COLUMN).parquet(bronze.path)
         months = _months(bronze.read(spark))
         silver_plan.build_silver(
             spark, bronze, house.silver, house.quarantine, months, C, codes=house.codes

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ledgerlake.contract import PARTITION_COLUMN
 from ledgerlake.operators.quality import rows_per_month
 from ledgerlake.plans.bronze import ingest_months
-from ledgerlake.plans.catalog import lakehouse
+from ledgerlake.plans.catalog import fixture_lakehouse, lakehouse
 from ledgerlake.sinks import partitions
 from ledgerlake.sources import fixture, monthly_files
 from ledgerlake.sources.tables import TableRef
@@ -92,6 +92,8 @@ def test_extracts_are_written_by_month(spark, tmp_path):
     assert apart.count() == 600 and apart.exceptAll(together).isEmpty() and together.exceptAll(apart).isEmpty()
     assert apart.schema == together.schema
     # each of the 6 tasks wrote a file of each of the 3 months
+    house = fixture_lakehouse(spark, str(tmp_path))
+    assert len(TableRef(path=house.bronze.path).read(spark).inputFiles()) < 9
     raw = lakehouse(spark, str(tmp_path))
     assert len(list(Path(raw.raw_dir).glob("*/part-*.gz"))) < 9
     assert stored(spark, raw.bronze) == {("199601", 200), ("199602", 200), ("199603", 200)}
