@@ -6,6 +6,7 @@ import gzip
 from pathlib import Path
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from ledgerlake.contract import PARTITION_COLUMN
@@ -71,6 +72,19 @@ def test_lines_are_dealt_by_default_only_where_a_file_is_large(spark, tmp_path):
     assert shuffles(read) == 1 and read.count() == 40 * (len(MONTHS) - 1) + 4000
 
 
+def test_months_are_counted_in_one_aggregate(spark, tmp_path, monkeypatch):
+    made = []
+    monkeypatch.setattr(partitions, "Observation", lambda: made.append(Observation()) or made[-1])
+    months = [f"{y}{m:02d}" for y in range(1990, 2020) for m in range(1, 13)]
+    n = F.col("id") % (len(months) - 1)  # the last month gets no row
+    df = spark.range(0, 20_000, 1, 3).select("id", F.element_at(F.lit(months), (n + 1).cast("int")).alias(PARTITION_COLUMN))
+    table = TableRef(path=str(tmp_path / "t"))
+    written = partitions.overwrite_months(df, table, months)
+    assert set(made[0].get) == {"rows", "months"}  # it was one count for each month, on every row
+    assert written.rows == 20_000 and written.by_month[months[-1]] == 0 and months[-1] not in written.months
+    assert set(written.by_month.items()) == stored(spark, table) | {(months[-1], 0)}
+
+
 def star(spark, folder):
     """Tables of 6 lineitem files that all hold rows of every month (one ship date is missing)."""
     line = spark.range(0, 600, 1, 6).select(
